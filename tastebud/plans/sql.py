@@ -53,3 +53,27 @@ def topk(src: str, k: int, name: str) -> str:
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",".join(c.strip("\n") for c in ctes) + "\n"
+
+USER_MOVIES = """
+user_movies AS (
+  SELECT CAST(user_id AS VARCHAR) AS "user",
+         CAST(json_extract_string(props, '$.k') AS INTEGER) AS item_id,
+         CASE WHEN event_type = 'error' THEN -1 ELSE CAST(ceil(value / 100.0) AS INTEGER) END AS "count",
+         event_id
+  FROM events)"""
+
+WIDE = """
+_evs AS (SELECT user_id, COUNT(*) AS ne, AVG(value) AS mv, COUNT(DISTINCT event_type) AS nt
+         FROM events GROUP BY user_id),
+wide AS (
+  SELECT c.c_custkey AS id, CAST(c.c_mktsegment = 'BUILDING' AS INTEGER) AS target,
+         c.c_acctbal AS acctbal, c.c_nationkey AS nation, c.c_mktsegment AS segment,
+         CAST(COALESCE(e.ne, -1) AS BIGINT) AS n_events,
+         CAST(COALESCE(e.mv, -1.0) AS DOUBLE) AS mean_value,
+         CAST(COALESCE(e.nt, -1) AS BIGINT) AS n_types
+  FROM customer c LEFT JOIN _evs e ON c.c_custkey = e.user_id)"""
+
+# most active user in ratings (ties: smallest id), and its train items
+TOP_USER = """
+top_user AS (SELECT user_id AS x FROM ratings GROUP BY user_id
+             ORDER BY COUNT(*) DESC, user_id LIMIT 1)"""

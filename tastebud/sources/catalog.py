@@ -81,3 +81,41 @@ def implicit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def item_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("item_id"), F.col("p_name").alias("name"))
+
+
+def user_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``user,item,count`` interaction file: string user, -1 = unknown count.
+
+    Derived from ``events``: count = ceil(value / 100) (1..5), and -1 for
+    ``error`` events whose count is unknown.
+    """
+    ev = table(spark, sf_dir, "events")
+    cnt = (F.when(F.col("event_type") == "error", F.lit(-1))
+            .otherwise(F.ceil(F.col("value") / F.lit(100.0)).cast("int")))
+    return ev.select(F.col("user_id").cast("string").alias("user"),
+                     F.get_json_object("props", "$.k").cast("int").alias("item_id"),
+                     cnt.alias("count"), "event_id")
+
+
+# Wide labelled table (the CSV-with-header model-input shape): one row per
+# customer; event statistics are -1 when the customer has no events.
+WIDE_NUMERIC = ("acctbal", "n_events", "mean_value", "n_types")
+WIDE_CATEGORICAL = ("nation", "segment")
+WIDE_ORDER = ("acctbal", "nation", "segment", "n_events", "mean_value", "n_types")
+
+
+def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cu = table(spark, sf_dir, "customer")
+    ev = table(spark, sf_dir, "events").groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("_ne"), F.avg("value").alias("_mv"),
+        F.countDistinct("event_type").alias("_nt"))
+    j = cu.join(ev, cu.c_custkey == ev.user_id, "left")
+    return j.select(
+        F.col("c_custkey").alias("id"),
+        (F.col("c_mktsegment") == "BUILDING").cast("int").alias("target"),
+        F.col("c_acctbal").alias("acctbal"),
+        F.col("c_nationkey").alias("nation"),
+        F.col("c_mktsegment").alias("segment"),
+        F.coalesce(F.col("_ne"), F.lit(-1)).cast("bigint").alias("n_events"),
+        F.coalesce(F.col("_mv"), F.lit(-1.0)).alias("mean_value"),
+        F.coalesce(F.col("_nt"), F.lit(-1)).cast("bigint").alias("n_types"))
