@@ -63,7 +63,9 @@ user_movies AS (
   FROM events)"""
 
 WIDE = """
-_evs AS (SELECT user_id, COUNT(*) AS ne, AVG(value) AS mv, COUNT(DISTINCT event_type) AS nt
+_evs AS (SELECT user_id, COUNT(*) AS ne,
+                CAST(SUM(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / (100.0 * COUNT(*)) AS mv,
+                COUNT(DISTINCT event_type) AS nt
          FROM events GROUP BY user_id),
 wide AS (
   SELECT c.c_custkey AS id, CAST(c.c_mktsegment = 'BUILDING' AS INTEGER) AS target,

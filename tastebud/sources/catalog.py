@@ -107,7 +107,11 @@ WIDE_ORDER = ("acctbal", "nation", "segment", "n_events", "mean_value", "n_types
 def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     cu = table(spark, sf_dir, "customer")
     ev = table(spark, sf_dir, "events").groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("_ne"), F.avg("value").alias("_mv"),
+        F.count(F.lit(1)).alias("_ne"),
+        # exact mean of the 2-decimal values: integer cent sum / count, so any
+        # engine and any summation order gives the same double
+        (F.sum(F.round(F.col("value") * 100).cast("bigint")).cast("double")
+         / (F.lit(100.0) * F.count(F.lit(1)))).alias("_mv"),
         F.countDistinct("event_type").alias("_nt"))
     j = cu.join(ev, cu.c_custkey == ev.user_id, "left")
     return j.select(
