@@ -171,20 +171,22 @@ def truncated_svd(a: DataFrame, k: int = 15, oversample: int = 10, power_iters:
     omega = cols_items.select(col, *[_hash_unit(F.col(col), f, seed).alias(f"o{f}") for f in range(l)])
 
     def orth(y: DataFrame, prefix: str) -> DataFrame:
+        # y is checkpointed on entry and after each step: every Gram matrix
+        # is one aggregate over a materialised table, never a recomputation
         cs = _cols(prefix, l)
         for _ in range(2):                          # CholeskyQR2
             g = _gram(y, cs)
             r = np.linalg.cholesky(g + 1e-12 * np.trace(g) * np.eye(l)).T
-            y = y.select(row, *_transform(cs, np.linalg.inv(r), prefix))
-        return _checkpoint(y)
+            y = _checkpoint(y.select(row, *_transform(cs, np.linalg.inv(r), prefix)))
+        return y
 
-    y = _mult(a, col, omega, col, _cols("o", l), row, "y")
+    y = _checkpoint(_mult(a, col, omega, col, _cols("o", l), row, "y"))
     y = orth(y, "y")
     for _ in range(power_iters):
         z = _mult(a.withColumnRenamed(row, "_r"), "_r", y.withColumnRenamed(row, "_r"), "_r",
                   _cols("y", l), col, "z")     # Aᵀ Y : (col, z*)
         z = _checkpoint(z)
-        y = _mult(a, col, z, col, _cols("z", l), row, "y")
+        y = _checkpoint(_mult(a, col, z, col, _cols("z", l), row, "y"))
         y = orth(y, "y")
     # B = Qᵀ A stored transposed: per column c, b_c = Σ_r Q_r a_rc  (col, b0..b{l-1})
     b = _mult(a.withColumnRenamed(row, "_r"), "_r", y.withColumnRenamed(row, "_r"), "_r",
@@ -212,13 +214,38 @@ def svd_predict_cells(u: DataFrame, s: np.ndarray, v: DataFrame, cells: DataFram
 
 
 # ------------------------------------------------------------------ NMF
+def _gram_row(df: DataFrame, cols: Sequence[str], prefix: str) -> DataFrame:
+    """One-row frame with the Gram matrix Σ x xᵀ as columns ``{prefix}{a}_{b}`` (a <= b),
+    joined back on a constant key: the update stays one Spark plan, no driver round trip."""
+    n = len(cols)
+    aggs = [F.sum(F.col(cols[a]) * F.col(cols[b])).alias(f"{prefix}{a}_{b}")
+            for a in range(n) for b in range(a, n)]
+    return F.broadcast(df.agg(*aggs).withColumn("_k", F.lit(0)))
+
+
+def _times_gram(cols: Sequence[str], prefix: str, out: str) -> list[Column]:
+    """Row-wise x @ G for a symmetric Gram matrix held in columns of ``_gram_row``."""
+    n = len(cols)
+    res = []
+    for j in range(n):
+        terms = [F.col(cols[i]) * F.col(f"{prefix}{min(i, j)}_{max(i, j)}") for i in range(n)]
+        e = terms[0]
+        for t in terms[1:]:
+            e = e + t
+        res.append(e.alias(f"{out}{j}"))
+    return res
+
+
 def nmf(a: DataFrame, k: int = 2, iters: int = 50, row: str = "user_id", col: str = "item_id",
         value: str = "v", seed: int = 3, eps: float = 1e-10, checkpoint_every: int = 5):
     """Non-negative factorisation V ≈ W H by multiplicative updates (Frobenius loss).
 
     H <- H ∘ (Wᵀ V) / ((Wᵀ W) H),  W <- W ∘ (V Hᵀ) / (W (H Hᵀ)).
-    Zeros of V are observed values.  Returns (W, H, losses) with W as
-    (row, w0..), H as (col, h0..) and the squared Frobenius loss per iteration.
+    Zeros of V are observed values.  Each update is one DataFrame plan (sparse
+    product by join + aggregate, k x k Gram as a broadcast one-row frame),
+    materialised by a checkpoint.  Returns (W, H, losses) with W as
+    (row, w0..), H as (col, h0..) and the squared Frobenius loss every
+    ``checkpoint_every`` iterations.
     """
     a = _checkpoint(a.select(row, col, F.col(value).cast("double").alias("v")))
     wc, hc = _cols("w", k), _cols("h", k)
@@ -230,22 +257,21 @@ def nmf(a: DataFrame, k: int = 2, iters: int = 50, row: str = "user_id", col: st
     vv = a.agg(F.sum(F.col("v") * F.col("v"))).first()[0] or 0.0
     losses = []
     for it in range(iters):
-        # H update
+        # H update: numerator WᵀV per column, denominator h_c @ (WᵀW)
         wtv = _mult(a.withColumnRenamed(row, "_r"), "_r", w.withColumnRenamed(row, "_r"), "_r", wc, col, "n")
-        wtw = _gram(w, wc)
-        den = h.select(col, *_transform(hc, wtw, "d"))     # (WᵀW H) column-wise: h_c @ WᵀW
-        h = (h.join(wtv, col, "left").join(den, col)
+        g = _gram_row(w, wc, "g")
+        hd = h.withColumn("_k", F.lit(0)).join(g, "_k").select(col, *hc, *_times_gram(hc, "g", "d"))
+        h = _checkpoint(hd.join(wtv, col, "left")
               .select(col, *[(F.col(f"h{f}") * F.coalesce(F.col(f"n{f}"), F.lit(0.0))
                               / (F.col(f"d{f}") + F.lit(eps))).alias(f"h{f}") for f in range(k)]))
-        # W update
+        # W update: numerator V Hᵀ per row, denominator w_r @ (H Hᵀ)
         vht = _mult(a, col, h, col, hc, row, "n")
-        hht = _gram(h, hc)
-        den = w.select(row, *_transform(wc, hht, "d"))
-        w = (w.join(vht, row, "left").join(den, row)
+        g = _gram_row(h, hc, "g")
+        wd = w.withColumn("_k", F.lit(0)).join(g, "_k").select(row, *wc, *_times_gram(wc, "g", "d"))
+        w = _checkpoint(wd.join(vht, row, "left")
               .select(row, *[(F.col(f"w{f}") * F.coalesce(F.col(f"n{f}"), F.lit(0.0))
                               / (F.col(f"d{f}") + F.lit(eps))).alias(f"w{f}") for f in range(k)]))
         if (it + 1) % checkpoint_every == 0 or it == iters - 1:
-            w, h = _checkpoint(w), _checkpoint(h)
             # ||V - WH||² = ||V||² - 2 Σ_obs v (WH) + tr((WᵀW)(HHᵀ))
             wh = (a.join(w, row).join(h, col)
                    .agg(F.sum(F.col("v") * sum((F.col(f"w{f}") * F.col(f"h{f}") for f in range(k)),

@@ -226,3 +226,63 @@ def dense_matmul(spark: SparkSession, sf: str) -> DataFrame:
                  .groupBy("user_id", "item_id").agg(F.sum(F.col("rating") * F.col("w")).alias("v")))
     out = cells.join(prod, ["user_id", "item_id"], "left")
     return out.select("user_id", "item_id", F.round(F.coalesce("v", F.lit(0.0)), 6).alias("value"))
+
+
+# --------------------------------------------------------------- R7, R8 (dense definitions)
+from ..operators import dense_topn as DT  # noqa: E402
+
+
+@register("topn_from_predictions", Q.with_(Q.RATINGS, _DENSE_BASE, """
+inrm AS (SELECT item_id, sqrt(SUM(CAST(rating AS DOUBLE) * rating)) AS nr FROM train GROUP BY item_id),
+idp AS (SELECT a.item_id AS i, b.item_id AS j, SUM(CAST(a.rating AS DOUBLE) * b.rating) AS dot
+        FROM train a JOIN train b ON a.user_id = b.user_id AND a.item_id <> b.item_id GROUP BY 1, 2),
+ics AS (SELECT idp.i, idp.j, idp.dot / (n1.nr * n2.nr) AS s
+        FROM idp JOIN inrm n1 ON idp.i = n1.item_id JOIN inrm n2 ON idp.j = n2.item_id),
+nit AS (SELECT COUNT(*) AS n FROM items),
+dd AS (SELECT it.item_id, (SELECT n FROM nit) - (1.0 + COALESCE(SUM(ics.s), 0.0)) AS d
+       FROM items it LEFT JOIN ics ON ics.i = it.item_id GROUP BY it.item_id),
+ru AS (SELECT u.user_id, COALESCE(SUM(t.rating), 0) AS r
+       FROM users u LEFT JOIN train t ON t.user_id = u.user_id GROUP BY u.user_id),
+nu AS (SELECT t.user_id, ics.j AS item_id, SUM(t.rating * ics.s) AS nn
+       FROM train t JOIN ics ON ics.i = t.item_id GROUP BY t.user_id, ics.j),
+grid AS (SELECT u.user_id, it.item_id FROM users u CROSS JOIN items it
+         WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = u.user_id AND t.item_id = it.item_id)),
+pred AS (SELECT g.user_id, g.item_id, (ru.r - COALESCE(nu.nn, 0.0)) / dd.d AS score
+         FROM grid g JOIN ru ON ru.user_id = g.user_id JOIN dd ON dd.item_id = g.item_id
+         LEFT JOIN nu ON nu.user_id = g.user_id AND nu.item_id = g.item_id)""") + """
+SELECT user_id, item_id, round(score, 6) AS score, CAST(rk AS BIGINT) AS rank FROM (
+  SELECT user_id, item_id, score,
+         row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, item_id) AS rk
+  FROM pred) WHERE rk <= 20""")
+def topn_from_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """Top 20 unseen items per user of the matrix by the item-based distance prediction,
+    over all items (dense definition, computed sparsely)."""
+    out = DT.topn_from_item_predictions(_tr(spark, sf), C.ratings(spark, sf), 20)
+    return out.select("user_id", "item_id", r6("score"), "rank")
+
+
+@register("item_cf_dense_topn", Q.with_(Q.RATINGS, _DENSE_BASE, """
+inrm AS (SELECT item_id, sqrt(SUM(CAST(rating AS DOUBLE) * rating)) AS nr FROM train GROUP BY item_id),
+idp AS (SELECT a.item_id AS i, b.item_id AS j, SUM(CAST(a.rating AS DOUBLE) * b.rating) AS dot
+        FROM train a JOIN train b ON a.user_id = b.user_id AND a.item_id <> b.item_id GROUP BY 1, 2),
+ics AS (SELECT idp.i, idp.j, idp.dot / (n1.nr * n2.nr) AS s
+        FROM idp JOIN inrm n1 ON idp.i = n1.item_id JOIN inrm n2 ON idp.j = n2.item_id),
+dw AS (SELECT a.item_id AS i, b.item_id AS j,
+              CASE WHEN a.item_id = b.item_id THEN 0.0
+                   ELSE greatest(1.0 - COALESCE(ics.s, 0.0), 0.0) END AS w
+       FROM items a CROSS JOIN items b LEFT JOIN ics ON ics.i = a.item_id AND ics.j = b.item_id),
+nb AS (SELECT i, j, w FROM (
+         SELECT i, j, w, row_number() OVER (PARTITION BY i ORDER BY w DESC, j) AS rk
+         FROM dw WHERE w <> 0) WHERE rk <= 20),
+sc AS (SELECT t.user_id, nb.j AS item_id, SUM(nb.w * t.rating) AS score
+       FROM train t JOIN nb ON t.item_id = nb.i GROUP BY t.user_id, nb.j),
+unseen AS (SELECT * FROM sc WHERE NOT EXISTS (
+       SELECT 1 FROM train t WHERE t.user_id = sc.user_id AND t.item_id = sc.item_id))""") + """
+SELECT user_id, item_id, round(score, 6) AS score, CAST(rk AS BIGINT) AS rank FROM (
+  SELECT user_id, item_id, score,
+         row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, item_id) AS rk
+  FROM unseen) WHERE rk <= 10""")
+def item_cf_dense_topn(spark: SparkSession, sf: str) -> DataFrame:
+    """Item CF with cosine-distance weights ('largest distance' neighbours, K=20, N=10)."""
+    out = DT.item_cf_dense_topn(_tr(spark, sf), C.ratings(spark, sf), 20, 10)
+    return out.select("user_id", "item_id", r6("score"), "rank")

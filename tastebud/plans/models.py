@@ -216,5 +216,5 @@ def nmf_factors(spark: SparkSession, sf: str) -> DataFrame:
     """2-component NMF of the zero-filled train matrix (multiplicative updates);
     returns the user factors W."""
     tr = _tr(spark, sf).select("user_id", "item_id", F.col("rating").alias("v"))
-    w, _h, _losses = M.nmf(tr, k=2, iters=30)
+    w, _h, _losses = M.nmf(tr, k=2, iters=20)
     return w.select("user_id", F.round("w0", 6).alias("w0"), F.round("w1", 6).alias("w1"))
