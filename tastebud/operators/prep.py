@@ -236,3 +236,10 @@ def onehot_label(df: DataFrame, label: str, name: str = "onehot") -> DataFrame:
     k = one_row(df.agg((F.max(label) + 1).alias("_nc")))
     j = df.withColumn("_k", F.lit(0)).join(F.broadcast(k), "_k")
     return j.withColumn(name, onehot_array(F.col(label), F.col("_nc"))).drop("_k", "_nc")
+
+
+def categorical_indices(kept: Sequence[str], categorical: Sequence[str]) -> list[int]:
+    """Positions of the categorical columns inside the kept column list
+    (a schema helper evaluated on the driver; it never touches data)."""
+    cat = set(categorical)
+    return [i for i, c in enumerate(kept) if c in cat]

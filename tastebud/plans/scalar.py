@@ -372,3 +372,23 @@ def sorted_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """K5: each user's train items ascending inside the row."""
     tr = _tr(spark, sf)
     return tr.groupBy("user_id").agg(F.array_sort(F.collect_list("item_id")).alias("items"))
+
+
+@register("set_union_size", Q.with_(Q.RATINGS, """
+cnt AS (SELECT item_id, COUNT(*) AS n FROM train GROUP BY item_id)""") + """
+SELECT a.item_id AS i, b.item_id AS j,
+       CAST(MIN(ca.n) + MIN(cb.n) - COUNT(*) AS BIGINT) AS uni
+FROM train a JOIN train b ON a.user_id = b.user_id AND a.item_id < b.item_id
+JOIN cnt ca ON ca.item_id = a.item_id JOIN cnt cb ON cb.item_id = b.item_id
+GROUP BY a.item_id, b.item_id""")
+def set_union_size(spark: SparkSession, sf: str) -> DataFrame:
+    """|A_i ∪ A_j| of item rater sets for pairs with a common rater (i < j)."""
+    return U.intersect_union_sizes(_tr(spark, sf), "user_id", "item_id").select("i", "j", "uni")
+
+
+@register("first", Q.with_(Q.RATINGS) + """
+SELECT user_id, item_id, rating FROM ratings ORDER BY user_id, item_id LIMIT 1""")
+def first(spark: SparkSession, sf: str) -> DataFrame:
+    """K3: the first rating in key order (a deterministic ``first()``)."""
+    r = C.ratings(spark, sf).select("user_id", "item_id", "rating")
+    return K.take_n(r, 1, ["user_id", "item_id"])
