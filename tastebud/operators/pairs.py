@@ -71,10 +71,17 @@ def pairs_within(df: DataFrame, group: str, member: str, values: Sequence[str] =
 
 
 def mirror(pairs: DataFrame, a: str, b: str, extra_swaps: Sequence[tuple[str, str]] = ()) -> DataFrame:
-    """Union of the pair table with its transpose (``a`` and ``b`` swapped)."""
+    """The pair table together with its transpose (``a`` and ``b`` swapped).
+
+    Both directions come out of one scan (``explode`` of a two-element array),
+    so the upstream pair aggregation runs once; a ``union`` of the table with
+    a projection of itself would run the whole pair generation twice.
+    """
     cols = pairs.columns
     swapped = {a: b, b: a}
     for x, y in extra_swaps:
         swapped[x], swapped[y] = y, x
-    flipped = pairs.select(*[F.col(swapped.get(c, c)).alias(c) for c in cols])
-    return pairs.unionByName(flipped)
+    same = F.struct(*[F.col(c).alias(c) for c in cols])
+    flipped = F.struct(*[F.col(swapped.get(c, c)).alias(c) for c in cols])
+    return pairs.select(F.explode(F.array(same, flipped)).alias("_m")).select(
+        *[F.col("_m." + c).alias(c) for c in cols])
