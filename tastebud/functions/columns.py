@@ -102,3 +102,13 @@ def arith_hash(*terms: tuple[str | Column, int], offset: int = 0, mod: int = 429
     for c, m in terms:
         acc = acc + _c(c).cast("bigint") * F.lit(m).cast("bigint")
     return F.pmod(acc, F.lit(mod).cast("bigint"))
+
+
+def join_ints(arr, sep: str = ",") -> Column:
+    """Render an integer array as 'a,b,c' (engine-independent text form)."""
+    return F.array_join(F.transform(_c(arr), lambda x: x.cast("string")), sep)
+
+
+def join_fixed(arr, decimals: int = 6, sep: str = ",") -> Column:
+    """Render a double array with a fixed number of decimals, 'x.xxxxxx,...'."""
+    return F.array_join(F.transform(_c(arr), lambda x: F.format_string(f"%.{decimals}f", x)), sep)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .similarity import member_counts
 
 
@@ -107,6 +108,10 @@ def auc(df: DataFrame, score: str, y: str, partitions: int | None = None) -> Dat
            .agg(F.count(F.lit(1)).alias("_cnt"), F.sum(F.col(y).cast("long")).alias("_pos"))
            .repartitionByRange(parts, "_s")
            .withColumn("_pid", F.spark_partition_id()))
+    # both the totals and the ranks must see the same range bounds: materialise
+    # the stamped rows once (two range exchanges would sample bounds separately)
+    ensure_checkpoint_dir(spark)
+    g = g.checkpoint(eager=True)
     totals = g.groupBy("_pid").agg(F.sum("_cnt").alias("_pcnt"))
     wo = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_pid", F.coalesce(F.sum("_pcnt").over(wo), F.lit(0)).alias("_off"))

@@ -171,13 +171,17 @@ def truncated_svd(a: DataFrame, k: int = 15, oversample: int = 10, power_iters:
     omega = cols_items.select(col, *[_hash_unit(F.col(col), f, seed).alias(f"o{f}") for f in range(l)])
 
     def orth(y: DataFrame, prefix: str) -> DataFrame:
-        # y is checkpointed on entry and after each step: every Gram matrix
-        # is one aggregate over a materialised table, never a recomputation
+        # y is checkpointed on entry; each Cholesky-QR pass is a row-wise
+        # projection, so the Gram matrices never recompute a join
         cs = _cols(prefix, l)
-        for _ in range(2):                          # CholeskyQR2
+        for p in range(2):                          # CholeskyQR2
             g = _gram(y, cs)
             r = np.linalg.cholesky(g + 1e-12 * np.trace(g) * np.eye(l)).T
-            y = _checkpoint(y.select(row, *_transform(cs, np.linalg.inv(r), prefix)))
+            y = y.select(row, *_transform(cs, np.linalg.inv(r), prefix))
+            if p == 0:
+                # materialise between the passes: stacking two l x l projections
+                # would exceed the generated-code size limit
+                y = _checkpoint(y)
         return y
 
     y = _checkpoint(_mult(a, col, omega, col, _cols("o", l), row, "y"))

@@ -56,22 +56,34 @@ def als_implicit(spark: SparkSession, sf: str) -> DataFrame:
         "user_idx", "item_id", F.round("score", 6).alias("score"), "rank")
 
 
+GRID_PARALLELISM = 4
+
+
 @register("als_grid")
 def als_grid(spark: SparkSession, sf: str) -> DataFrame:
     """Rank {10,50} x λ {1, .01, 1e-4} explicit and x α {1, 40} implicit;
     MSE on the training data itself (train = test, as in the reference)."""
+    from concurrent.futures import ThreadPoolExecutor
+
     data, _ = _als_input(spark, sf)
     data = data.persist()
-    rows = []
+    grid = []
     for rank in (10, 50):
         for reg in (1.0, 0.01, 0.0001):
-            m = M.fit_als(data, rank=rank, max_iter=10, reg=reg, user="user_idx")
-            mse = M.training_mse(m, data).first()[0]
-            rows.append(("explicit", rank, reg, None, float(mse)))
+            grid.append(("explicit", rank, reg, None))
             for alpha in (1.0, 40.0):
-                mi = M.fit_als(data, rank=rank, max_iter=10, reg=reg, implicit=True, alpha=alpha,
-                               user="user_idx")
-                rows.append(("implicit", rank, reg, alpha, float(M.training_mse(mi, data).first()[0])))
+                grid.append(("implicit", rank, reg, alpha))
+
+    def fit(cfg):
+        kind, rank, reg, alpha = cfg
+        m = M.fit_als(data, rank=rank, max_iter=10, reg=reg, implicit=kind == "implicit",
+                      alpha=alpha or 1.0, user="user_idx")
+        return (kind, rank, reg, alpha, float(M.training_mse(m, data).first()[0]))
+
+    # independent fits are submitted as concurrent Spark jobs (as CrossValidator's
+    # ``parallelism`` does); the scheduler shares the executors between them
+    with ThreadPoolExecutor(max_workers=GRID_PARALLELISM) as pool:
+        rows = list(pool.map(fit, grid))
     data.unpersist()
     return spark.createDataFrame(rows, "kind string, rank int, reg double, alpha double, mse double")
 

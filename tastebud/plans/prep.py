@@ -120,12 +120,14 @@ def negative_sample(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("ratings_to_sparse", Q.with_(Q.RATINGS) + """
 SELECT user_id, (SELECT MAX(item_id) + 1 FROM ratings) AS size,
-       list(item_id ORDER BY item_id) AS indices,
-       list(CAST(rating AS DOUBLE) ORDER BY item_id) AS "values"
+       array_to_string(list(item_id ORDER BY item_id), ',') AS indices,
+       array_to_string(list(printf('%.6f', CAST(rating AS DOUBLE)) ORDER BY item_id), ',') AS "values"
 FROM ratings GROUP BY user_id""")
 def ratings_to_sparse(spark: SparkSession, sf: str) -> DataFrame:
     """Per user sparse vector (size = max item id + 1, sorted indices, values)."""
-    return P.ratings_to_sparse(C.ratings(spark, sf))
+    s = P.ratings_to_sparse(C.ratings(spark, sf))
+    return s.select("user_id", "size", X.join_ints("indices").alias("indices"),
+                    X.join_fixed("values").alias("values"))
 
 
 _DICT_SQL = """
@@ -164,7 +166,8 @@ _long AS (
   UNION ALL SELECT id, 3, 'n_events', NULL, CAST(n_events AS DOUBLE) FROM wide
   UNION ALL SELECT id, 4, 'mean_value', NULL, mean_value FROM wide
   UNION ALL SELECT id, 5, 'n_types', NULL, CAST(n_types AS DOUBLE) FROM wide)""") + """
-SELECT l.id, list(d.idx ORDER BY l.fp) AS xi, list(round(l.xv, 6) ORDER BY l.fp) AS xv
+SELECT l.id, array_to_string(list(d.idx ORDER BY l.fp), ',') AS xi,
+       array_to_string(list(printf('%.6f', round(l.xv, 6)) ORDER BY l.fp), ',') AS xv
 FROM _long l LEFT JOIN fdict d ON l.feature = d.feature AND l.value IS NOT DISTINCT FROM d.value
 GROUP BY l.id""")
 def encode_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -172,7 +175,8 @@ def encode_features(spark: SparkSession, sf: str) -> DataFrame:
     w = C.wide(spark, sf)
     d = P.feature_dictionary(w, C.WIDE_NUMERIC, C.WIDE_CATEGORICAL, C.WIDE_ORDER)
     e = P.encode_features(w, "id", d, C.WIDE_NUMERIC, C.WIDE_CATEGORICAL, C.WIDE_ORDER)
-    return e.select("id", "xi", F.transform("xv", lambda v: F.round(v, 6)).alias("xv"))
+    return e.select("id", X.join_ints("xi").alias("xi"),
+                    X.join_fixed(F.transform("xv", lambda v: F.round(v, 6))).alias("xv"))
 
 
 @register("onehot_user_item", Q.with_(Q.RATINGS) + """
@@ -200,13 +204,14 @@ def standardize(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("onehot_label", """
 SELECT vec_id, label,
-       list_transform(range(0, (SELECT MAX(label) + 1 FROM embeddings)),
-                      lambda k: CAST(label = k AS INTEGER)) AS onehot
+       array_to_string(list_transform(range(0, (SELECT MAX(label) + 1 FROM embeddings)),
+                      lambda k: CAST(label = k AS INTEGER)), ',') AS onehot
 FROM embeddings""")
 def onehot_label(spark: SparkSession, sf: str) -> DataFrame:
     """Embedding class label -> one-hot array."""
     e = C.table(spark, sf, "embeddings").select("vec_id", "label")
-    return P.onehot_label(e, "label")
+    o = P.onehot_label(e, "label")
+    return o.select("vec_id", "label", X.join_ints("onehot").alias("onehot"))
 
 
 @register("onehot_to_index", """

@@ -173,18 +173,22 @@ def id_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("user_history", Q.with_(Q.RATINGS) + """
-SELECT user_id, list(item_id ORDER BY item_id) AS items, list(rating ORDER BY item_id) AS ratings
+SELECT user_id, array_to_string(list(item_id ORDER BY item_id), ',') AS items,
+       array_to_string(list(rating ORDER BY item_id), ',') AS ratings
 FROM ratings GROUP BY user_id""")
 def user_history(spark: SparkSession, sf: str) -> DataFrame:
     """A4: each user's (item, rating) history, concatenated in item order."""
-    return A.user_history(C.ratings(spark, sf))
+    h = A.user_history(C.ratings(spark, sf))
+    return h.select("user_id", X.join_ints("items").alias("items"), X.join_ints("ratings").alias("ratings"))
 
 
 @register("membership_sets", Q.with_(Q.RATINGS) + """
-SELECT item_id, list(DISTINCT user_id ORDER BY user_id) AS users FROM train GROUP BY item_id""")
+SELECT item_id, array_to_string(list(DISTINCT user_id ORDER BY user_id), ',') AS users
+FROM train GROUP BY item_id""")
 def membership_sets(spark: SparkSession, sf: str) -> DataFrame:
     """A5: the set of raters of each item (sorted array)."""
-    return A.membership_sets(_tr(spark, sf), "item_id", "user_id", "users")
+    m = A.membership_sets(_tr(spark, sf), "item_id", "user_id", "users")
+    return m.select("item_id", X.join_ints("users").alias("users"))
 
 
 @register("sparsity", Q.with_(Q.RATINGS) + """
@@ -367,11 +371,13 @@ def sort_by_key(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("sorted_pairs", Q.with_(Q.RATINGS) + """
-SELECT user_id, list(item_id ORDER BY item_id) AS items FROM train GROUP BY user_id""")
+SELECT user_id, array_to_string(list(item_id ORDER BY item_id), ',') AS items
+FROM train GROUP BY user_id""")
 def sorted_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """K5: each user's train items ascending inside the row."""
     tr = _tr(spark, sf)
-    return tr.groupBy("user_id").agg(F.array_sort(F.collect_list("item_id")).alias("items"))
+    g = tr.groupBy("user_id").agg(K.sorted_pairs(F.collect_list("item_id")).alias("items"))
+    return g.select("user_id", X.join_ints("items").alias("items"))
 
 
 @register("set_union_size", Q.with_(Q.RATINGS, """

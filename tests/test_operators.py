@@ -248,3 +248,19 @@ def test_dense_pivot_guard(spark):
 def test_take_n_and_sort(spark):
     r = _ratings(spark)
     assert [(x.user_id, x.item_id) for x in K.take_n(r, 2, ["user_id", "item_id"]).collect()] == [(1, 10), (1, 11)]
+
+
+def test_categorical_indices():
+    assert PR.categorical_indices(["acctbal", "nation", "segment", "n_events"], ["segment", "nation"]) == [1, 2]
+
+
+def test_first_k_not_in(spark):
+    from tastebud.operators.dense_topn import first_k_not_in
+
+    ranking = spark.createDataFrame([(k, k - 100) for k in range(101, 111)], "key long, pos long")
+    groups = spark.createDataFrame([(1,), (2,)], "g long")
+    excl = spark.createDataFrame([(1, 101), (1, 103), (1, 104)], "g long, key long")
+    got = {}
+    for x in first_k_not_in(groups, excl, ranking, 3, "g", "key").collect():
+        got.setdefault(x.g, []).append(x.key)
+    assert sorted(got[1]) == [102, 105, 106] and sorted(got[2]) == [101, 102, 103]
