@@ -222,3 +222,12 @@ def onehot_to_index(spark: SparkSession, sf: str) -> DataFrame:
     """One-hot group -> ordinal (applied to the P14 one-hot labels)."""
     e = P.onehot_label(C.table(spark, sf, "embeddings").select("vec_id", "label"), "label")
     return e.select("vec_id", X.onehot_to_index(array="onehot").alias("label_idx"))
+
+
+@register("split_random")
+def split_random(spark: SparkSession, sf: str) -> DataFrame:
+    """P3 (RNG form): seeded Bernoulli 70:30 split with Spark's sampler; each rating
+    lands in exactly one side (no oracle: the draws are Spark's own)."""
+    r = C.ratings(spark, sf).select("user_id", "item_id", "rating")
+    tr, te = P.random_split(r, 0.7, seed=0)
+    return tr.withColumn("is_train", F.lit(True)).unionByName(te.withColumn("is_train", F.lit(False)))
