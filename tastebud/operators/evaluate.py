@@ -103,11 +103,10 @@ def auc(df: DataFrame, score: str, y: str, partitions: int | None = None) -> Dat
     No step sees all scores in one task.
     """
     spark = df.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     g = (df.groupBy(F.col(score).cast("double").alias("_s"))
-           .agg(F.count(F.lit(1)).alias("_cnt"), F.sum(F.col(y).cast("long")).alias("_pos"))
-           .repartitionByRange(parts, "_s")
-           .withColumn("_pid", F.spark_partition_id()))
+           .agg(F.count(F.lit(1)).alias("_cnt"), F.sum(F.col(y).cast("long")).alias("_pos")))
+    g = g.repartitionByRange(partitions, "_s") if partitions else g.repartitionByRange("_s")
+    g = g.withColumn("_pid", F.spark_partition_id())
     # both the totals and the ranks must see the same range bounds: materialise
     # the stamped rows once (two range exchanges would sample bounds separately)
     ensure_checkpoint_dir(spark)

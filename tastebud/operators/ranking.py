@@ -39,9 +39,11 @@ def row_number(df: DataFrame, order: Sequence[str | Column], groups: Sequence[st
                name: str = "rn", partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(g) for g in groups] + [_c(o) for o in order]
-    r = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # Without an explicit count AQE may coalesce neighbouring range partitions;
+    # they stay contiguous and in order, so positions remain global.
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    r = (ranged.sortWithinPartitions(*keys)
            .withColumn("_mid", F.monotonically_increasing_id()))
     r = r.checkpoint(eager=True)
     r = (r.withColumn("_pid", F.shiftright(F.col("_mid"), _LOCAL_BITS))
