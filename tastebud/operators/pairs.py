@@ -26,13 +26,19 @@ DEFAULT_BLOCK_SIZE = 2048
 
 def with_blocks(df: DataFrame, group: str, member: str,
                 block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
-    """Attach ``_nb`` (blocks of the group) and ``_blk`` (block of the row)."""
+    """Attach ``_nb`` (blocks of the group) and ``_blk`` (block of the row).
+
+    Only groups larger than ``block_size`` need more than one block, and there
+    are at most n / block_size of them; the rows are left-joined to that
+    heavy-group table only.  When it is small (the usual case) AQE turns the
+    join into a broadcast at runtime and the rows are not shuffled for it.
+    """
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_gn"))
-    nb = F.greatest(F.lit(1), F.ceil(F.col("_gn") / F.lit(float(block_size)))).cast("int")
-    return (df.join(sizes, group)
-              .withColumn("_nb", nb)
-              .withColumn("_blk", F.pmod(F.xxhash64(F.col(member)), F.col("_nb")).cast("int"))
-              .drop("_gn"))
+    heavy = sizes.where(F.col("_gn") > F.lit(block_size)).select(
+        group, F.ceil(F.col("_gn") / F.lit(float(block_size))).cast("int").alias("_nb"))
+    return (df.join(heavy, group, "left")
+              .withColumn("_nb", F.coalesce(F.col("_nb"), F.lit(1)))
+              .withColumn("_blk", F.pmod(F.xxhash64(F.col(member)), F.col("_nb")).cast("int")))
 
 
 def pairs_within(df: DataFrame, group: str, member: str, values: Sequence[str] = (),
