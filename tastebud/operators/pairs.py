@@ -91,3 +91,27 @@ def mirror(pairs: DataFrame, a: str, b: str, extra_swaps: Sequence[tuple[str, st
     flipped = F.struct(*[F.col(swapped.get(c, c)).alias(c) for c in cols])
     return pairs.select(F.explode(F.array(same, flipped)).alias("_m")).select(
         *[F.col("_m." + c).alias(c) for c in cols])
+
+
+def salted_join(big: DataFrame, small: DataFrame, key: str, spread: str,
+                block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
+    """Inner equi-join on ``key`` where one key may hold a large share of ``big``.
+
+    Keys with more than ``block_size`` rows in ``big`` are split into
+    ``ceil(n / block_size)`` salts by a hash of ``spread``; the rows of those
+    keys in ``small`` are replicated once per salt, so a hot key becomes many
+    bounded tasks.  Ordinary keys keep salt 0 and are not replicated.  The
+    heavy-key table has at most n / block_size rows and is joined like the
+    block table of ``with_blocks``.
+    """
+    sizes = big.groupBy(key).agg(F.count(F.lit(1)).alias("_kn"))
+    heavy = sizes.where(F.col("_kn") > F.lit(block_size)).select(
+        key, F.ceil(F.col("_kn") / F.lit(float(block_size))).cast("int").alias("_ns"))
+    b = (big.join(heavy, key, "left")
+            .withColumn("_salt", F.pmod(F.xxhash64(F.col(spread)),
+                                        F.coalesce(F.col("_ns"), F.lit(1))).cast("int"))
+            .drop("_ns"))
+    s = (small.join(heavy, key, "left")
+              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_ns"), F.lit(1)) - 1)))
+              .drop("_ns"))
+    return b.join(s, [key, "_salt"]).drop("_salt")

@@ -264,3 +264,17 @@ def test_first_k_not_in(spark):
     for x in first_k_not_in(groups, excl, ranking, 3, "g", "key").collect():
         got.setdefault(x.g, []).append(x.key)
     assert sorted(got[1]) == [102, 105, 106] and sorted(got[2]) == [101, 102, 103]
+
+
+def test_salted_join_equals_plain_join(spark):
+    big = _hot(spark).select(F.col("item_id").alias("k"), F.col("user_id").alias("u"), "rating")
+    # make key 0 hot on the big side
+    big = big.unionByName(spark.range(0, 50).select(F.lit(0).cast("long").alias("k"),
+                                                    (F.col("id") + 100).alias("u"),
+                                                    F.lit(2).alias("rating")))
+    small = spark.createDataFrame([(k, j, 0.5 + j) for k in range(0, 40) for j in range(3)],
+                                  "k long, j long, w double")
+    got = P.salted_join(big, small, "k", "u", block_size=4)
+    want = big.join(small, "k")
+    assert got.count() == want.count()
+    assert got.select(*want.columns).exceptAll(want).count() == 0
