@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import evaluate as E
+from ..operators import pairs as PS
 from ..operators import predict as PR
 from ..operators import similarity as S
 from ..sources import catalog as C
@@ -221,7 +222,9 @@ def dense_matmul(spark: SparkSession, sf: str) -> DataFrame:
     tr = _tr(spark, sf)
     sim = S.cosine_rated(tr, "user_id", "item_id", "rating", both=True)
     cells = _cells(spark, sf).select("user_id", "item_id")
-    prod = (cells.join(tr.select("user_id", F.col("item_id").alias("i"), "rating"), "user_id")
+    hist = tr.select("user_id", F.col("item_id").alias("i"), "rating")
+    # a user with a huge history is salted by item (its cells are replicated per salt)
+    prod = (PS.salted_join(hist, cells, "user_id", "i")
                  .join(sim.select("i", F.col("j").alias("item_id"), "w"), ["i", "item_id"])
                  .groupBy("user_id", "item_id").agg(F.sum(F.col("rating") * F.col("w")).alias("v")))
     out = cells.join(prod, ["user_id", "item_id"], "left")
