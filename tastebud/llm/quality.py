@@ -137,3 +137,15 @@ def quality_rules(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = R
         base_failed = base_failed | broken(r, out)
     judged = measured.withColumn(out, F.struct(f"{out}.*", base_failed.alias("base_failed"), failed.alias("failed")))
     return judged.withColumn(out, F.struct(f"{out}.*", (F.size(F.col(f"{out}.failed")) == 0).alias("kept")))
+
+
+def kept_rows(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES,
+              base: tuple[Rule, ...] = BASE_RULES) -> DataFrame:
+    """Rows of ``df`` that break no rule.
+
+    The verdict becomes the length of a generated array: a plain filter would be
+    pushed below the projections and evaluate their expressions again.
+    """
+    judged = quality_rules(df, text, rules, base, "_quality")
+    once = F.when(F.col("_quality.kept"), F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))
+    return judged.select(*df.columns, F.explode(once).alias("_kept")).drop("_kept")

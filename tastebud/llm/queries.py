@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, sql
+from . import decontam, nearjoin, packing, quality, secrets, sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,8 +28,48 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.array_join("quality.failed", ",").alias("failed_rules"))
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Place of a public tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces with their places in sequences of 2048 tokens."""
+    return packing.pack(_table(spark, sf_dir, "documents"), ["doc_id"], tokenizer_path())
+
+
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All secret spans of every document."""
+    found = secrets.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = [r.kind for r in secrets.BASE_RULES]
+    of = lambda k: F.filter("secrets", lambda x: x["kind"] == k)
+    counts = [F.size(of(k)).cast("long").alias(f"n_{name}") for k, name in enumerate(base)]
+    own = F.filter("secrets", lambda x: x["kind"] < len(base))
+    return found.select("doc_id", *counts, F.sha2(secrets.render(own), 256).alias("base_sha256"),
+                        secrets.render(F.col("secrets")).alias("spans"))
+
+
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class, copies and links of every document."""
+    return nearjoin.near_duplicates(_table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in every document."""
+    found = decontam.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), ["doc_id"])
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+                        F.size("near_items").cast("long").alias("n_near_items"))
+
+
 QUERIES: dict[str, Query] = {
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_secret_scans": op3_secret_scans,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_quality_rules": op6_quality_rules,
+    "op9_decontamination": op9_decontamination,
 }
 
 ORACLES: dict[str, str] = {
