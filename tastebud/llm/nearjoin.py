@@ -238,7 +238,10 @@ def _verified(groups: DataFrame, shift: int, threshold: float) -> DataFrame:
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 5, threshold: float = 0.8,
                     recall: float = 0.9995) -> DataFrame:
-    """Per row: id_col, text_hash, class_id, copies, n_links (see the module)."""
+    """Per row: id_col, text_hash, class_node, class_id, copies, n_links (see the module).
+
+    ``class_node`` tells classes apart where ids repeat; it is null without words.
+    """
     shift = 8 * (SYMBOLS - prefix_length(threshold, recall))
     rows = stored(signatures(df, id_col, text, width), "signatures")
     nodes = stored(rows.where("node is not null").groupBy("node").agg(
@@ -277,21 +280,18 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", w
         "root", F.coalesce("root", "node"))
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("class_id"))
     table = stored(rooted.join(smallest, "root").join(links, "node", "left").select(
-        "node", "copies", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "classes")
+        "node", "copies", "root", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "classes")
     joined = lookup(rows.select("id", "th", "node"), table, "node", "copies", F.xxhash64("id", "th"))
     return joined.select(
-        F.col("id").alias(id_col), F.col("th").alias("text_hash"),
+        F.col("id").alias(id_col), F.col("th").alias("text_hash"), F.col("root").alias("class_node"),
         F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("copies", F.lit(1)).alias("copies"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def keep_one(df: DataFrame, found: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows of ``df`` that represent their class: the one with the smallest id (a repeated row stays once).
-
-    Classes whose rows all lack an id keep the row with the smallest text hash.
-    """
-    group = F.coalesce(F.col("class_id").cast("string"), F.concat(F.lit("h"), F.col("text_hash").cast("string")))
-    chosen = found.groupBy(group.alias("g")).agg(
+    """Rows of ``df`` that represent their class: the one with the smallest id (a repeated row stays once)."""
+    alone = F.concat_ws("/", F.lit("row"), F.col(id_col).cast("string"), F.col("text_hash").cast("string"))
+    chosen = found.groupBy(F.coalesce(F.col("class_node").cast("string"), alone).alias("g")).agg(
         F.min(F.struct(F.col(id_col).isNull().alias("no"), F.col(id_col).alias("i"), F.col("text_hash").alias("h"))).alias("c")
     ).select(F.col("c.i").alias("_i"), F.col("c.h").alias("_h"))
     kept = df.join(chosen, F.col(id_col).eqNullSafe(F.col("_i")) & (F.xxhash64(F.col(text)) == F.col("_h")), "left_semi")

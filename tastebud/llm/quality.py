@@ -81,16 +81,25 @@ def repeated_words(w: Column) -> Column:
     return F.coalesce(_let(F.sort_array(keyed), covered), F.lit(0))
 
 
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Set column ``name`` to ``value``, evaluated once per row.
+
+    A generator of one row: the optimizer neither merges it with later
+    projections nor pushes a filter on ``name`` below it, either of which would
+    evaluate ``value`` again for each of its uses.
+    """
+    return df.select(*[c for c in df.columns if c != name], F.explode(F.array(value)).alias(name))
+
+
 def with_metrics(df: DataFrame, text: str = "text", metrics: str = "metrics") -> DataFrame:
     """Add the struct ``metrics`` of all counts and ratios."""
     t = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(t, "\n", -1), lambda x: x.rlike(HAS_WORD))
-    two = df.withColumn(metrics, F.struct(
-        F.array_remove(F.split(t, WORD_GAP, -1), "").alias("w"), lines.alias("l")))
+    two = _once(df, metrics, F.struct(F.array_remove(F.split(t, WORD_GAP, -1), "").alias("w"), lines.alias("l")))
     w, ln = F.col(f"{metrics}.w"), F.col(f"{metrics}.l")
     bullets = F.filter(ln, lambda x: x.rlike("^[\\x20\\x09]*[-*•]"))
     dots = F.filter(ln, lambda x: x.rlike("(\\.\\.\\.|…)[\\x20\\x09]*$"))
-    counts = two.withColumn(metrics, F.struct(
+    counts = _once(two, metrics, F.struct(
         F.size(w).cast("long").alias("n_words"),
         F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace(t, "[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
@@ -136,16 +145,10 @@ def quality_rules(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = R
     for r in base[1:]:
         base_failed = base_failed | broken(r, out)
     judged = measured.withColumn(out, F.struct(f"{out}.*", base_failed.alias("base_failed"), failed.alias("failed")))
-    return judged.withColumn(out, F.struct(f"{out}.*", (F.size(F.col(f"{out}.failed")) == 0).alias("kept")))
+    return _once(judged, out, F.struct(f"{out}.*", (F.size(F.col(f"{out}.failed")) == 0).alias("kept")))
 
 
 def kept_rows(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES,
               base: tuple[Rule, ...] = BASE_RULES) -> DataFrame:
-    """Rows of ``df`` that break no rule.
-
-    The verdict becomes the length of a generated array: a plain filter would be
-    pushed below the projections and evaluate their expressions again.
-    """
-    judged = quality_rules(df, text, rules, base, "_quality")
-    once = F.when(F.col("_quality.kept"), F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))
-    return judged.select(*df.columns, F.explode(once).alias("_kept")).drop("_kept")
+    """Rows of ``df`` that break no rule."""
+    return quality_rules(df, text, rules, base, "_quality").where("_quality.kept").select(*df.columns)

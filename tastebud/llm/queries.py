@@ -53,7 +53,7 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class, copies and links of every document."""
-    return nearjoin.near_duplicates(_table(spark, sf_dir, "documents")).drop("text_hash")
+    return nearjoin.near_duplicates(_table(spark, sf_dir, "documents")).drop("text_hash", "class_node")
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
