@@ -18,10 +18,8 @@ rows and ties each get their own slot; an empty table gives no pieces.
 from __future__ import annotations
 
 import bisect
-import re
 import zlib
 from collections.abc import Iterator
-from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,16 +32,17 @@ from .tables import stored
 
 #: Entries of each of the two generations of a worker's word memo.
 MEMO_WORDS = 500_000
-_ODD_SPACE = re.compile(r" (?:\s|$)")
-_BEFORE_WORD = re.compile(r"(?= [^\s])")
 
 
 class WordEncoder:
     """Token ids of whole texts, one tokenizer call per different word.
 
-    A byte-level BPE splits its input before every space that a visible
-    character follows, whatever stands around it, so such stretches can be
-    encoded apart and their ids joined.
+    The pre-tokenizer of a byte-level BPE puts a single space before a visible
+    character at the head of a new token and makes a single line feed between
+    visible characters a token of its own.  Texts whose white space is of these
+    two kinds only are encoded word by word and their ids joined; the others go
+    to the tokenizer whole.  Memo keys: a word after a space is itself, a word
+    after a line feed starts with that line feed.
     """
 
     def __init__(self, path: str) -> None:
@@ -53,31 +52,51 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = True
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-
-    @staticmethod
-    def stretches(text: str) -> list[str]:
-        if _ODD_SPACE.search(text):
-            return [x for x in _BEFORE_WORD.split(text) if x]
-        head, *rest = text.split(" ")
-        return [head, *[f" {x}" for x in rest]] if head else [f" {x}" for x in rest]
+        (self.feed,) = self._ids(["\n"])[0]
+        self.ends = {x: self._ids([x])[0].tobytes() for x in ",."}
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _lines(self, words: list[str]) -> list[bytes]:
+        """Ids of many words by few calls: each starts a line, so line feeds part them again."""
+        out: list[bytes] = []
+        for ids in self._ids(["".join(words[i:i + 256]) for i in range(0, len(words), 256)]):
+            at = [*(4 * np.flatnonzero(ids == self.feed)).tolist(), 4 * len(ids)]
+            flat = ids.tobytes()
+            out.extend(flat[a:b] for a, b in zip(at, at[1:], strict=False))
+        return out
+
+    def _learn(self, words: set[str]) -> None:
+        """Bring ``words`` into the memo."""
+        if len(self.memo) > MEMO_WORDS:
+            self.older, self.memo = self.memo, {}
+        new, ended = set(), []
+        for w in words.difference(self.memo):
+            if w in self.older:
+                self.memo[w] = self.older[w]
+            # letters and a closing mark are tokens apart
+            elif w[-1:] in self.ends and (core := w[:-1]).isascii() and core.isalpha():
+                ended.append(w)
+                if core not in self.memo:
+                    new.add(core)
+            else:
+                new.add(w)
+        headed = [w for w in new if w[0] == "\n"]
+        spaced = [w for w in new if w[0] != "\n"]
+        self.memo.update(zip(headed, self._lines(headed), strict=True))
+        self.memo.update(zip(spaced, (x[4:] for x in self._lines([f"\n {w}" for w in spaced])), strict=True))
+        for w in ended:
+            self.memo[w] = self.memo[w[:-1]] + self.ends[w[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids per text."""
-        split = [self.stretches(t) for t in texts]
-        if len(self.memo) > MEMO_WORDS:
-            self.older, self.memo = self.memo, {}
-        for word in set().union(*split).difference(self.memo):
-            if word in self.older:
-                self.memo[word] = self.older[word]
-        new = list(set().union(*split).difference(self.memo))
-        for lo in range(0, len(new), 4096):
-            some = new[lo:lo + 4096]
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-            flat = np.fromiter(chain.from_iterable(ids), dtype="<u4").tobytes()
-            ends = list(accumulate(4 * len(x) for x in ids))
-            self.memo.update(zip(some, (flat[a:b] for a, b in zip([0, *ends], ends)), strict=False))
+        plain = [bool(t) and " ".join(t.split()) == t.replace("\n", " ") for t in texts]
+        split = [f"\n{t}".replace("\n", " \n").split(" ")[1:] if p else [] for t, p in zip(texts, plain, strict=True)]
+        self._learn(set().union(*split))
         of = self.memo.__getitem__
-        return [b"".join(map(of, s)) for s in split]
+        whole = iter(self._ids([t for t, p in zip(texts, plain, strict=True) if not p]))
+        return [b"".join(map(of, s))[4:] if p else next(whole).tobytes() for s, p in zip(split, plain, strict=True)]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
