@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, nearjoin, packing, quality, secrets, sql
+from . import decontam, nearjoin, packing, quality, secrets, sharding, sql, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,14 +64,33 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size("near_items").cast("long").alias("n_near_items"))
 
 
+#: Bytes that one shard may hold in ``op8_extendible_sharding``.
+SHARD_BYTES = 1 << 20
+
+
+def op8_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard of every document."""
+    return sharding.shards(_table(spark, sf_dir, "documents"), "doc_id", SHARD_BYTES).select(
+        "doc_id", "n_bytes", "depth", "shard", "shard_bytes")
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back."""
+    return warc.round_trip(_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Query] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_secret_scans": op3_secret_scans,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_quality_rules": op6_quality_rules,
+    "op8_extendible_sharding": op8_extendible_sharding,
     "op9_decontamination": op9_decontamination,
+    "op10_warc": op10_warc,
 }
 
 ORACLES: dict[str, str] = {
     "op6_quality_rules": sql.quality_rules(),
+    "op8_extendible_sharding": sql.extendible_sharding(SHARD_BYTES),
 }

@@ -52,3 +52,22 @@ WITH d AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        len(failed) = 0 AS kept, array_to_string(failed, ',') AS failed_rules
 FROM v"""
+
+
+def extendible_sharding(limit: int) -> str:
+    """Shallowest hash prefix whose bytes fit (documents larger than a shard and repeated keys aside)."""
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, octet_length(encode(coalesce("text", '')))::BIGINT AS n_bytes,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, chr(0) || 'null')), 1, 15))::BIGINT AS h
+  FROM documents
+), sums AS (
+  SELECT t.depth, h >> (60 - t.depth) AS prefix, sum(n_bytes)::BIGINT AS shard_bytes
+  FROM d, range(0, 61) t(depth) GROUP BY ALL
+), fit AS (
+  SELECT rid, doc_id, n_bytes, h, s.depth, prefix, shard_bytes
+  FROM d JOIN sums s ON d.h >> (60 - s.depth) = s.prefix WHERE shard_bytes <= {limit}
+)
+SELECT doc_id, n_bytes, depth::INTEGER AS depth,
+       CASE WHEN depth = 0 THEN '' ELSE lpad(bin(prefix), depth::INTEGER, '0') END AS shard, shard_bytes
+FROM fit QUALIFY row_number() OVER (PARTITION BY rid ORDER BY depth) = 1"""
