@@ -20,6 +20,7 @@ from __future__ import annotations
 import bisect
 import zlib
 from collections.abc import Iterator
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from pyspark.sql import types as T
 from .tables import stored
 
 #: Entries of each of the two generations of a worker's word memo.
-MEMO_WORDS = 500_000
+MEMO_WORDS = 800_000
 
 
 class WordEncoder:
@@ -53,7 +54,7 @@ class WordEncoder:
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         (self.feed,) = self._ids(["\n"])[0]
-        self.ends = {x: self._ids([x])[0].tobytes() for x in ",."}
+        self.marks: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -75,9 +76,9 @@ class WordEncoder:
         for w in words.difference(self.memo):
             if w in self.older:
                 self.memo[w] = self.older[w]
-            # letters and a closing mark are tokens apart
-            elif w[-1:] in self.ends and (core := w[:-1]).isascii() and core.isalpha():
-                ended.append(w)
+            # a run of letters and the marks that close the word are pre-tokens apart
+            elif (core := w.rstrip(punctuation)) != w and core.isalpha() and max(core) < "\u0250":
+                ended.append((w, core, w[len(core):]))
                 if core not in self.memo:
                     new.add(core)
             else:
@@ -86,8 +87,12 @@ class WordEncoder:
         spaced = [w for w in new if w[0] != "\n"]
         self.memo.update(zip(headed, self._lines(headed), strict=True))
         self.memo.update(zip(spaced, (x[4:] for x in self._lines([f"\n {w}" for w in spaced])), strict=True))
-        for w in ended:
-            self.memo[w] = self.memo[w[:-1]] + self.ends[w[-1]]
+        for w, core, mark in ended:
+            if mark not in self.marks:
+                if len(self.marks) > 10_000:
+                    self.marks.clear()
+                self.marks[mark] = self._ids([mark])[0].tobytes()
+            self.memo[w] = self.memo[core] + self.marks[mark]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids per text."""

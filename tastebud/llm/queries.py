@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, nearjoin, packing, quality, secrets, sharding, sql, warc
+from . import decontam, langid, nearjoin, packing, quality, secrets, sharding, sql, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +51,19 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.render(F.col("secrets")).alias("spans"))
 
 
+def _fold(folds: int, fold: int) -> Column:
+    """Whether the CRC-32 of doc_id as text leaves ``fold``; null for a null id."""
+    return F.crc32(F.col("doc_id").cast("string")) % folds == fold
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; rows without an id are neither held out nor learned from."""
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.learn(docs.where(~_fold(3, 1)))
+    held = docs.select("doc_id", F.coalesce(_fold(3, 1), F.lit(False)).alias("held_out"), "text")
+    return langid.predict(held, model, ["doc_id", "held_out"])
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class, copies and links of every document."""
     return nearjoin.near_duplicates(_table(spark, sf_dir, "documents")).drop("text_hash", "class_node")
@@ -83,6 +96,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_secret_scans": op3_secret_scans,
+    "op4_language_id": op4_language_id,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_quality_rules": op6_quality_rules,
     "op8_extendible_sharding": op8_extendible_sharding,

@@ -77,6 +77,8 @@ def test_word_memo_equals_whole_texts(tokenizer):
     rnd = random.Random(7)
     odd = ["a  b", "a \n b", " \nb", "  ", "x\t y", "'s 's ''ll <|endoftext|> 12 3", "", "a  b  　c", "\x1c \x1d a", "é ́x  "]
     odd += ["".join(rnd.choice(" \n\tab'12é.日  \x1c\u0301") for _ in range(rnd.randint(0, 40))) for _ in range(2000)]
+    odd += ["".join(rnd.choice(["a", "it", "é", "'s", "''", "'", ",", ".", "*", "$%", " ", " ", "\n", "1", "-", "ª"]) for _ in range(rnd.randint(0, 30)))
+            for _ in range(4000)]
     want = [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(odd, add_special_tokens=False)]
     assert P.WordEncoder(tokenizer_path()).encode(odd) == want
 
