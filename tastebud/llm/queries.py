@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, nearjoin, packing, quality, secrets, sharding, sql, warc
+from . import decontam, langid, licenses, nearjoin, packing, quality, secrets, sharding, sql, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,6 +77,15 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size("near_items").cast("long").alias("n_near_items"))
 
 
+def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License labels of every document."""
+    found = licenses.scan(_table(spark, sf_dir, "documents"), ["doc_id"])
+    at = F.transform("base", lambda x: x["i"].cast("long"))
+    return found.select("doc_id", "n_words", F.size("base").cast("long").alias("n_base"), F.array_min(at).alias("first_word"),
+                        F.array_max(at).alias("last_word"), F.array_join("base_labels", ",").alias("base_labels"),
+                        F.array_join("labels", ",").alias("labels"), "score")
+
+
 #: Bytes that one shard may hold in ``op8_extendible_sharding``.
 SHARD_BYTES = 1 << 20
 
@@ -99,6 +108,7 @@ QUERIES: dict[str, Query] = {
     "op4_language_id": op4_language_id,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_quality_rules": op6_quality_rules,
+    "op7_license_scans": op7_license_scans,
     "op8_extendible_sharding": op8_extendible_sharding,
     "op9_decontamination": op9_decontamination,
     "op10_warc": op10_warc,
