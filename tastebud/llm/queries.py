@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, licenses, nearjoin, packing, quality, secrets, sharding, sql, warc
+from . import decontam, katz, langid, licenses, nearjoin, packing, quality, secrets, sharding, sql, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,18 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def _fold(folds: int, fold: int) -> Column:
+    """Whether the CRC-32 of doc_id as text leaves ``fold``; null for a null id."""
+    return F.crc32(F.col("doc_id").cast("string")) % folds == fold
+
+
+def op1_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model score of every document; rows without an id are neither held out nor learned from."""
+    docs = _table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.coalesce(_fold(7, 2), F.lit(False)).alias("held_out"), (~_fold(7, 2)).alias("learn"))
+    return katz.score(docs, ["doc_id", "held_out"], F.col("learn"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces with their places in sequences of 2048 tokens."""
     return packing.pack(_table(spark, sf_dir, "documents"), ["doc_id"], tokenizer_path())
@@ -51,11 +63,6 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.render(F.col("secrets")).alias("spans"))
 
 
-def _fold(folds: int, fold: int) -> Column:
-    """Whether the CRC-32 of doc_id as text leaves ``fold``; null for a null id."""
-    return F.crc32(F.col("doc_id").cast("string")) % folds == fold
-
-
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; rows without an id are neither held out nor learned from."""
     docs = _table(spark, sf_dir, "documents")
@@ -103,6 +110,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_katz_backoff": op1_katz_backoff,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_secret_scans": op3_secret_scans,
     "op4_language_id": op4_language_id,
