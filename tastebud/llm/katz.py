@@ -28,13 +28,14 @@ often as they occur; null ids are scored and not learned from.
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -61,13 +62,14 @@ def _open(b: bytes, kind) -> np.ndarray:
 
 
 def _pack48(v: np.ndarray) -> bytes:
-    """The low 6 bytes of each value."""
-    return np.ascontiguousarray(v).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+    """The low 6 bytes of each value, byte by byte: the high ones of sorted values compress well."""
+    return _pack(np.ascontiguousarray(v).view(np.uint8).reshape(-1, 8)[:, :6].T)
 
 
 def _open48(b: bytes) -> np.ndarray:
-    out = np.zeros((len(b) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(b, np.uint8).reshape(-1, 6)
+    planes = _open(b, np.uint8).reshape(6, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :6] = planes.T
     return out.reshape(-1).view(np.uint64)
 
 
@@ -345,16 +347,21 @@ def _weigh(rows: list[dict]) -> Iterator[tuple]:
     alpha = np.maximum(1 - kept / np.maximum(count, 1), 1e-12) / np.maximum(1 - mass, 1e-12)
     yield (1, None, None, None, None, None, _pack48(v), _pack(np.log10(alpha)), _pack(count.astype(np.int64)))
     weight = np.log10(alpha * np.maximum(count, 1))
-    for r in rows:
-        if r["kind"] == 1:
-            want, refs = _open48(r["contexts"]), _open(r["refs"], np.uint32).astype(np.int64)
-            if len(v):
-                at = np.minimum(np.searchsorted(v, want), len(v) - 1)
-                add = np.where(v[at] == want, weight[at], 0.0)
-            else:
-                add = np.zeros(len(want))
-            for block, docs, score in _per_block(r["blocks"], refs, add):
-                yield (0, block, docs, score, None, None, None, None, None)
+    lost = [r for r in rows if r["kind"] == 1]
+    if not lost:
+        return
+    want = np.concatenate([_open48(r["contexts"]) for r in lost])
+    blocks = np.unique(np.concatenate([r["blocks"] for r in lost]))
+    refs = []
+    for r in lost:      # one row per block: number the blocks of all senders alike
+        ref = _open(r["refs"], np.uint32).astype(np.int64)
+        refs.append((np.searchsorted(blocks, r["blocks"])[ref >> 16] << 16) + (ref & 0xFFFF))
+    add = np.zeros(len(want))
+    if len(v):
+        at = np.minimum(np.searchsorted(v, want), len(v) - 1)
+        add = np.where(v[at] == want, weight[at], 0.0)
+    for block, docs, score in _per_block(blocks.tolist(), np.concatenate(refs), add):
+        yield (0, block, docs, score, None, None, None, None, None)
 
 
 def _score(r: dict, u: Unigrams) -> Iterator[tuple]:
@@ -384,10 +391,18 @@ def _total(rows: list[dict], begun: int) -> tuple:
     return home["keys"], home["sizes"], known, base, score
 
 
+def _forget(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the files of shuffles that nothing refers to any more."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
+
+
 def score(df: DataFrame, keys: list[str], train, text: str = "text") -> DataFrame:
     """Per row: keys, n_tokens, n_known, train_tokens, base_score, score; learns from rows where ``train`` is true."""
     spark = df.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = df.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.coalesce(train, F.lit(False)).alias("train"),
                      F.col(text).alias("t"))
     hot = _hot_words(rows)
@@ -415,8 +430,7 @@ def score(df: DataFrame, keys: list[str], train, text: str = "text") -> DataFram
     merged = table.where("kind = 0")
     homes = table.where("kind = 1").select(F.get("blocks", F.lit(0)).alias("block"), "keys", "sizes")
     del sent
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()      # lets Spark delete the first shuffle's files before the next ones
+    _forget(spark)
     total = lambda name, size: [F.coalesce(F.sum(F.get(name, F.lit(i))), F.lit(0)).alias(f"{name}{i}") for i in range(size)]
     got = merged.agg(*total("hot", len(hot)), *total("unigrams", K + 1), *total("bigrams", K + 1),
                      F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("vocabulary"), F.lit(0)).alias("vocabulary")).first()
