@@ -92,6 +92,10 @@ def onehot_array(label, n_classes) -> Column:
                        lambda k: (k == _c(label)).cast("int"))
 
 
+#: Ids count modulo this, so that their products stay below 2^63.
+ID_RANGE = 1 << 31
+
+
 def arith_hash(*terms: tuple[str | Column, int], offset: int = 0, mod: int = 4294967296) -> Column:
     """Deterministic arithmetic hash ``(Σ c_k * m_k + offset) mod mod``.
 
@@ -100,7 +104,7 @@ def arith_hash(*terms: tuple[str | Column, int], offset: int = 0, mod: int = 429
     """
     acc = F.lit(offset).cast("bigint")
     for c, m in terms:
-        acc = acc + _c(c).cast("bigint") * F.lit(m).cast("bigint")
+        acc = acc + F.pmod(_c(c).cast("bigint"), F.lit(ID_RANGE)) * F.lit(m).cast("bigint")
     return F.pmod(acc, F.lit(mod).cast("bigint"))
 
 

@@ -116,7 +116,7 @@ def negative_sample(pos: DataFrame, user: str = "user_id", item: str = "item_id"
         F.col("_c") * DRAW_CHUNK + 1,
         F.least((F.col("_c") + 1) * DRAW_CHUNK, F.col("_n") * ratio))).alias("_t"))
     draws = draws.withColumn(
-        "_idx", F.pmod(F.col(user).cast("bigint") * F.lit(SPLIT_HASH_USER)
+        "_idx", F.pmod(F.pmod(F.col(user).cast("bigint"), F.lit(1 << 31)) * F.lit(SPLIT_HASH_USER)
                        + F.col("_t") * F.lit(SPLIT_HASH_ITEM) + F.lit(seed), F.col("_P")))
     drawn = draws.join(pool, "_idx").select(user, "_n", "_t", F.col("_pi").alias(item))
     drawn = drawn.join(p, [user, item], "left_anti")
@@ -145,19 +145,6 @@ def ratings_to_sparse(df: DataFrame, user: str = "user_id", item: str = "item_id
     return out.select(user, "size", "indices", "values")
 
 
-def to_user_item_matrix(df: DataFrame, user: str, item: str, value: str,
-                        items: Sequence, max_cells: int = 10_000_000) -> DataFrame:
-    """Dense pivot with 0 for absent cells - small demos only.
-
-    The item list is passed explicitly (so Spark does not collect it) and its
-    length times the number of users is guarded.
-    """
-    if len(items) > 10_000:
-        raise ValueError("dense matrix requested for too many items; stay in long form")
-    wide = df.groupBy(user).pivot(item, list(items)).agg(F.first(value))
-    return wide.fillna(0)
-
-
 def feature_dictionary(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
                        order: Sequence[str]) -> DataFrame:
     """P10: slot per numeric column, slot per distinct categorical value.

@@ -29,6 +29,11 @@ def _tr(spark, sf):
     return C.train(spark, sf).select("user_id", "item_id", "rating")
 
 
+def _all(spark, sf):
+    """All ratings, for queries whose operator knows no holdout."""
+    return C.ratings(spark, sf).select("user_id", "item_id", "rating")
+
+
 def _te(spark, sf):
     return C.test(spark, sf).select("user_id", "item_id", "rating")
 
@@ -197,11 +202,11 @@ def cooccurrence(spark: SparkSession, sf: str) -> DataFrame:
 def _jaccard_sql(group: str, member: str, diag: str | None) -> str:
     d = "" if diag is None else f"""
 UNION ALL SELECT {member} AS i, {member} AS j, CAST({diag} AS DOUBLE) AS w
-  FROM (SELECT DISTINCT {member} FROM train)"""
+  FROM (SELECT DISTINCT {member} FROM ratings)"""
     return Q.with_(Q.RATINGS, f"""
-cnt AS (SELECT {member} AS m, COUNT(*) AS n FROM train GROUP BY {member}),
+cnt AS (SELECT {member} AS m, COUNT(*) AS n FROM ratings GROUP BY {member}),
 co AS (SELECT a.{member} AS i, b.{member} AS j, COUNT(*) AS c
-       FROM train a JOIN train b ON a.{group} = b.{group} AND a.{member} <> b.{member}
+       FROM ratings a JOIN ratings b ON a.{group} = b.{group} AND a.{member} <> b.{member}
        GROUP BY a.{member}, b.{member}),
 jac AS (SELECT co.i, co.j, co.c / CAST(p1.n + p2.n - co.c AS DOUBLE) AS w
         FROM co JOIN cnt p1 ON co.i = p1.m JOIN cnt p2 ON co.j = p2.m{d})""") + """
@@ -215,38 +220,38 @@ def _sim_out(df: DataFrame) -> DataFrame:
 @register("jaccard_items", _jaccard_sql("user_id", "item_id", "1.0"))
 def jaccard_items(spark: SparkSession, sf: str) -> DataFrame:
     """Item-item Jaccard of rater sets, both directions, diagonal 1, zero pairs omitted."""
-    return _sim_out(S.jaccard(_tr(spark, sf), "user_id", "item_id", diagonal=1.0))
+    return _sim_out(S.jaccard(_all(spark, sf), "user_id", "item_id", diagonal=1.0))
 
 
 @register("jaccard_users", _jaccard_sql("item_id", "user_id", "1.0"))
 def jaccard_users(spark: SparkSession, sf: str) -> DataFrame:
     """Row (user) Jaccard, both directions, diagonal 1."""
-    return _sim_out(S.jaccard(_tr(spark, sf), "item_id", "user_id", diagonal=1.0))
+    return _sim_out(S.jaccard(_all(spark, sf), "item_id", "user_id", diagonal=1.0))
 
 
 @register("jaccard_rows", _jaccard_sql("item_id", "user_id", "0.0"))
 def jaccard_rows(spark: SparkSession, sf: str) -> DataFrame:
     """User Jaccard with the diagonal left at 0 (the double loop skips it)."""
-    return _sim_out(S.jaccard(_tr(spark, sf), "item_id", "user_id", diagonal=0.0))
+    return _sim_out(S.jaccard(_all(spark, sf), "item_id", "user_id", diagonal=0.0))
 
 
 @register("jaccard_binary", _jaccard_sql("user_id", "item_id", "1.0"))
 def jaccard_binary(spark: SparkSession, sf: str) -> DataFrame:
     """Σab / Σ(a+b-ab) on 0/1 item vectors; full matrix with diagonal 1 (sparse)."""
-    return _sim_out(S.jaccard(_tr(spark, sf).select("user_id", "item_id"), "user_id",
+    return _sim_out(S.jaccard(_all(spark, sf).select("user_id", "item_id"), "user_id",
                               "item_id", diagonal=1.0))
 
 
-def _rated_cos_sql(group: str, member: str, both: bool, diag: bool) -> str:
+def _rated_cos_sql(group: str, member: str, both: bool, diag: bool, rows: str = "ratings") -> str:
     cmp = "<>" if both else "<"
     d = """
 UNION ALL SELECT m AS i, m AS j, 1.0::DOUBLE AS w FROM nrm WHERE ss > 0""" if diag else ""
     return Q.with_(Q.RATINGS, f"""
 nrm AS (SELECT {member} AS m, SUM(CAST(rating AS DOUBLE) * rating) AS ss
-        FROM train GROUP BY {member}),
+        FROM {rows} GROUP BY {member}),
 dp AS (SELECT a.{member} AS i, b.{member} AS j,
               SUM(CAST(a.rating AS DOUBLE) * b.rating) AS dot
-       FROM train a JOIN train b ON a.{group} = b.{group} AND a.{member} {cmp} b.{member}
+       FROM {rows} a JOIN {rows} b ON a.{group} = b.{group} AND a.{member} {cmp} b.{member}
        GROUP BY a.{member}, b.{member}),
 cs AS (SELECT dp.i, dp.j, dp.dot / (sqrt(p1.ss) * sqrt(p2.ss)) AS w
        FROM dp JOIN nrm p1 ON dp.i = p1.m JOIN nrm p2 ON dp.j = p2.m{d})""") + """
@@ -256,13 +261,13 @@ SELECT i, j, round(w, 6) AS w FROM cs"""
 @register("cosine_items_rated", _rated_cos_sql("user_id", "item_id", False, False))
 def cosine_items_rated(spark: SparkSession, sf: str) -> DataFrame:
     """S3: cosine of item rating columns, i < j only, no diagonal."""
-    return _sim_out(S.cosine_rated(_tr(spark, sf), "user_id", "item_id", "rating"))
+    return _sim_out(S.cosine_rated(_all(spark, sf), "user_id", "item_id", "rating"))
 
 
 @register("cosine_users_rated", _rated_cos_sql("item_id", "user_id", True, True))
 def cosine_users_rated(spark: SparkSession, sf: str) -> DataFrame:
     """Cosine of user rating rows, symmetric, diagonal 1."""
-    return _sim_out(S.cosine_rated(_tr(spark, sf), "item_id", "user_id", "rating",
+    return _sim_out(S.cosine_rated(_all(spark, sf), "item_id", "user_id", "rating",
                                    both=True, diagonal=True))
 
 
@@ -281,7 +286,7 @@ def cosine_users_cooc(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _dist_sql(group: str, member: str) -> str:
-    return _rated_cos_sql(group, member, True, True).replace(
+    return _rated_cos_sql(group, member, True, True, "train").replace(
         "SELECT i, j, round(w, 6) AS w FROM cs", "SELECT i, j, round(1.0 - w, 6) AS d FROM cs")
 
 
@@ -300,7 +305,7 @@ def cosine_distance_items(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _X_SQL = """
-xp AS (SELECT item_id AS x FROM train GROUP BY item_id ORDER BY COUNT(*) DESC, item_id LIMIT 1)"""
+xp AS (SELECT item_id AS x FROM ratings GROUP BY item_id ORDER BY COUNT(*) DESC, item_id LIMIT 1)"""
 
 
 @register("sim_row", _rated_cos_sql("user_id", "item_id", False, False).replace(
@@ -309,7 +314,7 @@ SELECT CASE WHEN cs.i = xp.x THEN cs.j ELSE cs.i END AS j, round(cs.w, 6) AS w
 FROM cs JOIN xp ON cs.i = xp.x OR cs.j = xp.x""")
 def sim_row(spark: SparkSession, sf: str) -> DataFrame:
     """Similarity row of the most rated item out of the S3 upper triangle."""
-    tr = _tr(spark, sf)
+    tr = _all(spark, sf)
     half = S.cosine_rated(tr, "user_id", "item_id", "rating")
     x = F.broadcast(_most_popular_item(tr))
     j = half.join(x, (F.col("i") == F.col("x")) | (F.col("j") == F.col("x")))
@@ -332,12 +337,12 @@ def top_k_neighbors(spark: SparkSession, sf: str) -> DataFrame:
 row_x AS (SELECT CASE WHEN cs.i = xp.x THEN cs.j ELSE cs.i END AS item_id, cs.w
           FROM cs JOIN xp ON cs.i = xp.x OR cs.j = xp.x),
 dotu AS (SELECT t.user_id, SUM(t.rating * row_x.w) AS score
-         FROM train t JOIN row_x ON t.item_id = row_x.item_id GROUP BY t.user_id)
+         FROM ratings t JOIN row_x ON t.item_id = row_x.item_id GROUP BY t.user_id)
 SELECT u.user_id, round(COALESCE(dotu.score, 0.0), 6) AS score
-FROM (SELECT DISTINCT user_id FROM train) u LEFT JOIN dotu ON u.user_id = dotu.user_id""")
+FROM (SELECT DISTINCT user_id FROM ratings) u LEFT JOIN dotu ON u.user_id = dotu.user_id""")
 def score_single_item(spark: SparkSession, sf: str) -> DataFrame:
     """Score every user for the most rated item by Σ r_ui · sim(x, i); 0 without overlap."""
-    tr = _tr(spark, sf)
+    tr = _all(spark, sf)
     half = S.cosine_rated(tr, "user_id", "item_id", "rating")
     x = F.broadcast(_most_popular_item(tr))
     row = (half.join(x, (F.col("i") == F.col("x")) | (F.col("j") == F.col("x")))
@@ -351,22 +356,22 @@ def score_single_item(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("binary_scores", Q.with_(Q.RATINGS, """
-cnt AS (SELECT item_id AS m, COUNT(*) AS n FROM train GROUP BY item_id),
+cnt AS (SELECT item_id AS m, COUNT(*) AS n FROM ratings GROUP BY item_id),
 co AS (SELECT a.item_id AS i, b.item_id AS j, COUNT(*) AS c
-       FROM train a JOIN train b ON a.user_id = b.user_id AND a.item_id <> b.item_id
+       FROM ratings a JOIN ratings b ON a.user_id = b.user_id AND a.item_id <> b.item_id
        GROUP BY a.item_id, b.item_id),
 jac AS (SELECT co.i, co.j, co.c / CAST(p1.n + p2.n - co.c AS DOUBLE) AS w
         FROM co JOIN cnt p1 ON co.i = p1.m JOIN cnt p2 ON co.j = p2.m),
 sc AS (SELECT t.user_id, jac.j AS item_id, SUM(jac.w) AS score
-       FROM train t JOIN jac ON t.item_id = jac.i GROUP BY t.user_id, jac.j)""") + """
+       FROM ratings t JOIN jac ON t.item_id = jac.i GROUP BY t.user_id, jac.j)""") + """
 SELECT user_id, item_id, round(score, 6) AS score FROM sc
-WHERE score <> 0 AND NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = sc.user_id
+WHERE score <> 0 AND NOT EXISTS (SELECT 1 FROM ratings t WHERE t.user_id = sc.user_id
                                  AND t.item_id = sc.item_id)""")
 def binary_scores(spark: SparkSession, sf: str) -> DataFrame:
     """(S·a)*(1-a) with item Jaccard S (diagonal 1); seen and zero cells dropped.
 
     The diagonal only ever scores seen items, which are zeroed, so it is not
     materialised."""
-    tr = _tr(spark, sf)
+    tr = _all(spark, sf)
     sim = S.jaccard(tr, "user_id", "item_id", diagonal=None)
     return R.binary_scores(tr, sim).select("user_id", "item_id", r6("score"))

@@ -17,7 +17,7 @@ from ..operators import predict as PR
 from ..operators import similarity as S
 from ..sources import catalog as C
 from . import sql as Q
-from .cf import _most_popular_item, _tr
+from .cf import _all, _most_popular_item, _tr
 from .registry import register
 
 
@@ -184,19 +184,19 @@ def half_squared_error(spark: SparkSession, sf: str) -> DataFrame:
 
 # --------------------------------------------------------------- J8, J9
 @register("spmv", Q.with_(Q.RATINGS, """
-nrm AS (SELECT item_id AS m, SUM(CAST(rating AS DOUBLE) * rating) AS ss FROM train GROUP BY item_id),
+nrm AS (SELECT item_id AS m, SUM(CAST(rating AS DOUBLE) * rating) AS ss FROM ratings GROUP BY item_id),
 dp AS (SELECT a.item_id AS i, b.item_id AS j, SUM(CAST(a.rating AS DOUBLE) * b.rating) AS dot
-       FROM train a JOIN train b ON a.user_id = b.user_id AND a.item_id < b.item_id GROUP BY 1, 2),
+       FROM ratings a JOIN ratings b ON a.user_id = b.user_id AND a.item_id < b.item_id GROUP BY 1, 2),
 cs AS (SELECT dp.i, dp.j, dp.dot / (sqrt(p1.ss) * sqrt(p2.ss)) AS w
        FROM dp JOIN nrm p1 ON dp.i = p1.m JOIN nrm p2 ON dp.j = p2.m),
-xp AS (SELECT item_id AS x FROM train GROUP BY item_id ORDER BY COUNT(*) DESC, item_id LIMIT 1),
+xp AS (SELECT item_id AS x FROM ratings GROUP BY item_id ORDER BY COUNT(*) DESC, item_id LIMIT 1),
 row_x AS (SELECT CASE WHEN cs.i = xp.x THEN cs.j ELSE cs.i END AS item_id, cs.w
           FROM cs JOIN xp ON cs.i = xp.x OR cs.j = xp.x)""") + """
 SELECT t.user_id, round(SUM(t.rating * row_x.w), 6) AS score
-FROM train t JOIN row_x ON t.item_id = row_x.item_id GROUP BY t.user_id""")
+FROM ratings t JOIN row_x ON t.item_id = row_x.item_id GROUP BY t.user_id""")
 def spmv(spark: SparkSession, sf: str) -> DataFrame:
     """Each user's sparse rating vector times the similarity vector of one item."""
-    tr = _tr(spark, sf)
+    tr = _all(spark, sf)
     half = S.cosine_rated(tr, "user_id", "item_id", "rating")
     x = F.broadcast(_most_popular_item(tr))
     row = (half.join(x, (F.col("i") == F.col("x")) | (F.col("j") == F.col("x")))

@@ -75,7 +75,7 @@ def split_mk(spark: SparkSession, sf: str) -> DataFrame:
 @register("split_exact", Q.with_(Q.RATINGS) + """
 SELECT user_id, item_id, rn <= ceil(0.25 * n) AS in_test FROM (
   SELECT user_id, item_id,
-         row_number() OVER (ORDER BY (user_id * 2654435761 + item_id * 40503) % 4294967296,
+         row_number() OVER (ORDER BY ((user_id % 2147483648) * 2654435761 + item_id * 40503) % 4294967296,
                             user_id, item_id) AS rn,
          COUNT(*) OVER () AS n
   FROM ratings)""")
@@ -88,7 +88,7 @@ def split_exact(spark: SparkSession, sf: str) -> DataFrame:
 SELECT doc_id, quality, CAST((rn - 1) % 3 AS BIGINT) AS fold FROM (
   SELECT doc_id, quality,
          row_number() OVER (PARTITION BY quality
-                            ORDER BY (doc_id * 2654435761) % 4294967296, doc_id) AS rn
+                            ORDER BY ((doc_id % 2147483648) * 2654435761) % 4294967296, doc_id) AS rn
   FROM labels)""")
 def stratified_kfold(spark: SparkSession, sf: str) -> DataFrame:
     """3 class-balanced folds of ``labels`` by quality."""
@@ -97,12 +97,12 @@ def stratified_kfold(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("negative_sample", Q.with_(Q.RATINGS, """
-pos AS (SELECT DISTINCT user_id, item_id FROM train),
+pos AS (SELECT DISTINCT user_id, item_id FROM ratings),
 pool AS (SELECT item_id AS pi, row_number() OVER (ORDER BY item_id, user_id) - 1 AS idx FROM pos),
 psize AS (SELECT COUNT(*) AS P FROM pos),
 nu AS (SELECT user_id, COUNT(*) AS n FROM pos GROUP BY user_id),
 draws AS (SELECT nu.user_id, nu.n, t.t,
-                 (nu.user_id * 2654435761 + t.t * 40503 + 12345) % psize.P AS idx
+                 ((nu.user_id % 2147483648) * 2654435761 + t.t * 40503 + 12345) % psize.P AS idx
           FROM nu CROSS JOIN psize, LATERAL (SELECT unnest(generate_series(1, nu.n * 3)) AS t) t),
 drawn AS (SELECT d.user_id, d.n, d.t, pool.pi AS item_id FROM draws d JOIN pool ON d.idx = pool.idx
           WHERE NOT EXISTS (SELECT 1 FROM pos WHERE pos.user_id = d.user_id AND pos.item_id = pool.pi)),
@@ -114,7 +114,7 @@ SELECT user_id, item_id, 1 AS label FROM pos
 UNION ALL SELECT user_id, item_id, 0 AS label FROM neg""")
 def negative_sample(spark: SparkSession, sf: str) -> DataFrame:
     """Train positives + up to n+1 popularity-weighted negatives per user."""
-    tr = C.train(spark, sf).select("user_id", "item_id")
+    tr = C.ratings(spark, sf).select("user_id", "item_id")
     return P.negative_sample(tr)
 
 
@@ -182,12 +182,12 @@ def encode_features(spark: SparkSession, sf: str) -> DataFrame:
 @register("onehot_user_item", Q.with_(Q.RATINGS) + """
 SELECT t.user_id, t.item_id, t.rating,
        CAST(dense_rank() OVER (ORDER BY t.user_id) - 1 AS BIGINT) AS user_idx,
-       CAST((SELECT COUNT(DISTINCT user_id) FROM train)
+       CAST((SELECT COUNT(DISTINCT user_id) FROM ratings)
             + dense_rank() OVER (ORDER BY t.item_id) - 1 AS BIGINT) AS item_idx
-FROM train t""")
+FROM ratings t""")
 def onehot_user_item(spark: SparkSession, sf: str) -> DataFrame:
     """One-hot positions of user and item (two groups) for every train row."""
-    tr = C.train(spark, sf).select("user_id", "item_id", "rating")
+    tr = C.ratings(spark, sf).select("user_id", "item_id", "rating")
     return P.onehot_user_item(tr).select("user_id", "item_id", "rating", "user_idx", "item_idx")
 
 

@@ -15,7 +15,7 @@ from ..operators import topk as K
 from ..operators.ranking import row_number
 from ..sources import catalog as C
 from . import sql as Q
-from .cf import R1_SQL, _tr, item_cf_recs
+from .cf import R1_SQL, _all, _tr, item_cf_recs
 from .registry import register
 
 
@@ -184,10 +184,10 @@ def user_history(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("membership_sets", Q.with_(Q.RATINGS) + """
 SELECT item_id, array_to_string(list(DISTINCT user_id ORDER BY user_id), ',') AS users
-FROM train GROUP BY item_id""")
+FROM ratings GROUP BY item_id""")
 def membership_sets(spark: SparkSession, sf: str) -> DataFrame:
     """A5: the set of raters of each item (sorted array)."""
-    m = A.membership_sets(_tr(spark, sf), "item_id", "user_id", "users")
+    m = A.membership_sets(_all(spark, sf), "item_id", "user_id", "users")
     return m.select("item_id", X.join_ints("users").alias("users"))
 
 
@@ -309,15 +309,15 @@ def set_difference(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("set_intersect_size", Q.with_(Q.RATINGS, """
-cnt AS (SELECT item_id, COUNT(*) AS n FROM train GROUP BY item_id)""") + """
+cnt AS (SELECT item_id, COUNT(*) AS n FROM ratings GROUP BY item_id)""") + """
 SELECT a.item_id AS i, b.item_id AS j, CAST(COUNT(*) AS BIGINT) AS inter,
        CAST(MIN(ca.n) + MIN(cb.n) - COUNT(*) AS BIGINT) AS uni
-FROM train a JOIN train b ON a.user_id = b.user_id AND a.item_id < b.item_id
+FROM ratings a JOIN ratings b ON a.user_id = b.user_id AND a.item_id < b.item_id
 JOIN cnt ca ON ca.item_id = a.item_id JOIN cnt cb ON cb.item_id = b.item_id
 GROUP BY a.item_id, b.item_id""")
 def set_intersect_size(spark: SparkSession, sf: str) -> DataFrame:
     """|A_i ∩ A_j| and |A_i ∪ A_j| of item rater sets, i < j, non-empty intersections."""
-    return U.intersect_union_sizes(_tr(spark, sf), "user_id", "item_id")
+    return U.intersect_union_sizes(_all(spark, sf), "user_id", "item_id")
 
 
 @register("concat_columns", Q.with_(Q.WIDE) + """
@@ -372,24 +372,24 @@ def sort_by_key(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("sorted_pairs", Q.with_(Q.RATINGS) + """
 SELECT user_id, array_to_string(list(item_id ORDER BY item_id), ',') AS items
-FROM train GROUP BY user_id""")
+FROM ratings GROUP BY user_id""")
 def sorted_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """K5: each user's train items ascending inside the row."""
-    tr = _tr(spark, sf)
+    tr = _all(spark, sf)
     g = tr.groupBy("user_id").agg(K.sorted_pairs(F.collect_list("item_id")).alias("items"))
     return g.select("user_id", X.join_ints("items").alias("items"))
 
 
 @register("set_union_size", Q.with_(Q.RATINGS, """
-cnt AS (SELECT item_id, COUNT(*) AS n FROM train GROUP BY item_id)""") + """
+cnt AS (SELECT item_id, COUNT(*) AS n FROM ratings GROUP BY item_id)""") + """
 SELECT a.item_id AS i, b.item_id AS j,
        CAST(MIN(ca.n) + MIN(cb.n) - COUNT(*) AS BIGINT) AS uni
-FROM train a JOIN train b ON a.user_id = b.user_id AND a.item_id < b.item_id
+FROM ratings a JOIN ratings b ON a.user_id = b.user_id AND a.item_id < b.item_id
 JOIN cnt ca ON ca.item_id = a.item_id JOIN cnt cb ON cb.item_id = b.item_id
 GROUP BY a.item_id, b.item_id""")
 def set_union_size(spark: SparkSession, sf: str) -> DataFrame:
     """|A_i ∪ A_j| of item rater sets for pairs with a common rater (i < j)."""
-    return U.intersect_union_sizes(_tr(spark, sf), "user_id", "item_id").select("i", "j", "uni")
+    return U.intersect_union_sizes(_all(spark, sf), "user_id", "item_id").select("i", "j", "uni")
 
 
 @register("first", Q.with_(Q.RATINGS) + """
