@@ -442,7 +442,7 @@ def score(df: DataFrame, keys: list[str], train, text: str = "text") -> DataFram
     def to_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                for out in _to_contexts(r, u, buckets):
+                for out in _to_contexts(r, u, buckets // 2):
                     yield _batch([out], _TO_CONTEXT)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -455,7 +455,7 @@ def score(df: DataFrame, keys: list[str], train, text: str = "text") -> DataFram
             for r in batch.to_pylist():
                 yield _batch(list(_score(r, u)), _PARTS)
 
-    weights = stored(merged.mapInArrow(to_contexts, _TO_CONTEXT).repartition(buckets, "bucket")
+    weights = stored(merged.mapInArrow(to_contexts, _TO_CONTEXT).repartition(buckets // 2, "bucket")
                      .sortWithinPartitions("bucket").mapInArrow(weigh, _PARTS), "weights", ("kind",))
     parts = merged.mapInArrow(tokens, _PARTS).unionByName(weights.where("kind = 0")).select("block", "docs", "score", "base", "known")
     names = [*[f"k{i}" for i in range(n_keys)], "n_tokens", "n_known", "base_score", "score"]
