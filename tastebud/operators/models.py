@@ -241,7 +241,8 @@ def _times_gram(cols: Sequence[str], prefix: str, out: str) -> list[Column]:
 
 
 def nmf(a: DataFrame, k: int = 2, iters: int = 50, row: str = "user_id", col: str = "item_id",
-        value: str = "v", seed: int = 3, eps: float = 1e-10, checkpoint_every: int = 5):
+        value: str = "v", seed: int = 3, eps: float = 1e-10, checkpoint_every: int = 5,
+        with_losses: bool = True):
     """Non-negative factorisation V ≈ W H by multiplicative updates (Frobenius loss).
 
     H <- H ∘ (Wᵀ V) / ((Wᵀ W) H),  W <- W ∘ (V Hᵀ) / (W (H Hᵀ)).
@@ -249,7 +250,7 @@ def nmf(a: DataFrame, k: int = 2, iters: int = 50, row: str = "user_id", col: st
     product by join + aggregate, k x k Gram as a broadcast one-row frame),
     materialised by a checkpoint.  Returns (W, H, losses) with W as
     (row, w0..), H as (col, h0..) and the squared Frobenius loss every
-    ``checkpoint_every`` iterations.
+    ``checkpoint_every`` iterations (none without ``with_losses``).
     """
     a = _checkpoint(a.select(row, col, F.col(value).cast("double").alias("v")))
     wc, hc = _cols("w", k), _cols("h", k)
@@ -258,7 +259,7 @@ def nmf(a: DataFrame, k: int = 2, iters: int = 50, row: str = "user_id", col: st
     h = a.select(col).distinct().select(col, *[(_hash_unit(F.col(col), f, seed + 1) + F.lit(0.5) + F.lit(0.01))
                                                 .alias(f"h{f}") for f in range(k)])
     w, h = _checkpoint(w), _checkpoint(h)
-    vv = a.agg(F.sum(F.col("v") * F.col("v"))).first()[0] or 0.0
+    vv = (a.agg(F.sum(F.col("v") * F.col("v"))).first()[0] or 0.0) if with_losses else 0.0
     losses = []
     for it in range(iters):
         # H update: numerator WᵀV per column, denominator h_c @ (WᵀW)
@@ -275,7 +276,7 @@ def nmf(a: DataFrame, k: int = 2, iters: int = 50, row: str = "user_id", col: st
         w = _checkpoint(wd.join(vht, row, "left")
               .select(row, *[(F.col(f"w{f}") * F.coalesce(F.col(f"n{f}"), F.lit(0.0))
                               / (F.col(f"d{f}") + F.lit(eps))).alias(f"w{f}") for f in range(k)]))
-        if (it + 1) % checkpoint_every == 0 or it == iters - 1:
+        if with_losses and ((it + 1) % checkpoint_every == 0 or it == iters - 1):
             # ||V - WH||² = ||V||² - 2 Σ_obs v (WH) + tr((WᵀW)(HHᵀ))
             wh = (a.join(w, row).join(h, col)
                    .agg(F.sum(F.col("v") * sum((F.col(f"w{f}") * F.col(f"h{f}") for f in range(k)),

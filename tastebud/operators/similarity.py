@@ -37,11 +37,11 @@ def _stats(r: DataFrame, member: str, value: str | None) -> DataFrame:
 
 def _pair_aggregate(r: DataFrame, group: str, member: str, value: str | None,
                     block_size: int) -> DataFrame:
-    """(m_1, m_2, _n_1, _n_2[, _ss_1, _ss_2], c[, dot]) for m_1 < m_2."""
+    """(m_1, m_2, _n_1, _n_2, c) or, with ``value``, (m_1, m_2, _ss_1, _ss_2, c, dot) for m_1 < m_2."""
     cols = [group, member] + ([value] if value is not None else [])
     stats = _stats(r, member, value)
-    rs = r.select(*cols).join(stats, member)
-    carried = ["_n"] + (["_ss"] if value is not None else [])
+    carried = ["_n" if value is None else "_ss"]
+    rs = r.select(*cols).join(stats.select(member, *carried), member)
     vals = carried + ([value] if value is not None else [])
     pr = P.pairs_within(rs, group, member, vals, block_size=block_size)
     keys = [member + "_1", member + "_2"] + [f"{c}_{s}" for c in carried for s in (1, 2)]
@@ -126,11 +126,21 @@ def cosine_distance(sim_with_diag: DataFrame) -> DataFrame:
     return sim_with_diag.select("i", "j", (F.lit(1.0) - F.col("w")).alias("d"))
 
 
-def sim_row(sim_half: DataFrame, x) -> DataFrame:
-    """The row of member ``x`` out of an upper-triangle (i < j) table."""
-    return (sim_half.where((F.col("i") == x) | (F.col("j") == x))
-                    .select(F.when(F.col("i") == x, F.col("j")).otherwise(F.col("i")).alias("j"),
-                            F.col("w")))
+def sim_row(r: DataFrame, x, group: str = "user_id", member: str = "item_id",
+            value: str = "rating") -> DataFrame:
+    """(j, w), the rated cosine (S3) of member ``x`` with every member that shares a group.
+
+    Only the groups of ``x`` are paired, with ``x`` alone: the cost is the
+    histories of x's raters, not all pairs.
+    """
+    v = F.col(value).cast("double")
+    own = r.where(F.col(member) == F.lit(x)).select(group, v.alias("_vx"))
+    norm = F.sqrt(F.lit(own.agg(F.sum(F.col("_vx") * F.col("_vx"))).first()[0]).cast("double"))
+    others = r.where(F.col(member) != F.lit(x)).select(group, F.col(member).alias("j"), v.alias("_v"))
+    dots = (P.salted_join(others, own, group, "j")
+             .groupBy("j").agg(F.sum(F.col("_v") * F.col("_vx")).alias("_dot")))
+    norms = r.groupBy(F.col(member).alias("j")).agg(F.sum(v * v).alias("_ss"))
+    return dots.join(norms, "j").select("j", (F.col("_dot") / (norm * F.sqrt("_ss"))).alias("w"))
 
 
 def top_k_neighbors(sim: DataFrame, k: int, rank_col: str = "rank") -> DataFrame:

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranking import row_number
+
 # Scores that come out of floating sums can differ in the last bits between
 # engines or summation orders; ranking compares them rounded to this many
 # places and breaks the remaining ties on the key ascending.
@@ -36,10 +38,9 @@ def top_n_per_group(df: DataFrame, group: str | Sequence[str], score: str, tiebr
               .withColumn(rank_col, F.col(rank_col).cast("bigint")))
 
 
-def global_sort_desc(df: DataFrame, score: str, tiebreak: str | None = None) -> DataFrame:
-    """K2: total order by score descending (range-partitioned sort)."""
-    keys = [F.col(score).desc()] + ([F.col(tiebreak).asc()] if tiebreak else [])
-    return df.orderBy(*keys)
+def global_sort_desc(df: DataFrame, score: str, tiebreak: str, name: str = "pos") -> DataFrame:
+    """K2: total order by score descending (range-partitioned sort), as a position column."""
+    return row_number(df, [F.col(score).desc(), F.col(tiebreak).asc()], name=name)
 
 
 def take_n(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
@@ -47,9 +48,9 @@ def take_n(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
     return df.orderBy(*[F.col(c).asc() for c in order]).limit(n)
 
 
-def sort_by_key(df: DataFrame, key: str) -> DataFrame:
-    """K4."""
-    return df.orderBy(F.col(key).asc())
+def sort_by_key(df: DataFrame, keys: Sequence[str], name: str = "pos") -> DataFrame:
+    """K4: total order by ``keys`` ascending, as a position column."""
+    return row_number(df, list(keys), name=name)
 
 
 def sorted_pairs(arr: Column) -> Column:

@@ -42,11 +42,11 @@ def _topn_out(df: DataFrame) -> DataFrame:
     return df.select("user_id", "item_id", r6("score"), "rank")
 
 
-def _most_popular_item(train: DataFrame) -> DataFrame:
-    """One-row frame with the most rated train item (ties: smallest id)."""
-    return (S.member_counts(train, "item_id")
-             .orderBy(F.col("n").desc(), F.col("item_id").asc()).limit(1)
-             .select(F.col("item_id").alias("x")))
+def _most_popular_item(r: DataFrame):
+    """Id of the most rated item (ties: smallest id); None without ratings."""
+    top = (S.member_counts(r, "item_id")
+            .orderBy(F.col("n").desc(), F.col("item_id").asc()).first())
+    return top and top["item_id"]
 
 
 # --------------------------------------------------------------- R1 item CF
@@ -313,13 +313,9 @@ xp AS (SELECT item_id AS x FROM ratings GROUP BY item_id ORDER BY COUNT(*) DESC,
 SELECT CASE WHEN cs.i = xp.x THEN cs.j ELSE cs.i END AS j, round(cs.w, 6) AS w
 FROM cs JOIN xp ON cs.i = xp.x OR cs.j = xp.x""")
 def sim_row(spark: SparkSession, sf: str) -> DataFrame:
-    """Similarity row of the most rated item out of the S3 upper triangle."""
-    tr = _all(spark, sf)
-    half = S.cosine_rated(tr, "user_id", "item_id", "rating")
-    x = F.broadcast(_most_popular_item(tr))
-    j = half.join(x, (F.col("i") == F.col("x")) | (F.col("j") == F.col("x")))
-    return j.select(F.when(F.col("i") == F.col("x"), F.col("j")).otherwise(F.col("i")).alias("j"),
-                    r6("w"))
+    """Similarity row (S3) of the most rated item."""
+    r = _all(spark, sf)
+    return S.sim_row(r, _most_popular_item(r)).select("j", r6("w"))
 
 
 @register("top_k_neighbors", Q.with_(Q.RATINGS, Q.ITEM_COS) + """
@@ -342,17 +338,8 @@ SELECT u.user_id, round(COALESCE(dotu.score, 0.0), 6) AS score
 FROM (SELECT DISTINCT user_id FROM ratings) u LEFT JOIN dotu ON u.user_id = dotu.user_id""")
 def score_single_item(spark: SparkSession, sf: str) -> DataFrame:
     """Score every user for the most rated item by Σ r_ui · sim(x, i); 0 without overlap."""
-    tr = _all(spark, sf)
-    half = S.cosine_rated(tr, "user_id", "item_id", "rating")
-    x = F.broadcast(_most_popular_item(tr))
-    row = (half.join(x, (F.col("i") == F.col("x")) | (F.col("j") == F.col("x")))
-               .select(F.when(F.col("i") == F.col("x"), F.col("j")).otherwise(F.col("i"))
-                       .alias("item_id"), "w"))
-    dot = (tr.join(row, "item_id").groupBy("user_id")
-             .agg(F.sum(F.col("rating") * F.col("w")).alias("score")))
-    users = tr.select("user_id").distinct()
-    out = users.join(dot, "user_id", "left")
-    return out.select("user_id", F.round(F.coalesce("score", F.lit(0.0)), 6).alias("score"))
+    r = _all(spark, sf)
+    return R.score_single_item(r, _most_popular_item(r)).select("user_id", r6("score"))
 
 
 @register("binary_scores", Q.with_(Q.RATINGS, """

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..operators import evaluate as E
 from ..operators import pairs as PS
 from ..operators import predict as PR
+from ..operators import recommend as R
 from ..operators import similarity as S
 from ..sources import catalog as C
 from . import sql as Q
@@ -196,14 +197,8 @@ SELECT t.user_id, round(SUM(t.rating * row_x.w), 6) AS score
 FROM ratings t JOIN row_x ON t.item_id = row_x.item_id GROUP BY t.user_id""")
 def spmv(spark: SparkSession, sf: str) -> DataFrame:
     """Each user's sparse rating vector times the similarity vector of one item."""
-    tr = _all(spark, sf)
-    half = S.cosine_rated(tr, "user_id", "item_id", "rating")
-    x = F.broadcast(_most_popular_item(tr))
-    row = (half.join(x, (F.col("i") == F.col("x")) | (F.col("j") == F.col("x")))
-               .select(F.when(F.col("i") == F.col("x"), F.col("j")).otherwise(F.col("i"))
-                       .alias("item_id"), "w"))
-    return (tr.join(row, "item_id").groupBy("user_id")
-              .agg(F.round(F.sum(F.col("rating") * F.col("w")), 6).alias("score")))
+    r = _all(spark, sf)
+    return R.row_scores(r, S.sim_row(r, _most_popular_item(r))).select("user_id", r6("score"))
 
 
 @register("dense_matmul", Q.with_(Q.RATINGS, _DENSE_BASE, """

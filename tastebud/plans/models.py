@@ -17,7 +17,7 @@ from ..operators.evaluate import rmse
 from ..session import scratch_path
 from ..sources import catalog as C
 from . import sql as Q
-from .cf import _tr
+from .cf import _all, _tr
 from .registry import register
 
 
@@ -122,30 +122,36 @@ def load_model(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "als-model")
     model.write().overwrite().save(path)
     loaded = M.ALSModel.load(path)
-    a = model.transform(data).select("user_idx", "item_id", F.col("prediction").alias("p1"))
-    b = loaded.transform(data).select("user_idx", "item_id", F.col("prediction").alias("p2"))
-    return a.join(b, ["user_idx", "item_id"]).select(
-        "user_idx", "item_id", (F.abs(F.col("p1") - F.col("p2")) < 1e-9).alias("same"))
+    pairs = data.select("user_idx", "item_id").distinct()
+    both = loaded.transform(model.transform(pairs).withColumnRenamed("prediction", "_p"))
+    return both.select("user_idx", "item_id", (F.abs(F.col("_p") - F.col("prediction")) < 1e-9).alias("same"))
 
 
 def _lfm_model(spark, sf):
-    samples = P.negative_sample(C.train(spark, sf).select("user_id", "item_id"))
-    return M.fit_als(samples.withColumn("label", F.col("label").cast("float")), rank=10,
-                     max_iter=10, reg=0.01, rating="label")
+    """The model with its user and item maps (ALS takes 32-bit ids; the tables' ids may be larger)."""
+    samples = P.negative_sample(C.ratings(spark, sf).select("user_id", "item_id")).checkpoint()
+    users = P.build_id_map(samples, "user_id", "user_idx")
+    items = P.build_id_map(samples, "item_id", "item_idx")
+    mapped = samples.join(users, "user_id").join(items, "item_id")
+    model = M.fit_als(mapped.withColumn("label", F.col("label").cast("float")), rank=10,
+                      max_iter=10, reg=0.01, user="user_idx", item="item_idx", rating="label")
+    return model, users, items
 
 
 @register("lfm")
 def lfm(spark: SparkSession, sf: str) -> DataFrame:
     """Latent factor model on positives + sampled negatives (0/1 targets),
     squared error with L2 per sample - fitted by ALS; returns the user factors."""
-    model = _lfm_model(spark, sf)
-    return model.userFactors.select(F.col("id").alias("user_id"), "features")
+    model, users, _ = _lfm_model(spark, sf)
+    return model.userFactors.join(users, F.col("id") == F.col("user_idx")).select("user_id", "features")
 
 
 @register("lfm_recommend")
 def lfm_recommend(spark: SparkSession, sf: str) -> DataFrame:
     """Score Σ_f p_uf q_fi over all items (blocked in Spark ML), best 10 per user."""
-    return M.recommend_for_all(_lfm_model(spark, sf), 10).select(
+    model, users, items = _lfm_model(spark, sf)
+    best = M.recommend_for_all(model, 10, "user_idx", "item_idx")
+    return best.join(users, "user_idx").join(items, "item_idx").select(
         "user_id", "item_id", F.round("score", 6).alias("score"), "rank")
 
 
@@ -187,8 +193,8 @@ def _fm_rule_sql() -> str:
     return Q.with_(Q.RATINGS, """
 idx AS (SELECT user_id, item_id,
                dense_rank() OVER (ORDER BY user_id) - 1 AS uf,
-               (SELECT COUNT(DISTINCT user_id) FROM train) + dense_rank() OVER (ORDER BY item_id) - 1 AS itf
-        FROM train),
+               (SELECT COUNT(DISTINCT user_id) FROM ratings) + dense_rank() OVER (ORDER BY item_id) - 1 AS itf
+        FROM ratings),
 act AS (SELECT user_id, item_id, uf AS f FROM idx UNION ALL SELECT user_id, item_id, itf AS f FROM idx)""") + f"""
 SELECT user_id, item_id,
        round({FM_W0} + SUM({lin}) + 0.5 * ({' + '.join(terms)}), 6) AS prediction
@@ -197,10 +203,9 @@ FROM act GROUP BY user_id, item_id"""
 
 @register("fm_score", _fm_rule_sql())
 def fm_score(spark: SparkSession, sf: str) -> DataFrame:
-    """FM formula w0 + Σ w x + ½ Σ_f[(Σ v x)² − Σ v² x²] applied to every train row
+    """FM formula w0 + Σ w x + ½ Σ_f[(Σ v x)² − Σ v² x²] applied to every rating
     (one-hot user and item features) with rule-generated weights."""
-    tr = _tr(spark, sf).select("user_id", "item_id")
-    idx = P.onehot_user_item(tr)
+    idx = P.onehot_user_item(_all(spark, sf).select("user_id", "item_id"))
     act = (idx.select("user_id", "item_id", F.col("user_idx").alias("feature"))
               .unionByName(idx.select("user_id", "item_id", F.col("item_idx").alias("feature")))
               .withColumn("x", F.lit(1.0)))
@@ -225,8 +230,8 @@ def svd_predict(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("nmf_factors")
 def nmf_factors(spark: SparkSession, sf: str) -> DataFrame:
-    """2-component NMF of the zero-filled train matrix (multiplicative updates);
+    """2-component NMF of the zero-filled rating matrix (multiplicative updates);
     returns the user factors W."""
-    tr = _tr(spark, sf).select("user_id", "item_id", F.col("rating").alias("v"))
-    w, _h, _losses = M.nmf(tr, k=2, iters=20)
+    r = _all(spark, sf).select("user_id", "item_id", F.col("rating").alias("v"))
+    w, _h, _losses = M.nmf(r, k=2, iters=20, with_losses=False)
     return w.select("user_id", F.round("w0", 6).alias("w0"), F.round("w1", 6).alias("w1"))

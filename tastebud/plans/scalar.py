@@ -12,7 +12,6 @@ from ..operators import recommend as R
 from ..operators import sets as U
 from ..operators import similarity as S
 from ..operators import topk as K
-from ..operators.ranking import row_number
 from ..sources import catalog as C
 from . import sql as Q
 from .cf import R1_SQL, _all, _tr, item_cf_recs
@@ -350,7 +349,7 @@ FROM (SELECT item_id, COUNT(*) AS n FROM ratings GROUP BY item_id)""")
 def global_sort_desc(spark: SparkSession, sf: str) -> DataFrame:
     """K2: all items by popularity descending, with their global position."""
     pop = S.member_counts(C.ratings(spark, sf), "item_id")
-    return row_number(pop, [F.col("n").desc(), F.col("item_id").asc()], name="pos")
+    return K.global_sort_desc(pop, "n", "item_id")
 
 
 @register("take_n", Q.with_(Q.RATINGS) + """
@@ -367,7 +366,7 @@ FROM ratings""")
 def sort_by_key(spark: SparkSession, sf: str) -> DataFrame:
     """K4: ratings in user order with their output position."""
     r = C.ratings(spark, sf).select("user_id", "item_id")
-    return row_number(r, ["user_id", "item_id"], name="pos")
+    return K.sort_by_key(r, ["user_id", "item_id"])
 
 
 @register("sorted_pairs", Q.with_(Q.RATINGS) + """

@@ -58,13 +58,14 @@ SELECT CAST(COUNT(*) AS BIGINT) AS dropped FROM (
   SELECT unnest(string_split(text, ' ')) AS token FROM documents)
 WHERE token IN ({_BLOCK})""")
 def stream_dropped_counter(spark: SparkSession, sf: str) -> DataFrame:
-    """Total number of dropped (blocklisted) tokens, counted exactly per batch."""
+    """Number of dropped (blocklisted) tokens, counted exactly per batch: the running
+    total after the last batch."""
     src, schema = _stage_docs(spark, sf)
     sink, dsink = scratch_path(spark, "wcd-sink"), scratch_path(spark, "wcd-dropped")
     T.token_count_stream(spark, src, schema, sink, scratch_path(spark, "wcd-ckpt"),
                          blocklist=T.BLOCKLIST, dropped_sink=dsink)
-    d = T.read_batches(spark, dsink)
-    return d.agg(F.coalesce(F.sum("dropped"), F.lit(0)).cast("bigint").alias("dropped"))
+    d = T.running_dropped(spark, dsink)
+    return d.agg(F.coalesce(F.max("total"), F.lit(0)).cast("bigint").alias("dropped"))
 
 
 @register("stream_recover", _WC_SQL)

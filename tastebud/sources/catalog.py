@@ -13,12 +13,13 @@ the dedupe aggregate.
 
 from __future__ import annotations
 
-import os
+import hashlib
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -43,33 +44,38 @@ def split_bucket(user: str = "user_id", item: str = "item_id",
 _MATERIALIZED: dict = {}
 
 
-def _signature(sf_dir: str, names) -> tuple:
+def _signature(spark: SparkSession, sf_dir: str, names) -> tuple:
+    """Digest of the tables' file listings (path, length, modification time) on any file system."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
     out = []
     for n in names:
-        p = f"{sf_dir.rstrip('/')}/{n}.parquet"
-        try:
-            st = os.stat(p)
-            out.append((p, st.st_mtime_ns, st.st_size))
-        except OSError:          # remote file systems: key on the path only
-            out.append((p,))
+        p, listing = f"{sf_dir.rstrip('/')}/{n}.parquet", hashlib.sha256()
+        for glob in (p, f"{p}/*", f"{p}/*/*"):
+            at = jvm.org.apache.hadoop.fs.Path(glob)
+            files = at.getFileSystem(conf).globStatus(at)
+            if files is not None:       # one call for the whole listing, however long
+                text = jvm.org.apache.commons.lang3.ArrayUtils.toString(files)
+                listing.update(re.sub(r"access_time=\d+", "", text).encode())
+        out.append((p, listing.hexdigest()))
     return tuple(out)
 
 
 def materialized(spark: SparkSession, key: tuple, build) -> DataFrame:
-    """Build once per Spark application and keep as a reliable checkpoint.
+    """Build once per Spark application and keep as Parquet.
 
     Derived tables read by many branches of a plan (and by many queries) are
-    written once into the shared ``spark.checkpoint.dir``; every branch then
-    scans that table instead of re-running the joins that produced it (plan
-    branches that prune different columns would not share exchanges).
+    written once below the shared ``spark.checkpoint.dir``; every branch then
+    scans that table, with its own columns and filters, instead of re-running
+    the joins that produced it (plan branches that prune different columns
+    would not share exchanges).
     """
     sig = (spark.sparkContext.applicationId,) + key
-    df = _MATERIALIZED.get(sig)
-    if df is None:
-        ensure_checkpoint_dir(spark)
-        df = build().checkpoint(eager=True)
-        _MATERIALIZED[sig] = df
-    return df
+    path = _MATERIALIZED.get(sig)
+    if path is None:
+        path = scratch_path(spark, str(key[0]))
+        build().write.parquet(path)
+        _MATERIALIZED[sig] = path
+    return spark.read.parquet(path)
 
 
 def ratings(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
@@ -81,7 +87,7 @@ def ratings(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataF
     application (see ``materialized``).
     """
     if materialize:
-        key = ("ratings",) + _signature(sf_dir, ("lineitem", "orders"))
+        key = ("ratings",) + _signature(spark, sf_dir, ("lineitem", "orders"))
         return materialized(spark, key, lambda: ratings(spark, sf_dir, materialize=False))
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity")

@@ -52,16 +52,16 @@ def token_count_stream(spark: SparkSession, source: str, schema, sink: str, chec
         block = spark.createDataFrame([(t,) for t in blocklist], "token string")
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        counts = batch.groupBy("token").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+        counts = batch.groupBy("token").agg(F.count(F.lit(1)).cast("bigint").alias("n")).persist()
+        kept = counts
         if block is not None:
-            b = F.broadcast(block)           # a fixed list of a few words
-            kept = counts.join(b, "token", "left_anti")
+            kept = counts.join(block, "token", "left_anti")
             if dropped_sink is not None:
-                dropped = counts.join(b, "token", "left_semi").agg(
+                dropped = counts.join(block, "token", "left_semi").agg(
                     F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("dropped"))
                 dropped.write.mode("overwrite").parquet(_batch_path(dropped_sink, batch_id))
-            counts = kept
-        counts.write.mode("overwrite").parquet(_batch_path(sink, batch_id))
+        kept.write.mode("overwrite").parquet(_batch_path(sink, batch_id))
+        counts.unpersist()
 
     q = (toks.writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", checkpoint)
