@@ -141,6 +141,22 @@ def components(edges: DataFrame, name: str) -> DataFrame:
             return labels
 
 
+def candidates(members: DataFrame) -> DataFrame:
+    """(node, root) of every node of ``members`` (node, lead): components of the stars around the leads.
+
+    A node joins its leads (at most one per tree) to the smallest of them, so
+    only leads enter the search for components; each node follows its smallest lead.
+    """
+    led = stored(members.groupBy("node").agg(F.collect_set("lead").alias("leads")).select(
+        "node", F.array_min("leads").alias("head"), "leads"), "leads")
+    links = led.select(F.col("head").alias("a"), F.explode("leads").alias("b")).where("a <> b").distinct()
+    heads = led.groupBy("head").agg(F.count(F.lit(1)).alias("held"))
+    rooted = components(links, "candidates").withColumnRenamed("node", "head")
+    table = stored(heads.join(rooted, "head", "left").withColumn("root", F.coalesce("root", "head")), "heads")
+    return stored(lookup(led.select("node", "head"), table, "head", "held", F.xxhash64("node")).select("node", "root"),
+                  "candidates")
+
+
 def _intersections(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Sizes of the intersections of sets a[i] and b[i]."""
     if len(a) <= 4:
@@ -252,8 +268,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", w
     shared = forest.groupBy("tree", "prefix").agg(
         F.count(F.lit(1)).alias("members"), F.sum("n").alias("weight"), F.min("node").alias("lead")).where("members > 1")
     members = stored(forest.drop("n").join(shared, ["tree", "prefix"]), "prefixes")
-    stars = members.where("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()
-    near = components(stars, "candidates")
+    near = candidates(members)
     known = nodes.join(near, "node")
     size = known.groupBy("root").agg(F.sum("n").alias("w"), F.count(F.lit(1)).alias("m"))
     fits = (F.col("w") <= 2 * BLOCK_SHINGLES) & (F.col("m") <= 2 * BLOCK_NODES)
