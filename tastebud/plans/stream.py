@@ -1,9 +1,8 @@
-"""Streaming queries: the documents / events tables replayed as file streams.
+"""Streaming queries: the documents / events tables read as file streams.
 
-Each query stages its table as several files in a fresh folder under the
-shared checkpoint folder, runs the stream to completion (``availableNow``,
-one file per micro-batch) and returns the sink read back.  The results do
-not depend on the batch boundaries, so they compare with whole-table SQL.
+Each query streams the given table from its own path, runs to completion
+(``availableNow``) and returns the sink read back.  The results do not depend
+on the batch boundaries, so they compare with whole-table SQL.
 """
 
 from __future__ import annotations
@@ -16,25 +15,25 @@ from ..sources import catalog as C
 from ..streaming import tokens as T
 from .registry import register
 
-N_FILES = 4
-
 _WC_SQL = """
 SELECT token, CAST(COUNT(*) AS BIGINT) AS n FROM (
   SELECT unnest(string_split(text, ' ')) AS token FROM documents) GROUP BY token"""
 _BLOCK = ", ".join(f"'{t}'" for t in T.BLOCKLIST)
+_DROPPED_SQL = f"""
+SELECT CAST(COUNT(*) AS BIGINT) AS dropped FROM (
+  SELECT unnest(string_split(text, ' ')) AS token FROM documents)
+WHERE token IN ({_BLOCK})"""
 
 
-def _stage_docs(spark, sf):
-    docs = C.table(spark, sf, "documents").select("doc_id", "text")
-    src = scratch_path(spark, "docs-src")
-    T.split_into_files(docs, src, N_FILES, "doc_id")
-    return src, docs.schema
+def _source(spark, sf, name, *cols):
+    # a pattern, for a table may be one file or a folder of files
+    return f"{sf.rstrip('/')}/{name}.{{parquet}}", C.table(spark, sf, name).select(*cols).schema
 
 
 @register("stream_token_count", _WC_SQL)
 def stream_token_count(spark: SparkSession, sf: str) -> DataFrame:
     """Per-micro-batch token counts (stateless), summed over the batches."""
-    src, schema = _stage_docs(spark, sf)
+    src, schema = _source(spark, sf, "documents", "text")
     sink = scratch_path(spark, "wc-sink")
     T.token_count_stream(spark, src, schema, sink, scratch_path(spark, "wc-ckpt"))
     return T.total_counts(spark, sink)
@@ -46,26 +45,37 @@ SELECT token, CAST(COUNT(*) AS BIGINT) AS n FROM (
 WHERE token NOT IN ({_BLOCK}) GROUP BY token""")
 def stream_blocklist_filter(spark: SparkSession, sf: str) -> DataFrame:
     """Per-batch token counts with the blocklisted words removed."""
-    src, schema = _stage_docs(spark, sf)
+    src, schema = _source(spark, sf, "documents", "text")
     sink = scratch_path(spark, "wcb-sink")
     T.token_count_stream(spark, src, schema, sink, scratch_path(spark, "wcb-ckpt"),
                          blocklist=T.BLOCKLIST)
     return T.total_counts(spark, sink)
 
 
-@register("stream_dropped_counter", f"""
-SELECT CAST(COUNT(*) AS BIGINT) AS dropped FROM (
-  SELECT unnest(string_split(text, ' ')) AS token FROM documents)
-WHERE token IN ({_BLOCK})""")
-def stream_dropped_counter(spark: SparkSession, sf: str) -> DataFrame:
-    """Number of dropped (blocklisted) tokens, counted exactly per batch: the running
-    total after the last batch."""
-    src, schema = _stage_docs(spark, sf)
+def _dropped(spark, sf):
+    src, schema = _source(spark, sf, "documents", "text")
     sink, dsink = scratch_path(spark, "wcd-sink"), scratch_path(spark, "wcd-dropped")
     T.token_count_stream(spark, src, schema, sink, scratch_path(spark, "wcd-ckpt"),
                          blocklist=T.BLOCKLIST, dropped_sink=dsink)
-    d = T.running_dropped(spark, dsink)
-    return d.agg(F.coalesce(F.max("total"), F.lit(0)).cast("bigint").alias("dropped"))
+    return T.running_dropped(spark, dsink)
+
+
+@register("stream_dropped_counter", _DROPPED_SQL)
+def stream_dropped_counter(spark: SparkSession, sf: str) -> DataFrame:
+    """Number of dropped (blocklisted) tokens, the sum of the exact counts per batch."""
+    return _dropped(spark, sf).agg(F.coalesce(F.sum("dropped"), F.lit(0)).cast("bigint").alias("dropped"))
+
+
+@register("running_dropped", f"""
+SELECT dropped AS last_total, TRUE AS running FROM ({_DROPPED_SQL})""")
+def running_dropped(spark: SparkSession, sf: str) -> DataFrame:
+    """The running total after the last batch, and whether every batch's total is the total
+    of the batch before plus its own count."""
+    d = _dropped(spark, sf)
+    before = d.select((F.col("batch_id") + 1).alias("batch_id"), F.col("total").alias("_before"))
+    step = F.col("total") == F.coalesce("_before", F.lit(0)) + F.col("dropped")
+    return d.join(before, "batch_id", "left").agg(
+        F.max_by("total", "batch_id").alias("last_total"), F.every(step).alias("running"))
 
 
 @register("stream_recover", _WC_SQL)
@@ -74,12 +84,11 @@ def stream_recover(spark: SparkSession, sf: str) -> DataFrame:
     query resumes from its checkpoint; the sink equals the one-shot result."""
     docs = C.table(spark, sf, "documents").select("doc_id", "text")
     src = scratch_path(spark, "rec-src")
-    first = docs.where(F.pmod(F.col("doc_id"), F.lit(2)) == 0)
-    second = docs.where(F.pmod(F.col("doc_id"), F.lit(2)) == 1)
-    first.repartition(2, "doc_id").write.mode("append").parquet(src)
+    odd = F.coalesce(F.pmod("doc_id", F.lit(2)) == 1, F.lit(False))
+    docs.where(~odd).write.mode("append").parquet(src)
     sink, ckpt = scratch_path(spark, "rec-sink"), scratch_path(spark, "rec-ckpt")
     T.token_count_stream(spark, src, docs.schema, sink, ckpt)
-    second.repartition(2, "doc_id").write.mode("append").parquet(src)
+    docs.where(odd).write.mode("append").parquet(src)
     T.token_count_stream(spark, src, docs.schema, sink, ckpt)
     return T.total_counts(spark, sink)
 
@@ -88,11 +97,9 @@ def stream_recover(spark: SparkSession, sf: str) -> DataFrame:
 SELECT event_id, user_id, event_type, value FROM events""")
 def stream_source(spark: SparkSession, sf: str) -> DataFrame:
     """IO13: the events table consumed as a file stream, batch by batch."""
-    ev = C.table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
-    src = scratch_path(spark, "ev-src")
-    T.split_into_files(ev, src, N_FILES, "event_id")
+    src, schema = _source(spark, sf, "events", "event_id", "user_id", "event_type", "value")
     sink = scratch_path(spark, "ev-sink")
-    T.copy_stream(spark, src, ev.schema, sink, scratch_path(spark, "ev-ckpt"))
+    T.copy_stream(spark, src, schema, sink, scratch_path(spark, "ev-ckpt"))
     return T.read_batches(spark, sink).drop("batch_id")
 
 
@@ -100,10 +107,8 @@ def stream_source(spark: SparkSession, sf: str) -> DataFrame:
 SELECT event_type, CAST(COUNT(*) AS BIGINT) AS n FROM events GROUP BY event_type""")
 def stream_append_sink(spark: SparkSession, sf: str) -> DataFrame:
     """IO14: one summary line per (batch, event type) appended per batch; summed back."""
-    ev = C.table(spark, sf, "events").select("event_id", "event_type")
-    src = scratch_path(spark, "evs-src")
-    T.split_into_files(ev, src, N_FILES, "event_id")
+    src, schema = _source(spark, sf, "events", "event_id", "event_type")
     sink = scratch_path(spark, "evs-sink")
-    T.append_summary_stream(spark, src, ev.schema, sink, scratch_path(spark, "evs-ckpt"), "event_type")
+    T.append_summary_stream(spark, src, schema, sink, scratch_path(spark, "evs-ckpt"), "event_type")
     return (T.read_batches(spark, sink).groupBy("event_type")
             .agg(F.sum("n").cast("bigint").alias("n")))

@@ -1,19 +1,22 @@
 """Structured Streaming operators (T1-T4, IO13, IO14).
 
 The reference's stream is a micro-batch word count whose counts are
-*per batch* (stateless), filtered by a broadcast blocklist, with a running
-count of dropped words and recovery from a checkpoint.  Here:
+*per batch* (stateless), filtered by a blocklist, with a running count of
+dropped words and recovery from a checkpoint.  Here:
 
-* source: any file stream (``readStream.parquet/text``) - Kafka or sockets
-  plug in the same way; no socket is opened here;
+* source: a file stream straight on the table's path (``readStream.parquet``),
+  a folder or a pattern; Kafka or sockets plug in the same way;
 * per-batch aggregation: ``foreachBatch`` runs an ordinary (partially
   aggregated) ``groupBy`` on each micro-batch, so state never grows;
 * sinks: every batch writes ``<sink>/batch_id=<id>`` with overwrite, so a
   replayed batch after a failure replaces its own output (idempotent,
   exactly-once end to end together with the checkpointed offsets);
-* dropped counter: one row per batch in its own sink; the running total is
-  a sum over batches (exact, unlike an accumulator that can double count
-  retried tasks).
+* dropped counter: one row per batch with the batch's count and the running
+  total, which is the total of the batch before plus the count (exact, unlike
+  an accumulator that can double count retried tasks).
+
+``max_bytes`` bounds a micro-batch by input bytes, so the number of batches
+follows from the input; ``max_files`` bounds it by files instead.
 """
 
 from __future__ import annotations
@@ -26,26 +29,41 @@ from ..functions.columns import tokens
 # The blocklist of the reference's stream job.
 BLOCKLIST = ("a", "b", "c")
 
+BATCH_BYTES = 64 << 30
+
 
-def split_into_files(df: DataFrame, path: str, n_files: int, key: str) -> None:
-    """Stage a table as ``n_files`` files so a file stream sees several batches."""
-    df.repartition(n_files, key).write.mode("overwrite").parquet(path)
+def file_stream(spark: SparkSession, source: str, schema, max_bytes: int = BATCH_BYTES,
+                max_files: int | None = None) -> DataFrame:
+    """IO13: Parquet file stream with bounded micro-batches.
+
+    ``source`` is a folder or a pattern; a stream takes a plain path for a
+    folder, so a single file is given as a pattern (``t.{parquet}``).
+    """
+    r = spark.readStream.schema(schema)
+    r = r.option("maxFilesPerTrigger", max_files) if max_files else r.option("maxBytesPerTrigger", max_bytes)
+    return r.parquet(source)
 
 
 def _batch_path(base: str, batch_id: int) -> str:
     return f"{base.rstrip('/')}/batch_id={batch_id}"
 
 
+def _drain(stream: DataFrame, per_batch, checkpoint: str) -> None:
+    q = (stream.writeStream.foreachBatch(per_batch)
+         .option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
 def token_count_stream(spark: SparkSession, source: str, schema, sink: str, checkpoint: str,
                        text_col: str = "text", blocklist=None, dropped_sink: str | None = None,
-                       max_files_per_trigger: int = 1) -> None:
+                       max_files: int | None = None) -> None:
     """Per-batch token counts with optional blocklist and dropped counter.
 
     Runs until the source is drained (``availableNow``); restarting with the
     same ``checkpoint`` resumes after the last committed batch (T4).
     """
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
-              .parquet(source))
+    stream = file_stream(spark, source, schema, max_files=max_files)
     toks = stream.select(F.explode(tokens(F.col(text_col))).alias("token"))
     block = None
     if blocklist is not None:
@@ -57,16 +75,17 @@ def token_count_stream(spark: SparkSession, source: str, schema, sink: str, chec
         if block is not None:
             kept = counts.join(block, "token", "left_anti")
             if dropped_sink is not None:
+                before = 0
+                if batch_id > 0:
+                    before = batch.sparkSession.read.parquet(_batch_path(dropped_sink, batch_id - 1)).first()["total"]
                 dropped = counts.join(block, "token", "left_semi").agg(
                     F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("dropped"))
-                dropped.write.mode("overwrite").parquet(_batch_path(dropped_sink, batch_id))
+                (dropped.withColumn("total", F.col("dropped") + F.lit(before).cast("bigint"))
+                        .write.mode("overwrite").parquet(_batch_path(dropped_sink, batch_id)))
         kept.write.mode("overwrite").parquet(_batch_path(sink, batch_id))
         counts.unpersist()
 
-    q = (toks.writeStream.foreachBatch(per_batch)
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    _drain(toks, per_batch, checkpoint)
 
 
 def read_batches(spark: SparkSession, sink: str) -> DataFrame:
@@ -80,35 +99,24 @@ def total_counts(spark: SparkSession, sink: str) -> DataFrame:
 
 
 def running_dropped(spark: SparkSession, dropped_sink: str) -> DataFrame:
-    """Cumulative dropped count after each batch (window over batch rows only)."""
-    from pyspark.sql import Window
-    d = read_batches(spark, dropped_sink)
-    w = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
-    return d.select("batch_id", "dropped", F.sum("dropped").over(w).alias("total"))
+    """(batch_id, dropped, total): the batch's dropped count and the running total after it."""
+    return read_batches(spark, dropped_sink).select("batch_id", "dropped", "total")
 
 
 def copy_stream(spark: SparkSession, source: str, schema, sink: str, checkpoint: str,
-                max_files_per_trigger: int = 1) -> None:
+                max_files: int | None = None) -> None:
     """IO13: file-stream source copied batch by batch into an idempotent sink."""
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(source)
-
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(_batch_path(sink, batch_id))
 
-    q = (stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    _drain(file_stream(spark, source, schema, max_files=max_files), per_batch, checkpoint)
 
 
 def append_summary_stream(spark: SparkSession, source: str, schema, sink: str, checkpoint: str,
-                          key: str, max_files_per_trigger: int = 1) -> None:
+                          key: str, max_files: int | None = None) -> None:
     """IO14: one summary row per (batch, key) appended per batch (idempotent by batch id)."""
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(source)
-
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         s = batch.groupBy(key).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
         s.write.mode("overwrite").parquet(_batch_path(sink, batch_id))
 
-    q = (stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    _drain(file_stream(spark, source, schema, max_files=max_files), per_batch, checkpoint)
