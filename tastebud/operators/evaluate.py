@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from . import pairs as P
 from .similarity import member_counts
 
 
@@ -31,9 +32,8 @@ def evaluate_topn(recs: DataFrame, train: DataFrame, test: DataFrame, n: int,
     """
     pop = member_counts(train, item, "_pop")
     t = test.select(user, item).withColumn("_hit", F.lit(1))
-    rr = (recs.select(user, item)
-              .join(t, [user, item], "left")
-              .join(pop, item, "left"))
+    # an item recommended to many users is salted by user
+    rr = P.salted_join(recs.select(user, item).join(t, [user, item], "left"), pop, item, user, how="left")
     rec_agg = _one(rr.agg(
         F.coalesce(F.sum("_hit"), F.lit(0)).cast("bigint").alias("hits"),
         F.count(F.lit(1)).cast("bigint").alias("n_recs"),

@@ -12,6 +12,9 @@ the member key.  The join key is ``(group, block_a, block_b)`` with
 unordered pair of members meets exactly once, and no join key carries more
 than about ``block_size^2`` pairs.  Ordinary groups (``n <= block_size``)
 have one block and are not replicated at all.
+
+Hot keys are found by ``hot_keys``, a table that is never longer than the
+number of shuffle partitions and so may be broadcast whatever the data.
 """
 
 from __future__ import annotations
@@ -24,21 +27,43 @@ from pyspark.sql import functions as F
 DEFAULT_BLOCK_SIZE = 2048
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
+    """(keys, ``_kn``): the most frequent keys with more than ``block_size`` rows.
+
+    At most one row per shuffle partition.  A key that is left out has no more
+    rows than any that is listed, so at most a partition's share of ``df``.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sizes = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_kn"))
+    return sizes.where(F.col("_kn") > F.lit(block_size)).orderBy(F.desc("_kn"), *keys).limit(parts)
+
+
+def _blocks(n: str, block_size: int):
+    return F.ceil(F.col(n) / F.lit(float(block_size))).cast("int")
+
+
 def with_blocks(df: DataFrame, group: str, member: str,
                 block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """Attach ``_nb`` (blocks of the group) and ``_blk`` (block of the row).
 
-    Only groups larger than ``block_size`` need more than one block, and there
-    are at most n / block_size of them; the rows are left-joined to that
-    heavy-group table only.  When it is small (the usual case) AQE turns the
-    join into a broadcast at runtime and the rows are not shuffled for it.
+    Only groups larger than ``block_size`` need more than one block.  The
+    hottest of them come from a broadcast table; rows of those groups take no
+    part in the join to the other large groups and are spread by their member,
+    so no group meets in one task before it has blocks.
     """
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_gn"))
-    heavy = sizes.where(F.col("_gn") > F.lit(block_size)).select(
-        group, F.ceil(F.col("_gn") / F.lit(float(block_size))).cast("int").alias("_nb"))
-    return (df.join(heavy, group, "left")
-              .withColumn("_nb", F.coalesce(F.col("_nb"), F.lit(1)))
-              .withColumn("_blk", F.pmod(F.xxhash64(F.col(member)), F.col("_nb")).cast("int")))
+    hot = hot_keys(df, [group], block_size).select(
+        F.col(group).alias("_hg"), _blocks("_kn", block_size).alias("_hb"))
+    large = (df.groupBy(group).agg(F.count(F.lit(1)).alias("_gn")).where(F.col("_gn") > F.lit(block_size))
+             .select(F.col(group).alias("_lg"), F.lit(0).cast("bigint").alias("_ls"),
+                     _blocks("_gn", block_size).alias("_lb")))
+    known = F.col("_hg").isNotNull()
+    marked = (df.join(F.broadcast(hot), F.col(group) == F.col("_hg"), "left")
+                .withColumn("_cg", F.when(~known, F.col(group)))
+                .withColumn("_cs", F.when(known, F.xxhash64(F.col(member))).otherwise(F.lit(0))))
+    j = marked.join(large, (F.col("_cg") == F.col("_lg")) & (F.col("_cs") == F.col("_ls")), "left")
+    return (j.withColumn("_nb", F.coalesce("_hb", "_lb", F.lit(1)))
+             .withColumn("_blk", F.pmod(F.xxhash64(F.col(member)), F.col("_nb")).cast("int"))
+             .select(*df.columns, "_nb", "_blk"))
 
 
 def pairs_within(df: DataFrame, group: str, member: str, values: Sequence[str] = (),
@@ -93,25 +118,43 @@ def mirror(pairs: DataFrame, a: str, b: str, extra_swaps: Sequence[tuple[str, st
         *[F.col("_m." + c).alias(c) for c in cols])
 
 
-def salted_join(big: DataFrame, small: DataFrame, key: str, spread: str,
-                block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
-    """Inner equi-join on ``key`` where one key may hold a large share of ``big``.
-
-    Keys with more than ``block_size`` rows in ``big`` are split into
-    ``ceil(n / block_size)`` salts by a hash of ``spread``; the rows of those
-    keys in ``small`` are replicated once per salt, so a hot key becomes many
-    bounded tasks.  Ordinary keys keep salt 0 and are not replicated.  The
-    heavy-key table has at most n / block_size rows and is joined like the
-    block table of ``with_blocks``.
+def salted_join(big: DataFrame, small: DataFrame, key: str | Sequence[str], spread: str | Sequence[str],
+                block_size: int = DEFAULT_BLOCK_SIZE, small_spread: str | None = None,
+                hot: DataFrame | None = None, how: str = "inner") -> DataFrame:
+    """Equi-join on ``key`` where one key may hold a large share of the rows.
+
+    A hot key of ``big`` is split into ``ceil(n / block_size)`` salts by a hash
+    of ``spread`` and its rows in ``small`` are sent to every salt; with
+    ``small_spread`` a hot key of ``small`` is split likewise, so that the two
+    sides meet in a grid of salts, each pair of rows once.  Other keys keep
+    salt 0 and are not replicated.  The tables of hot keys are broadcast; see
+    ``hot_keys`` for their bound.
+
+    ``hot`` replaces the count of ``big``'s keys by a ``hot_keys`` table over
+    some of the key columns, for a ``big`` that is costly to compute.
+    ``how='left'`` keeps every row of ``big`` and goes without ``small_spread``.
     """
-    sizes = big.groupBy(key).agg(F.count(F.lit(1)).alias("_kn"))
-    heavy = sizes.where(F.col("_kn") > F.lit(block_size)).select(
-        key, F.ceil(F.col("_kn") / F.lit(float(block_size))).cast("int").alias("_ns"))
-    b = (big.join(heavy, key, "left")
-            .withColumn("_salt", F.pmod(F.xxhash64(F.col(spread)),
-                                        F.coalesce(F.col("_ns"), F.lit(1))).cast("int"))
-            .drop("_ns"))
-    s = (small.join(heavy, key, "left")
-              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_ns"), F.lit(1)) - 1)))
-              .drop("_ns"))
-    return b.join(s, [key, "_salt"]).drop("_salt")
+    if how not in ("inner", "left") or (how == "left" and small_spread):
+        raise ValueError("how must be 'inner', or 'left' without small_spread")
+    keys = [key] if isinstance(key, str) else list(key)
+    by = [spread] if isinstance(spread, str) else list(spread)
+    hot = hot_keys(big, keys, block_size) if hot is None else hot
+    on = [c for c in hot.columns if c != "_kn"]
+    n_a = F.broadcast(hot.select(*on, _blocks("_kn", block_size).alias("_na")))
+    a, b = big.join(n_a, on, "left"), small.join(n_a, on, "left")
+    if small_spread is None:
+        a, b = a.withColumn("_nb", F.lit(1)), b.withColumn("_nb", F.lit(1))
+    else:
+        n_b = F.broadcast(hot_keys(small, keys, block_size).select(*keys, _blocks("_kn", block_size).alias("_nb")))
+        a, b = a.join(n_b, keys, "left"), b.join(n_b, keys, "left")
+
+    def salt(cols: Sequence[str], n: str):
+        return F.pmod(F.xxhash64(*cols), F.coalesce(n, F.lit(1))).cast("int")
+
+    def every(n: str):
+        return F.explode(F.sequence(F.lit(0), F.coalesce(n, F.lit(1)) - 1))
+
+    a = a.withColumn("_a", salt(by, "_na")).withColumn("_b", every("_nb")).drop("_na", "_nb")
+    b = (b.withColumn("_b", salt([small_spread or keys[0]], "_nb")).withColumn("_a", every("_na"))
+          .drop("_na", "_nb"))
+    return a.join(b, [*keys, "_a", "_b"], how).drop("_a", "_b")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import arith_hash, onehot_array
+from .pairs import hot_keys, salted_join
 from .ranking import dense_index, row_number
 
 
@@ -180,23 +181,24 @@ def feature_dictionary(df: DataFrame, numeric: Sequence[str], categorical: Seque
 def encode_features(df: DataFrame, id_col: str, dictionary: DataFrame, numeric: Sequence[str],
                     categorical: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Row -> (xi, xv) lists in column order; categorical value -> 1.0,
-    unseen categorical value -> NULL index (left join)."""
-    pos = {c: i for i, c in enumerate(order)}
-    parts = []
-    for c in order:
-        v = (F.col(c).cast("double") if c in numeric else F.lit(1.0))
-        key = (F.lit(None).cast("string") if c in numeric else F.col(c).cast("string"))
-        parts.append(df.select(F.col(id_col), F.lit(c).alias("feature"), F.lit(pos[c]).alias("_fp"),
-                               key.alias("value"), v.alias("_xv")))
-    long = parts[0]
-    for p in parts[1:]:
-        long = long.unionByName(p)
-    d = dictionary.withColumnRenamed("value", "_dv")
-    j = long.join(d, (long.feature == d.feature)
-                  & (long.value.eqNullSafe(d._dv)), "left").drop(d.feature)
-    g = j.groupBy(id_col).agg(F.array_sort(F.collect_list(
-        F.struct(F.col("_fp"), F.col("idx"), F.col("_xv")))).alias("_e"))
-    return g.select(id_col, F.col("_e.idx").alias("xi"), F.col("_e._xv").alias("xv"))
+    unseen categorical value -> NULL index.
+
+    Each row stays whole: the numeric slots are a one-row frame, and every
+    categorical column is one left join to its part of the dictionary, in
+    which a frequent value is salted by the id.
+    """
+    slots = one_row(dictionary.where(F.col("value").isNull()).agg(
+        *[F.max(F.when(F.col("feature") == c, F.col("idx"))).alias(f"_i_{c}") for c in numeric],
+        F.count(F.lit(1)).alias("_n")))
+    present = lambda v: F.coalesce(F.concat(F.lit("="), v.cast("string")), F.lit(""))
+    wide = df.withColumn("_k", F.lit(0)).join(F.broadcast(slots), "_k")
+    for c in categorical:
+        part = dictionary.where(F.col("feature") == c).select(
+            present(F.col("value")).alias(f"_v_{c}"), F.col("idx").alias(f"_i_{c}"))
+        wide = salted_join(wide.withColumn(f"_v_{c}", present(F.col(c))), part, f"_v_{c}", id_col,
+                           hot=hot_keys(df.select(present(F.col(c)).alias(f"_v_{c}")), [f"_v_{c}"]), how="left")
+    xv = [F.col(c).cast("double") if c in numeric else F.lit(1.0) for c in order]
+    return wide.select(id_col, F.array(*[F.col(f"_i_{c}") for c in order]).alias("xi"), F.array(*xv).alias("xv"))
 
 
 def onehot_user_item(df: DataFrame, user: str = "user_id", item: str = "item_id") -> DataFrame:

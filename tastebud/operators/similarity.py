@@ -41,7 +41,7 @@ def _pair_aggregate(r: DataFrame, group: str, member: str, value: str | None,
     cols = [group, member] + ([value] if value is not None else [])
     stats = _stats(r, member, value)
     carried = ["_n" if value is None else "_ss"]
-    rs = r.select(*cols).join(stats.select(member, *carried), member)
+    rs = P.salted_join(r.select(*cols), stats.select(member, *carried), member, group)
     vals = carried + ([value] if value is not None else [])
     pr = P.pairs_within(rs, group, member, vals, block_size=block_size)
     keys = [member + "_1", member + "_2"] + [f"{c}_{s}" for c in carried for s in (1, 2)]

@@ -218,9 +218,10 @@ def dense_matmul(spark: SparkSession, sf: str) -> DataFrame:
     sim = S.cosine_rated(tr, "user_id", "item_id", "rating", both=True)
     cells = _cells(spark, sf).select("user_id", "item_id")
     hist = tr.select("user_id", F.col("item_id").alias("i"), "rating")
-    # a user with a huge history is salted by item (its cells are replicated per salt)
-    prod = (PS.salted_join(hist, cells, "user_id", "i")
-                 .join(sim.select("i", F.col("j").alias("item_id"), "w"), ["i", "item_id"])
+    # salted as the item predictions
+    prod = (PS.salted_join(PS.salted_join(hist, cells, "user_id", "i", small_spread="item_id"),
+                           sim.select("i", F.col("j").alias("item_id"), "w"), ["i", "item_id"], "user_id",
+                           hot=PS.hot_keys(cells, ["item_id"]))
                  .groupBy("user_id", "item_id").agg(F.sum(F.col("rating") * F.col("w")).alias("v")))
     out = cells.join(prod, ["user_id", "item_id"], "left")
     return out.select("user_id", "item_id", F.round(F.coalesce("v", F.lit(0.0)), 6).alias("value"))
