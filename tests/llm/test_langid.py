@@ -1,5 +1,6 @@
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,3 +59,23 @@ def test_predictions_do_not_use_the_language_column(model, odd):
 
 def test_letters():
     assert L.letters("Ab1c_d ½ Ⅷx É́") == ["ab", "c", "d", "x", "é"] and L.letters(None) == []
+
+
+def test_no_count_is_lost_beyond_the_broadcast_entries(spark):
+    rows = [("en", "the cat and the dog saw a rareword once"), ("en", "the rareword"), ("de", "der hund und die katze sah rareword"),
+            ("fr", "le chat et le chien")]
+    texts = [(0, "rareword"), (1, "the der chien"), (2, "katze katzen unsaw"), (3, "qqq 日本"), (4, None), (5, "dog"), (6, "le le sah")]
+    train = spark.createDataFrame(rows, "lang string, text string")
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    whole, small = L.learn(train), L.learn(train, entries=2)
+    assert len(small.words) <= 2 < len(whole.words)
+    want, got = ({r["doc_id"]: r for r in L.predict(df, m, ["doc_id"]).collect()} for m in (whole, small))
+    assert got.keys() == want.keys() and want[0]["lang_pred"] == "en"
+    for i, r in want.items():
+        assert got[i]["lang_pred"] == r["lang_pred"] and abs(got[i]["score"] - r["score"]) < 1e-12
+
+
+def test_frequent_entries_have_the_counts_of_all_languages(spark):
+    rows = [("aa", "big " * 50 + "shared " * 20), ("bb", "shared " * 3)]
+    m = L.learn(spark.createDataFrame(rows, "lang string, text string"), entries=2)
+    assert abs(m.words["shared"] - [np.log(20 / 71), np.log(3 / 4)]).max() < 1e-12
