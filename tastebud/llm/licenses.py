@@ -1,11 +1,13 @@
 """License scans with a positional rare-token index.
 
-The templates' postings (word, template, position) are the index.  Each file
-keeps the places of licence words only (words of a key phrase or of a template
-that are no function words); document frequencies over all files give their
-IDF, and a file looks up the ``RARE`` licence words with the highest one.
-Template postings are intersected by relative position: anchors that agree on
-where the template would begin.  Such an alignment is verified against every
+The postings (word, template, position) of the templates' rarest places are the
+index.  Each file keeps the places of licence words only (words of a key phrase
+or of a template that are no function words); their document frequencies over
+all files tell a template's rarest places.  An alignment leaves at most a share
+1 - ``COVERAGE`` of the places unmatched, so a template has as many anchors as
+that and two more: every alignment has two of them.  Postings are intersected by
+relative position: anchors that agree on where the template would begin.
+Such an alignment is verified against every
 place of the template, and its mandatory key phrase must stand in the file.
 
 All of it runs on built-in functions.  Files are shuffled as places of licence
@@ -18,11 +20,9 @@ an empty table gives no rows.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .tables import stored
@@ -66,7 +66,6 @@ TEMPLATES = (
 
 #: Function words that are no licence words unless a key phrase needs them (fixed values).
 COMMON = frozenset("a an and any are as except from in is it its may not of on or that the this to under with without you use".split())
-RARE = 4
 #: Share of a template's licence words that must stand at their places.
 COVERAGE = 0.7
 
@@ -110,33 +109,37 @@ def places(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
                                F.size("w").cast("long").alias("n_words"), hits.alias("hits")), "places")
 
 
-def _templates(spark) -> tuple[DataFrame, DataFrame]:
-    postings, whole = [], []
+def _templates(spark) -> DataFrame:
+    whole = []
     for n, t in enumerate(TEMPLATES):
         own = [(p, w) for p, w in enumerate(t.text.split()) if w in set(vocabulary())]
-        postings += [(w, n, p) for p, w in own]
         whole.append((n, t.label, t.phrase, [p for p, _ in own], [w for _, w in own]))
-    return (spark.createDataFrame(postings, "t string, template int, place int"),
-            spark.createDataFrame(whole, "template int, label string, phrase string, at array<int>, words array<string>"))
+    return spark.createDataFrame(whole, "template int, label string, phrase string, at array<int>, words array<string>")
+
+
+def _anchors(df: dict[str, int]) -> list[tuple[str, int, int]]:
+    """(word, template, place): per template the rarest places, enough that every alignment has two of them."""
+    out = []
+    for n, t in enumerate(TEMPLATES):
+        own = [(p, w) for p, w in enumerate(t.text.split()) if w in set(vocabulary())]
+        least = next(k for k in range(1, len(own) + 1) if k / len(own) >= COVERAGE)
+        rare = sorted(own, key=lambda x: (df.get(x[1], 0), x[0]))[:len(own) - least + 2]
+        out += [(w, n, p) for p, w in rare]
+    return out
 
 
 def alignments(files: DataFrame) -> DataFrame:
     """Verified (row, label, score): templates whose licence words stand in the file at their relative places."""
     spark = files.sparkSession
-    postings, whole = _templates(spark)
-    n_files = files.count()
-    seen = files.select("row", F.explode(F.array_distinct(F.transform("hits", lambda x: x["t"]))).alias("t"))
+    whole = _templates(spark)
+    seen = files.select(F.explode(F.array_distinct(F.transform("hits", lambda x: x["t"]))).alias("t"))
     df = {r["t"]: r["n"] for r in seen.groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect()}   # at most the vocabulary
-    idf = spark.createDataFrame([(w, math.log((1 + n_files) / (1 + df.get(w, 0)))) for w in vocabulary()], "t string, idf double")
-    best = Window.partitionBy("row").orderBy(F.desc("idf"), "t")
-    rare = (seen.join(F.broadcast(idf), "t").withColumn("r", F.row_number().over(best)).where(F.col("r") <= RARE)
-            .groupBy("row").agg(F.collect_set("t").alias("rare")))
-    anchors = files.join(rare, "row").select(
-        "row", "hits", F.explode(F.filter("hits", lambda x: F.array_contains("rare", x["t"]))).alias("hit"))
-    # an alignment needs two different anchors, or the only licence word a template has
+    found = _anchors(df)
+    postings = spark.createDataFrame(found, "t string, template int, place int")
+    anchors = files.select("row", F.explode(F.filter("hits", lambda x: x["t"].isin(*sorted({w for w, _, _ in found})))).alias("hit"))
     begun = (anchors.select("row", F.col("hit.t").alias("t"), F.col("hit.i").alias("i")).join(F.broadcast(postings), "t")
              .groupBy("row", "template", (F.col("i") - F.col("place")).alias("begin"))
-             .agg(F.count_distinct("t").alias("agree")).where("agree >= 2"))
+             .agg(F.count(F.lit(1)).alias("agree")).where("agree >= 2"))
     held = begun.join(F.broadcast(whole), "template").join(files.select("row", "hits"), "row")
     wanted = F.transform(F.arrays_zip("at", "words"), lambda x: F.struct((F.col("begin") + x["at"]).alias("i"), x["words"].alias("t")))
     share = F.size(F.array_intersect(wanted, "hits")) / F.size("words")

@@ -69,3 +69,23 @@ def test_duckdb_counts_the_same_places(spark, sf):
     got = N.scan(spark.read.parquet(f"{sf}/documents.parquet"), ["doc_id"]).collect()
     mine = sorted((r["doc_id"], sum(x["label"] == "reserved" for x in r["base"])) for r in got if any(x["label"] == "reserved" for x in r["base"]))
     assert mine == want
+
+
+def test_every_notice_of_a_file_is_found(spark):
+    notices = " ; ".join(t.text for t in N.TEMPLATES)
+    stray = "charge person forms source copy " * 3
+    rows = [(0, notices), (1, f"{stray} {'x ' * 5000} released under the MIT license"),
+            (2, "licensed under the apache license version 2 0. released under the mit license. " + N.TEMPLATES[2].text)]
+    rows += [(i, "mit license apache released licensed version") for i in range(3, 30)]
+    got = {r["doc_id"]: r for r in N.scan(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"]).collect()}
+    assert set(got[0]["labels"]) == {t.label for t in N.TEMPLATES}
+    assert got[1]["labels"] == ["mit"] and got[1]["score"] == 1
+    assert got[2]["labels"] == ["apache-2.0", "bsd", "mit"] and got[2]["score"] == 1
+
+
+def test_anchors_suffice_for_every_alignment():
+    found = N._anchors({})
+    for n, t in enumerate(N.TEMPLATES):
+        own = sum(w in set(N.vocabulary()) for w in t.text.split())
+        kept = min(k for k in range(own + 1) if k / own >= N.COVERAGE)
+        assert sum(m == n for _, m, _ in found) - (own - kept) >= 2
