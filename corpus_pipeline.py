@@ -18,8 +18,8 @@ from tastebud.llm.tables import stored
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass every quality rule."""
-    return quality.kept_rows(docs)
+    """Documents that pass every quality rule; no length is too much."""
+    return quality.kept_rows(docs, rules=quality.UNBOUNDED_RULES)
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,6 +49,9 @@ RULES = (
     Rule("ellipsis_lines", "ellipsis_line_ratio", largest=0.3),
 )
 
+#: The rules without an upper length: long texts are left to the ratio rules.
+UNBOUNDED_RULES = tuple(r for r in RULES if r.name != "max_words")
+
 #: Frequent function words of English, German, French, Spanish.
 STOP_WORDS = (
     "the", "of", "and", "to", "in", "a", "is", "that", "for", "it", "on", "was", "as", "with", "be", "by", "at",

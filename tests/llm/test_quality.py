@@ -64,3 +64,12 @@ def test_query_equals_sql(spark, sf):
 def test_thresholds_are_a_parameter(docs):
     strict = (Q.Rule("short", "n_words", smallest=10 ** 9),)
     assert Q.quality_rules(docs, rules=strict).where(F.col("quality.kept")).isEmpty()
+
+
+def test_the_pipeline_keeps_clean_long_texts(spark, docs):
+    import corpus_pipeline
+
+    words = " ".join(f"the word{i} of line{i}" for i in range(30_000))
+    long = spark.createDataFrame([(1, words), (2, "x " * 120_000)], "doc_id long, text string")
+    assert [r["doc_id"] for r in corpus_pipeline.quality_stage(spark, long, "").collect()] == [1]
+    assert Q.quality_rules(long).where("doc_id = 1").first()["quality"]["failed"] == ["max_words"]
