@@ -6,7 +6,8 @@ positions of its postings.  ``search`` takes test items in chunks of bounded
 size; every task intersects, for each window of an item, the offset-adjusted
 posting lists from the block's rarest term to its most frequent one.  A block
 answers for its own documents only, so nothing but the hits is shuffled and no
-term, however frequent, gathers in one task.
+term, however frequent, gathers in one task.  Proximity matches go by an item's
+three rarest terms of the whole index, whose counts a first pass sums up.
 
 Terms are 64-bit hashes of lower-cased words (wrong matches of a 13-word window
 would need 13 simultaneous collisions).
@@ -107,8 +108,8 @@ class _Postings:
     def __init__(self, counts, terms: bytes, firsts: bytes, postings: bytes) -> None:
         self.terms = np.frombuffer(terms, np.uint64)
         self.places = np.frombuffer(postings, np.uint32)
-        self.first = np.r_[np.frombuffer(firsts, np.uint32).astype(np.int64), len(self.places)]
         counts = np.asarray(counts, np.int64)
+        self.first = np.r_[np.frombuffer(firsts, np.uint32).astype(np.int64), counts.sum()]
         self.doc_at = np.cumsum(counts) - counts + np.arange(len(counts))
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -121,6 +122,11 @@ class _Postings:
     def list(self, term: int) -> np.ndarray:
         return self.places[self.first[term]:self.first[term + 1]].astype(np.int64)
 
+    def numbers(self, h: np.ndarray) -> list[int] | None:
+        """Term numbers of hashes that all occur."""
+        at, size = self.find(h)
+        return at.tolist() if size.all() else None
+
     def doc(self, place: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.doc_at, place, side="right") - 1
 
@@ -144,23 +150,51 @@ def _intersect(index: _Postings, terms: np.ndarray, sizes: np.ndarray, lo: int,
     return found + lo
 
 
-def _near(index: _Postings, terms: np.ndarray, sizes: np.ndarray, slop: int, lists: dict) -> np.ndarray:
-    """Documents where the item's three rarest terms stand within ``slop`` words of the rarest."""
-    known, at = np.unique(terms, return_index=True)
-    rare = known[np.argsort(sizes[at], kind="stable")][:3].tolist()
+def _near(index: _Postings, rare: list[int], slop: int, lists: dict) -> np.ndarray:
+    """Documents where the terms ``rare`` stand within ``slop`` words of the first one."""
     for t in rare:
         if t not in lists:
             lists[t] = index.list(t)
     place = lists[rare[0]]
     for t in rare[1:]:
-        other = lists[t]
+        other, of = lists[t], index.doc(place)
         right = np.searchsorted(other, place)
-        gap = np.minimum(np.abs(other[np.minimum(right, len(other) - 1)] - place),
-                         np.abs(other[np.maximum(right - 1, 0)] - place))
-        place = place[gap <= slop]
+        near = np.zeros(len(place), bool)
+        for beside in (np.minimum(right, len(other) - 1), np.maximum(right - 1, 0)):
+            near |= (np.abs(other[beside] - place) <= slop) & (index.doc(other[beside]) == of)
+        place = place[near]
     return np.unique(index.doc(place))
 
 
+def _term_counts(index: DataFrame, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the ``wanted`` terms that occur and their postings over all blocks."""
+    shared = index.sparkSession.sparkContext.broadcast(wanted)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(shared.value), np.int64)
+        for batch in batches:
+            for row in batch.to_pylist():
+                _, sizes = _Postings(row["counts"], row["terms"], row["firsts"], b"").find(shared.value)
+                total += sizes
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["at", "n"])
+
+    rows = index.select("counts", "terms", "firsts").mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).orderBy("at").toArrow()
+    return wanted[rows.column("at").to_numpy()], rows.column("n").to_numpy()
+
+
+def _rarest(hashes: np.ndarray, bounds: np.ndarray, terms: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+    """Per item: its three rarest terms of the whole index, none if fewer than three of its words occur."""
+    at = np.minimum(np.searchsorted(terms, hashes), max(0, len(terms) - 1))
+    known = terms[at] == hashes if len(terms) else np.zeros(len(hashes), bool)
+    out = []
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        own = at[a:b][known[a:b]]
+        distinct = np.unique(own)
+        out.append(terms[distinct[np.argsort(counts[distinct], kind="stable")][:3]] if len(own) >= 3 else terms[:0])
+    return out
+
+
 def _spans(start: np.ndarray, width: int) -> list[tuple[int, int]]:
     """Merge [s, s + width) for ascending s."""
     cut = np.flatnonzero(np.r_[True, start[1:] > start[:-1] + width])
@@ -185,13 +219,14 @@ def search(index: DataFrame, items: DataFrame, item_id: str = "item_id", text: s
         rows = wanted.where(F.pmod(F.xxhash64("id", "t"), F.lit(chunks)) == c).toArrow()
         raw, off = W.text_bytes(rows.column("t"))
         w = W.words(raw, off, W.ALNUM)
-        query = spark.sparkContext.broadcast((rows.column("id").to_pylist(), w.hashes, w.bounds))
+        rare = _rarest(w.hashes, w.bounds, *_term_counts(index, np.unique(w.hashes)))
+        query = spark.sparkContext.broadcast((rows.column("id").to_pylist(), w.hashes, w.bounds, rare))
 
         def probe(batches: Iterator[pa.RecordBatch], query=query) -> Iterator[pa.RecordBatch]:
-            ids, hashes, bounds = query.value
+            ids, hashes, bounds, rare = query.value
             for batch in batches:
                 for row in batch.to_pylist():
-                    yield _probe(row, ids, hashes, bounds, width, slop)
+                    yield _probe(row, ids, hashes, bounds, rare, width, slop)
 
         parts.append(index.select("block", "counts", "terms", "firsts", "postings").mapInArrow(
             probe, "block long, doc long, item_id string, exact boolean, spans array<struct<start:long,end:long>>"))
@@ -201,7 +236,7 @@ def search(index: DataFrame, items: DataFrame, item_id: str = "item_id", text: s
     return out
 
 
-def _probe(row: dict, ids: list, hashes: np.ndarray, bounds: np.ndarray, width: int, slop: int) -> pa.RecordBatch:
+def _probe(row: dict, ids: list, hashes: np.ndarray, bounds: np.ndarray, rare: list, width: int, slop: int) -> pa.RecordBatch:
     index = _Postings(row["counts"], row["terms"], row["firsts"], row["postings"])
     terms, sizes = index.find(hashes)
     lists: dict[int, np.ndarray] = {}
@@ -224,9 +259,8 @@ def _probe(row: dict, ids: list, hashes: np.ndarray, bounds: np.ndarray, width:
                 d = int(of[x])
                 exact.add(d)
                 out.append((d, item, True, _spans(at[x:y] - index.doc_at[d], n)))
-        known = s > 0
-        if known.sum() >= 3:
-            out.extend((int(d), item, False, []) for d in _near(index, t[known], s[known], slop, lists) if d not in exact)
+        if len(rare[k]) and (of_rare := index.numbers(rare[k])):
+            out.extend((int(d), item, False, []) for d in _near(index, of_rare, slop, lists) if d not in exact)
     return pa.RecordBatch.from_arrays([
         pa.array([row["block"]] * len(out), pa.int64()), pa.array([x[0] for x in out], pa.int64()),
         pa.array([x[1] for x in out], pa.string()), pa.array([x[2] for x in out], pa.bool_()),

@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+from pyspark.sql import functions as F
+
 from tastebud.llm import decontam as D
 from tastebud.llm.queries import QUERIES
 
@@ -78,3 +80,25 @@ def test_empty_tables(spark, docs, no_docs):
 def test_clashing_columns(spark, odd, odd_clash):
     bench = spark.createDataFrame([(1, "same text")], "item_id long, text string")
     assert spark_rows(odd_clash, bench) == spark_rows(odd, bench)
+
+
+def test_proximity_does_not_depend_on_blocks(spark):
+    rows = [(1, "alpha beta gamma delta"), (2, "delta delta alpha"), (3, "alpha beta gamma"), (4, "delta beta"), (5, "gamma " * 9),
+            (6, "delta " * 9), (7, "alpha alpha alpha")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame([(7, "delta gamma alpha beta")], "item_id long, text string")
+
+    def near(block_words):
+        index = D.build_index(docs, ["doc_id"], block_words=block_words)
+        found = D.search(index, bench).where("not exact")
+        named = index.select("block", F.posexplode("docs").alias("doc", "d")).join(found, ["block", "doc"])
+        return sorted(r["k0"] for r in named.select("d.k0").collect())
+
+    assert near(10 ** 6) == near(1) == near(8) == [1, 3]
+
+
+def test_proximity_stays_inside_a_document(spark):
+    docs = spark.createDataFrame([(1, "alpha beta"), (2, "gamma x"), (3, "alpha beta gamma")], "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame([(7, "gamma alpha beta")], "item_id long, text string")
+    near = {r["doc_id"]: r["near_items"] for r in D.contamination(docs, bench, ["doc_id"]).collect()}
+    assert near == {1: [], 2: [], 3: ["7"]}
