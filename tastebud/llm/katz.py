@@ -57,6 +57,11 @@ def _pack(x: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x).tobytes())
 
 
+def _ref_kind(blocks: list) -> type:
+    """Integers that hold references (block number << 16) + document into ``blocks``."""
+    return np.uint32 if len(blocks) <= 1 << 16 else np.uint64
+
+
 def _open(b: bytes, kind) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(b), kind)
 
@@ -237,7 +242,7 @@ def _merge(rows: list[dict], hot: np.ndarray) -> tuple:
     own = unigram[~is_hot]
     return (0, rows[0]["bucket"], [r["block"] for r in rows], words.tobytes(),
             _pack(np.diff(np.r_[head, len(w)]).astype(np.uint32)), _pack48(v), _pack(c.astype(np.uint32)),
-            _pack(t.astype(np.uint32)), _pack(ref.astype(np.uint32)), at_hot.tolist(), _of_counts(own), _of_counts(c),
+            _pack(t.astype(np.uint32)), _pack(ref.astype(_ref_kind(rows))), at_hot.tolist(), _of_counts(own), _of_counts(c),
             int(c.sum()), int((own > 0).sum()))
 
 
@@ -289,7 +294,7 @@ def _bucket(r: dict, u: Unigrams):
     c = _open(r["counts"], np.uint32).astype(np.int64)
     unigram = u.counts(words, c, np.cumsum(pairs) - pairs)
     return (np.repeat(words, pairs), np.repeat(unigram, pairs), _open48(r["contexts"]), c,
-            _open(r["times"], np.uint32).astype(np.int64), _open(r["refs"], np.uint32).astype(np.int64))
+            _open(r["times"], np.uint32).astype(np.int64), _open(r["refs"], _ref_kind(r["blocks"])).astype(np.int64))
 
 
 _TO_CONTEXT = "bucket int, kind int, blocks array<long>, contexts binary, seen binary, kept binary, count binary, refs binary"
@@ -324,7 +329,7 @@ def _to_contexts(r: dict, u: Unigrams, buckets: int) -> Iterator[tuple]:
     v, refs = v[order], refs[order]
     to = _deal(v, 48, buckets)
     for a, b in _runs(to):
-        yield (int(to[a]), 1, r["blocks"], _pack48(v[a:b]), None, None, None, _pack(refs[a:b].astype(np.uint32)))
+        yield (int(to[a]), 1, r["blocks"], _pack48(v[a:b]), None, None, None, _pack(refs[a:b].astype(_ref_kind(r["blocks"]))))
 
 
 def _per_block(blocks: list[int], refs: np.ndarray, *values: np.ndarray) -> Iterator[tuple]:
@@ -354,7 +359,7 @@ def _weigh(rows: list[dict]) -> Iterator[tuple]:
     blocks = np.unique(np.concatenate([r["blocks"] for r in lost]))
     refs = []
     for r in lost:      # one row per block: number the blocks of all senders alike
-        ref = _open(r["refs"], np.uint32).astype(np.int64)
+        ref = _open(r["refs"], _ref_kind(r["blocks"])).astype(np.int64)
         refs.append((np.searchsorted(blocks, r["blocks"])[ref >> 16] << 16) + (ref & 0xFFFF))
     add = np.zeros(len(want))
     if len(v):

@@ -3,6 +3,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,3 +109,16 @@ def test_odd_rows(odd, odd_clash, no_docs):
 def test_nothing_to_learn_from(odd):
     got = Z.score(odd, ["doc_id"], F.lit(False)).collect()
     assert {(r["score"], r["train_tokens"], r["n_known"]) for r in got} == {(0.0, 0, 0)}
+
+
+def test_references_reach_beyond_65536_blocks():
+    one = {"bucket": 0, "words": np.array([5], np.uint64).tobytes(), "contexts": Z._pack48(np.array([7], np.uint64)),
+           "pairs": Z._pack(np.ones(1, np.uint32)), "times": Z._pack(np.ones(1, np.uint32)),
+           "docs": Z._pack(np.zeros(1, np.uint16)), "train": Z._pack(np.ones(1, bool))}
+    none = np.zeros(0, np.uint64)
+    merged = Z._merge([{**one, "block": b} for b in range(65_537)], none)
+    names = [x.strip().split(" ")[0] for x in Z._MERGED.split(",")]
+    zero = [0] * (Z.K + 1)
+    u = Z.Unigrams({"hot": [], "unigrams": zero, "bigrams": zero, "tokens": 0, "vocabulary": 0}, none)
+    refs = Z._bucket(dict(zip(names, merged, strict=True)), u)[-1]
+    assert sorted((refs >> 16).tolist()) == list(range(65_537))
