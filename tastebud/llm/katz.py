@@ -375,7 +375,7 @@ def _score(r: dict, u: Unigrams) -> Iterator[tuple]:
     own = np.where(c > 0, np.log10(np.maximum(u.pair_discount(c), 1e-300)), np.log10(np.maximum(u.probability(unigram), 1e-300)))
     # this token is the next one's context: its count divides the next probability (alpha takes it back where unseen)
     own -= np.where((unigram > 0) & (w != END), np.log10(np.maximum(unigram, 1)), 0.0)
-    base = np.log10((unigram + 1) / (u.tokens + 1) / (u.vocabulary + 1))
+    base = np.log10((unigram + 1) / (u.tokens + u.vocabulary + 1))
     known = (unigram > 0).astype(float)
     yield from ((0, *x, None, None, None)
                 for x in _per_block(r["blocks"], refs, *[np.repeat(x, times) for x in (own, base, known)]))

@@ -68,7 +68,7 @@ def check(got, docs, learn):
     for k, t in docs:
         w = tokens(t)
         if t not in cache:
-            cache[t] = (len(w), sum(m.uni[x] > 0 for x in w), sum(math.log10((m.uni[x] + 1) / ((m.n + 1) * (v + 1))) for x in w), m.score(t))
+            cache[t] = (len(w), sum(m.uni[x] > 0 for x in w), sum(math.log10((m.uni[x] + 1) / (m.n + 1 * (v + 1))) for x in w), m.score(t))
         n, known, base, score = cache[t]
         assert any(r["n_tokens"] == n and r["n_known"] == known and r["train_tokens"] == m.n
                    and math.isclose(r["base_score"], base, rel_tol=1e-9, abs_tol=1e-9)
@@ -106,6 +106,33 @@ def test_odd_rows(odd, odd_clash, no_docs):
     assert Z.score(no_docs, ["doc_id"], train).count() == 0
 
 
+def test_base_score_of_one_text(spark):
+    """Tokens a, b and the end, each once: N = 3, V = 3, so each gives log10(2 / 7)."""
+    got = Z.score(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), ["doc_id"], F.lit(True)).first()
+    assert math.isclose(got["base_score"], 3 * math.log10(2 / 7), rel_tol=1e-12) and round(got["base_score"], 4) == -1.6322
+
+
+def test_base_columns_equal_sql(spark, sf):
+    import duckdb
+
+    want = duckdb.sql(f"""
+        WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM '{sf}/documents.parquet'),
+        t AS (SELECT doc_id, unnest(list_append(w, ' ')) AS w FROM d),
+        c AS (SELECT t.w, count(*) AS c FROM t SEMI JOIN (SELECT column0 AS id FROM learned) l ON l.id = t.doc_id GROUP BY 1),
+        s AS (SELECT sum(c) AS n, count(*) AS v FROM c)
+        SELECT doc_id, count(*), count(c.c), any_value(s.n), sum(log10((coalesce(c.c, 0) + 1) / (s.n + 1 * (s.v + 1))))
+        FROM t LEFT JOIN c ON c.w = t.w CROSS JOIN s GROUP BY 1""".replace("learned", f"""(SELECT UNNEST({
+            [k for (k,) in duckdb.sql(f"SELECT doc_id FROM '{sf}/documents.parquet'").fetchall() if zlib.crc32(str(k).encode()) % 7 != 2]
+        }) AS column0)""")).fetchall()
+    got = {r["doc_id"]: r for r in QUERIES["op1_katz_backoff"](spark, sf).collect()}
+    assert len(got) == len(want)
+    for k, n, known, total, base in want:
+        r = got[k]
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (n, known, total), k
+        assert math.isclose(r["base_score"], base, rel_tol=1e-9), k
+
+
 def test_nothing_to_learn_from(odd):
     got = Z.score(odd, ["doc_id"], F.lit(False)).collect()
     assert {(r["score"], r["train_tokens"], r["n_known"]) for r in got} == {(0.0, 0, 0)}
