@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, katz, langid, licenses, nearjoin, packing, quality, secrets, sharding, sql, warc
+from . import decontam, katz, langid, licenses, nearjoin, packing, pieces, quality, secrets, sharding, sql, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -109,6 +109,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document, as digests; the spans of its pieces cover ``covered_bytes``."""
+    found = pieces.encode(_table(spark, sf_dir, "documents"), ["doc_id"], tokenizer_path("piece_bpe_32k.model"))
+    return found.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"), "n_bytes", "covered_bytes")
+
+
 QUERIES: dict[str, Query] = {
     "op1_katz_backoff": op1_katz_backoff,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -120,6 +126,7 @@ QUERIES: dict[str, Query] = {
     "op8_extendible_sharding": op8_extendible_sharding,
     "op9_decontamination": op9_decontamination,
     "op10_warc": op10_warc,
+    "op13_sentencepiece": op13_sentencepiece,
 }
 
 ORACLES: dict[str, str] = {
