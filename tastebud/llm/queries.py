@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, katz, langid, licenses, nearjoin, packing, pieces, quality, secrets, sharding, sql, warc
+from . import audit, decontam, katz, langid, licenses, nearjoin, packing, pieces, quality, secrets, sharding, sql, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -109,6 +109,15 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+#: Documents of a language that a term needs, and terms named for each group, in ``op12_source_divergence``.
+MIN_DOCS, TOP_TERMS = 10, 10
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of each language's sources from each other, and their own terms."""
+    return audit.divergence(_table(spark, sf_dir, "documents"), min_docs=MIN_DOCS, top=TOP_TERMS)
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests; the spans of its pieces cover ``covered_bytes``."""
     found = pieces.encode(_table(spark, sf_dir, "documents"), ["doc_id"], tokenizer_path("piece_bpe_32k.model"))
@@ -126,10 +135,12 @@ QUERIES: dict[str, Query] = {
     "op8_extendible_sharding": op8_extendible_sharding,
     "op9_decontamination": op9_decontamination,
     "op10_warc": op10_warc,
+    "op12_source_divergence": op12_source_divergence,
     "op13_sentencepiece": op13_sentencepiece,
 }
 
 ORACLES: dict[str, str] = {
     "op6_quality_rules": sql.quality_rules(),
     "op8_extendible_sharding": sql.extendible_sharding(SHARD_BYTES),
+    "op12_source_divergence": sql.source_divergence(MIN_DOCS, TOP_TERMS),
 }
