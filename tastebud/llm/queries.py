@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audit, decontam, katz, langid, licenses, nearjoin, packing, pieces, quality, secrets, sharding, sql, warc
+from . import audit, decontam, katz, langid, licenses, nearjoin, negatives, packing, pieces, quality, secrets, sharding, sql, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -109,6 +109,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", label, F.col("vec_id") % 100 == 0)
+
+
 #: Documents of a language that a term needs, and terms named for each group, in ``op12_source_divergence``.
 MIN_DOCS, TOP_TERMS = 10, 10
 
@@ -135,6 +141,7 @@ QUERIES: dict[str, Query] = {
     "op8_extendible_sharding": op8_extendible_sharding,
     "op9_decontamination": op9_decontamination,
     "op10_warc": op10_warc,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_source_divergence": op12_source_divergence,
     "op13_sentencepiece": op13_sentencepiece,
 }
@@ -142,5 +149,6 @@ QUERIES: dict[str, Query] = {
 ORACLES: dict[str, str] = {
     "op6_quality_rules": sql.quality_rules(),
     "op8_extendible_sharding": sql.extendible_sharding(SHARD_BYTES),
+    "op11_hard_negatives": sql.hard_negatives(),
     "op12_source_divergence": sql.source_divergence(MIN_DOCS, TOP_TERMS),
 }

@@ -105,3 +105,24 @@ p AS (
 )
 SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= {top}
 """
+
+
+def hard_negatives() -> str:
+    return """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), s AS (
+  SELECT a.r AS a, a.id AS anchor_id, b.r AS b, b.id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v AS a JOIN v AS b ON a.r <> b.r WHERE a.id % 100 = 0
+), p AS (
+  SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, id, b) <= 5
+)
+SELECT p.anchor_id, p.id AS positive_id, row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.id, s.b)::INTEGER AS rank,
+       s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.a = p.a AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+QUALIFY rank <= 10
+"""
