@@ -5,9 +5,9 @@ Every language keeps the terms of at least ``min_docs`` of its documents; every
 into integer shares, and shares are compared by ``floor((p-q)^2 / (p+q))``.
 
 Terms are materialised late.  What is shuffled to count them is the 64-bit
-digest of a term; the smallest and largest string behind each digest of
-interest are then gathered, a digest with two strings is split by its strings,
-and text is joined back to the terms that the result names.
+digest of a term; the smallest and largest string behind each kept digest are
+then gathered, a digest with two strings is counted anew by its strings, and
+text is joined back to the terms that the result names.
 
 Pairs of sources are compared in tiles of ``TILE`` x ``TILE`` sources and salts
 of terms: a task holds one salt's counts as a terms x sources matrix and emits
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from .tables import stored
 
 #: Different terms of all groups that a worker counts before it passes them on.
-FLUSH_TERMS = 250_000
+FLUSH_TERMS = 500_000
 #: Sources on each side of a tile, and counts that one task compares at once.
 TILE, TILE_COUNTS = 64, 32_768
 #: Rows up to which a table of candidates or groups is broadcast; a larger one is joined by shuffle.
@@ -51,10 +52,10 @@ def _documents(df: DataFrame, text: str, lang: str, source: str) -> DataFrame:
     return df.select(blank(lang).alias("lang"), blank(source).alias("source"), blank(text).alias("text"))
 
 
-def term_counts(docs: DataFrame, by: list[str], bits: int = 64) -> DataFrame:
-    """Partial counts: ``by``, digest, term, n (occurrences), docs; a term may have several rows."""
-    schema = docs.select(*by, F.lit(0).cast("long").alias("digest"), F.lit("").alias("term"), F.lit(0).cast("long").alias("n"),
-                         F.lit(0).cast("long").alias("docs")).schema
+def term_counts(docs: DataFrame, by: list[str], bits: int = 64, strings: bool = False) -> DataFrame:
+    """Partial counts: ``by``, digest, n (occurrences), docs and, on request, term; a term may have several rows."""
+    longs = [F.lit(0).cast("long").alias(c) for c in ("digest", "n", "docs")]
+    schema = docs.select(*by, *longs, *([F.lit("").alias("term")] if strings else [])).schema
     mask = (1 << bits) - 1
 
     def batch(counts: dict[tuple, tuple[Counter, Counter]]) -> pa.RecordBatch:
@@ -66,17 +67,18 @@ def term_counts(docs: DataFrame, by: list[str], bits: int = 64) -> DataFrame:
             terms.extend(times)
             n.extend(times.values())
             seen.extend(map(docs_with.__getitem__, times))
-        digest = np.fromiter((xxhash.xxh64_intdigest(t) & mask for t in terms), np.uint64, len(terms)).view(np.int64)
-        arrays = [*[pa.array(k, pa.string()) for k in keys], pa.array(digest), pa.array(terms, pa.binary()).cast(pa.string()),
-                  pa.array(n, pa.int64()), pa.array(seen, pa.int64())]
+        digest = np.fromiter(map(xxhash.xxh64_intdigest, terms), np.uint64, len(terms)) & np.uint64(mask)
+        arrays = [*[pa.array(k, pa.string()) for k in keys], pa.array(digest.view(np.int64)), pa.array(n, pa.int64()), pa.array(seen, pa.int64())]
+        if strings:
+            arrays.append(pa.array(terms, pa.binary()).cast(pa.string()))
         return pa.RecordBatch.from_arrays(arrays, names=schema.fieldNames())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[tuple, tuple[Counter, Counter]] = {}
         held = 0
         for rows in batches:
-            groups = zip(*[c.to_pylist() for c in rows.columns[:-1]], strict=True)
-            for key, text in zip(groups, rows.columns[-1].to_pylist(), strict=True):
+            groups = zip(*[c.to_pylist() for c in rows.columns[:-1]], strict=True) if by else repeat(())
+            for key, text in zip(groups, rows.columns[-1].to_pylist(), strict=False):
                 found = text.translate(_TERMS).split()
                 if not found:
                     continue
@@ -100,22 +102,26 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def kept_counts(docs: DataFrame, min_docs: int, bits: int = 64) -> tuple[DataFrame, DataFrame]:
-    """Counts (lang, source, digest, split, n, docs) of terms that may be kept, and the string of each digest.
+    """Counts (lang, source, digest, split, n, lang_n) of the kept terms, and the string of each digest.
 
-    ``split`` is '' but for a digest that several strings share: there it is the string.
+    ``split`` is '' but for a digest that several strings share: there it is the string, counted anew.
     """
-    enough = term_counts(docs, ["lang"], bits).groupBy("lang", "digest").agg(F.sum("docs").alias("d")).where(F.col("d") >= min_docs)
-    candidates = stored(enough.select("lang", "digest"), "audit-candidates")
-    found = term_counts(docs, ["lang", "source"], bits).join(_small(candidates), ["lang", "digest"], "left_semi")
-    found = stored(found, "audit-counts")
-    names = stored(found.groupBy("digest").agg(F.min("term").alias("low"), F.max("term").alias("high")), "audit-names")
-    collided = names.where("low <> high").select("digest", F.lit(True).alias("collides"))
-    if collided.isEmpty():
-        split = found.withColumn("split", F.lit(""))
-    else:
-        split = found.join(_small(collided), "digest", "left").withColumn("split", F.when(F.col("collides"), F.col("term")).otherwise(""))
-    counts = split.groupBy("lang", "source", "digest", "split").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    return stored(counts, "audit-groups"), names.select("digest", "low")
+    sums = [F.sum("n").alias("n"), F.sum("docs").alias("docs")]
+    counts = stored(term_counts(docs, ["lang", "source"], bits).groupBy("lang", "source", "digest").agg(*sums), "audit-counts")
+    enough = lambda df, key: df.groupBy(*key).agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("d")).where(
+        F.col("d") >= min_docs).drop("d")
+    terms = stored(enough(counts, ["lang", "digest"]), "audit-terms")
+    strings = term_counts(docs, [], bits, strings=True).join(_small(terms.select("digest").distinct()), "digest", "left_semi")
+    names = stored(strings.groupBy("digest").agg(F.min("term").alias("low"), F.max("term").alias("high")), "audit-names")
+    collided = names.where("low <> high").select("digest")
+    columns = ["lang", "source", "digest", "split", "n", "lang_n"]
+    kept = counts.join(_small(terms), ["lang", "digest"]).withColumn("split", F.lit("")).select(*columns)
+    if not collided.isEmpty():
+        again = term_counts(docs, ["lang", "source"], bits, strings=True).join(_small(collided), "digest", "left_semi")
+        again = stored(again.withColumnRenamed("term", "split").groupBy("lang", "source", "digest", "split").agg(*sums), "audit-split")
+        key = ["lang", "digest", "split"]
+        kept = kept.join(_small(collided), "digest", "left_anti").unionByName(again.join(enough(again, key), key).select(*columns))
+    return stored(kept, "audit-kept"), names.select("digest", "low")
 
 
 def share(n: Column, total: Column, terms: Column) -> Column:
@@ -177,9 +183,7 @@ def divergence(df: DataFrame, text: str = "text", lang: str = "lang", source: st
     terms that the group uses more than its language does.  ``bits`` of the digests are used (fewer make collisions, for tests).
     """
     docs = _documents(df, text, lang, source)
-    counts, names = kept_counts(docs, min_docs, bits)
-    terms = counts.groupBy("lang", "digest", "split").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("d")).where(F.col("d") >= min_docs).drop("d")
-    kept = stored(counts.drop("docs").join(terms, ["lang", "digest", "split"]), "audit-kept")
+    kept, names = kept_counts(docs, min_docs, bits)
     by_group = kept.groupBy("lang", "source").agg(F.sum("n").alias("group_total"), F.count(F.lit(1)).alias("own"))
     by_lang = kept.groupBy("lang", "digest", "split").agg(F.first("lang_n").alias("n")).groupBy("lang").agg(
         F.sum("n").alias("lang_total"), F.count(F.lit(1)).alias("v"))
