@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 
 from tastebud.llm import decontam, nearjoin, packing, quality, secrets
 from tastebud.llm.queries import tokenizer_path
-from tastebud.llm.tables import stored
+from tastebud.llm.tables import stored, unused
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass every quality rule; no length is too much."""
-    return quality.kept_rows(docs, rules=quality.UNBOUNDED_RULES)
+    return quality.kept_rows(docs)
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,16 +30,18 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that aren't contaminated by the benchmark."""
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    keyed = docs.withColumn("_text", F.md5(F.coalesce("text", F.lit(""))))
-    found = decontam.contamination(keyed, items, ["_text"])
-    bad = found.where("contaminated").select("_text").distinct()
-    return keyed.join(bad, "_text", "left_anti").select(*docs.columns)
+    key = unused("text_key", docs)
+    keyed = docs.withColumn(key, F.md5(F.coalesce("text", F.lit(""))))
+    found = decontam.contamination(keyed, items, [key])
+    bad = found.where("contaminated").select(key).distinct()
+    return keyed.join(bad, key, "left_anti").select(*docs.columns)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets masked."""
-    clean = secrets.redact(secrets.scan(docs, out="_secrets"), found="_secrets")
-    masked = F.size("_secrets") > 0
+    found = unused("found_secrets", docs)
+    clean = secrets.redact(secrets.scan(docs, out=found), found=found)
+    masked = F.size(found) > 0
     return clean.withColumn("n_chars", F.when(masked, F.length("text").cast(docs.schema["n_chars"].dataType))
                             .otherwise(F.col("n_chars"))).select(*docs.columns)
 
