@@ -50,7 +50,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        #: Added tokens' strings: texts that hold one go to the tokenizer whole.
+        self.added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         (self.feed,) = self._ids(["\n"])[0]
@@ -96,7 +97,7 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids per text."""
-        plain = [bool(t) and " ".join(t.split()) == t.replace("\n", " ") for t in texts]
+        plain = [bool(t) and " ".join(t.split()) == t.replace("\n", " ") and not any(x in t for x in self.added) for t in texts]
         split = [f"\n{t}".replace("\n", " \n").split(" ")[1:] if p else [] for t, p in zip(texts, plain, strict=True)]
         self._learn(set().union(*split))
         of = self.memo.__getitem__

@@ -12,9 +12,7 @@ from tastebud.llm.queries import QUERIES, tokenizer_path
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(tokenizer_path())
 
 
 def brute(tokenizer, docs):
@@ -83,6 +81,13 @@ def test_word_memo_equals_whole_texts(tokenizer):
     assert P.WordEncoder(tokenizer_path()).encode(odd) == want
 
 
+def test_added_tokens_are_what_the_plain_call_gives(spark, tokenizer):
+    rows = [(1, "a <|endoftext|> b"), (2, "x<|endoftext|>"), (3, "<|endoftext|><|endoftext|>\nc d"), (4, "<|endo ftext|>")]
+    got = P.pack(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"], tokenizer_path()).collect()
+    check(tokenizer, got, rows)
+    assert {r["doc_id"]: r["length"] for r in got}[1] == 5
+
+
 def test_plan_places_every_piece_once():
     rnd = random.Random(3)
     for capacity in (7, 64, 2048):
