@@ -39,7 +39,6 @@ BASE_RULES = (
 
 #: Thresholds of the method (fixed values; pass others as ``rules``).
 RULES = (
-    Rule("max_words", "n_words", largest=100_000),
     Rule("short_words", "chars_per_word", smallest=2.0),
     Rule("long_words", "chars_per_word", largest=15.0),
     Rule("symbols", "symbols_per_word", largest=0.5),
@@ -49,8 +48,8 @@ RULES = (
     Rule("ellipsis_lines", "ellipsis_line_ratio", largest=0.3),
 )
 
-#: The rules without an upper length: long texts are left to the ratio rules.
-UNBOUNDED_RULES = tuple(r for r in RULES if r.name != "max_words")
+#: An upper length, for callers that want one: no rule above rejects a text for its length.
+MAX_WORDS = Rule("max_words", "n_words", largest=100_000)
 
 #: Frequent function words of English, German, French, Spanish.
 STOP_WORDS = (

@@ -72,4 +72,4 @@ def test_the_pipeline_keeps_clean_long_texts(spark, docs):
     words = " ".join(f"the word{i} of line{i}" for i in range(30_000))
     long = spark.createDataFrame([(1, words), (2, "x " * 120_000)], "doc_id long, text string")
     assert [r["doc_id"] for r in corpus_pipeline.quality_stage(spark, long, "").collect()] == [1]
-    assert Q.quality_rules(long).where("doc_id = 1").first()["quality"]["failed"] == ["max_words"]
+    assert Q.quality_rules(long, rules=(*Q.RULES, Q.MAX_WORDS)).where("doc_id = 1").first()["quality"]["failed"] == ["max_words"]
