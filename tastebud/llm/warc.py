@@ -7,8 +7,10 @@ files below the shared folder.  ``read`` walks each archive from its start:
 one incremental zlib stream per member, header lines up to the blank line,
 ``Content-Length`` bytes of block, and a check of the payload digest.
 
-An archive file holds up to ``ARCHIVE_ROWS`` records, so the reader's memory is
-bounded by that and not by the table.
+An archive file holds up to ``ARCHIVE_ROWS`` records and about ``ARCHIVE_BYTES``
+of payload: larger payloads are written by size class, fewer to a file, so the
+reader's memory is bounded by that and not by the table.  The largest record is
+a payload of 2 GiB less its headers, the most that a cell can hold.
 
 Defined results: a null payload is empty; rows whose id equals the smallest of
 their payload are all responses, so repeated rows are too; null ids are no
@@ -32,6 +34,8 @@ from ..session import scratch_path
 from .tables import lookup, stored
 
 ARCHIVE_ROWS = 2000
+#: Payload bytes that an archive file holds, unless it is a single record.
+ARCHIVE_BYTES = 256 << 20
 #: Payloads shorter than this are never revisits.
 REVISIT_BYTES = 0
 _DATE = "2024-01-01T00:00:00Z"
@@ -134,11 +138,13 @@ def _first_pages(pages: DataFrame, id_col: str, payload: str, revisit_bytes: int
 
 
 def write(pages: DataFrame, path: str, id_col: str = "page_id", url: str = "url", payload: str = "html",
-          revisit_bytes: int = REVISIT_BYTES) -> None:
-    """Write one record per row to archive files below ``path``."""
+          revisit_bytes: int = REVISIT_BYTES, archive_bytes: int = ARCHIVE_BYTES) -> None:
+    """Write one record per row to archive files below ``path``, one folder for each size class of payloads."""
     hashed, first = _first_pages(pages.select(id_col, url, payload), id_col, payload, revisit_bytes)
     rows = lookup(hashed, first, "_h", "_rows", F.xxhash64(id_col, "_h")).select(
         F.col(id_col).alias("id"), F.col(url).alias("u"), F.col(payload).alias("p"), F.col("_first").alias("first"))
+    size = F.coalesce(F.octet_length("p"), F.lit(0))
+    largest = pages.agg(F.max(F.octet_length(payload))).first()[0] or 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,10 +160,14 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url: str = "url"
                     out.append(gz[:-1])
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["member"])
 
-    # The text writer copies a string's bytes as they are and ends each row with the separator: here the zero byte
-    # that every member ends with, so the files are plain concatenations of gzip members.
-    (rows.mapInArrow(run, "member binary").select(F.col("member").cast("string").alias("value"))
-     .write.option("lineSep", "\x00").option("maxRecordsPerFile", ARCHIVE_ROWS).text(path))
+    below, above = -1, max(1, archive_bytes // ARCHIVE_ROWS)
+    while below < largest or below < 0:
+        # The text writer copies a string's bytes as they are and ends each row with the separator: here the zero byte
+        # that every member ends with, so the files are plain concatenations of gzip members.
+        part = rows.where((size > below) & (size <= above))
+        (part.mapInArrow(run, "member binary").select(F.col("member").cast("string").alias("value"))
+         .write.option("lineSep", "\x00").option("maxRecordsPerFile", max(1, archive_bytes // above)).text(f"{path}/{above}"))
+        below, above = above, 8 * above
 
 
 def read(spark: SparkSession, path: str, id_type: str = "long") -> DataFrame:
@@ -190,16 +200,16 @@ def read(spark: SparkSession, path: str, id_type: str = "long") -> DataFrame:
                 if held:
                     yield batch(held)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", True).load(path).select("content")
     return files.mapInArrow(run, f"page_id {id_type}, url string, record_type string, refers_to {id_type}, "
                             "payload_digest string, payload_bytes long, payload binary")
 
 
 def round_trip(pages: DataFrame, id_col: str = "page_id", url: str = "url", payload: str = "html",
-               revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
+               revisit_bytes: int = REVISIT_BYTES, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write all rows to archives in the shared folder and read them back."""
     spark = pages.sparkSession
     path = scratch_path(spark, "warc")
-    write(pages, path, id_col, url, payload, revisit_bytes)
+    write(pages, path, id_col, url, payload, revisit_bytes, archive_bytes)
     kind = "string" if pages.schema[id_col].dataType.simpleString() == "string" else "long"
     return read(spark, path, kind)

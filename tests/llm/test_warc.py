@@ -53,10 +53,21 @@ def test_payloads_and_files(spark, tmp_path):
     K.write(df, path)
     got = K.read(spark, path).where("record_type = 'response'").collect()
     assert (6, "日本\r\n\r\n\x00".encode()) in {(r["page_id"], bytes(r["payload"])) for r in got}
-    for f in tmp_path.joinpath("archives").glob("part-*"):
+    for f in tmp_path.joinpath("archives").rglob("part-*"):
         assert gzip.decompress(f.read_bytes()).startswith(b"WARC/1.1\r\n") or not f.stat().st_size
 
 
+def test_archives_are_closed_by_bytes(spark, tmp_path):
+    """Payloads of 1, 100 and 5,000 bytes under a limit of 4,000 bytes a file."""
+    pages = [(i, "u", str(i) * n) for i, n in enumerate([1] * 6 + [100] * 60 + [5000] * 5, 1)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    K.write(df, path := f"{tmp_path}/archives", archive_bytes=4000)
+    files = [gzip.decompress(f.read_bytes()) for f in tmp_path.joinpath("archives").rglob("part-*")]
+    held = [[len(r.payload) for r in K.records(gzip.compress(f))] if f.count(b"WARC/1.1") == 1 else f.count(b"WARC/1.1") for f in files if f]
+    assert len(held) > 10 and rows(K.read(spark, path)) == brute([(a, c) for a, _, c in pages])
+    assert all(len(f) <= 4000 + 400 * f.count(b"WARC/1.1") or f.count(b"WARC/1.1") == 1 for f in files)
+
+
 def test_reader_frames_and_verifies():
     a, b = K.record(1, "u", b"x" * 300_000, None, False), K.record(2, "u", b"x" * 300_000, 1, True)
     first, second = K.records(a + b)
