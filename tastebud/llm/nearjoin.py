@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import wordbytes as W
-from .tables import lookup, stored
+from .tables import lookup, stored, unused
 
 TREES = 24
 SYMBOLS = 8
@@ -308,9 +308,9 @@ def keep_one(df: DataFrame, found: DataFrame, id_col: str = "doc_id", text: str
     alone = F.concat_ws("/", F.lit("row"), F.col(id_col).cast("string"), F.col("text_hash").cast("string"))
     chosen = found.groupBy(F.coalesce(F.col("class_node").cast("string"), alone).alias("g")).agg(
         F.min(F.struct(F.col(id_col).isNull().alias("no"), F.col(id_col).alias("i"), F.col("text_hash").alias("h"))).alias("c")
-    ).select(F.col("c.i").alias("_i"), F.col("c.h").alias("_h"))
-    kept = df.join(chosen, F.col(id_col).eqNullSafe(F.col("_i")) & (F.xxhash64(F.col(text)) == F.col("_h")), "left_semi")
-    twice = found.groupBy(F.col(id_col).alias("_i"), F.col("text_hash").alias("_h")).count().where("count > 1")
+    ).select(F.col("c.i").alias(i := unused("class_first", df)), F.col("c.h").alias(h := unused("class_hash", df)))
+    kept = df.join(chosen, F.col(id_col).eqNullSafe(F.col(i)) & (F.xxhash64(F.col(text)) == F.col(h)), "left_semi")
+    twice = found.groupBy(F.col(id_col).alias("a"), F.col("text_hash").alias("b")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     if twice.isEmpty():
         return kept
     return kept.dropDuplicates([id_col, text])

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import stored
+from .tables import stored, unused
 
 
 @dataclass(frozen=True)
@@ -164,23 +164,24 @@ def spans(text: Column, rule: SecretRule, number: int) -> Column:
 
 def scan(df: DataFrame, id_col: str = "doc_id", text: str = "text", rules: tuple[SecretRule, ...] = RULES,
          out: str = "secrets") -> DataFrame:
-    """Add ``out``: array<struct<start, kind, end>>, sorted by start, then by the rules' order."""
+    """Add ``out``: array<struct<start, kind, end>>, sorted by start, then by the rules' order; it replaces a column of that name."""
     queries = {i: q for i, r in enumerate(rules) if (q := trigram_query(r.pattern))}
     trigrams = sorted({x for q in queries.values() for clause in q for alt in clause for x in alt})
     index = build_index(df, trigrams, id_col, text)
-    found = candidates(index, trigrams, queries).select(F.col("id").alias(f"{out}_id"), F.col("rules").alias(f"{out}_rules"))
-    joined = df.join(found, F.col(id_col).eqNullSafe(F.col(f"{out}_id")), "left")
+    row_id, row_rules = unused(f"{out}_id", df), unused(f"{out}_rules", df)
+    found = candidates(index, trigrams, queries).select(F.col("id").alias(row_id), F.col("rules").alias(row_rules))
+    joined = df.join(found, F.col(id_col).eqNullSafe(F.col(row_id)), "left")
     t = F.coalesce(F.col(text), F.lit(""))
     none = F.filter(F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("kind"), F.lit(0).alias("end"))),
                     lambda x: F.lit(False))
     per_rule = []
     for i, rule in enumerate(rules):
-        may = F.array_contains(f"{out}_rules", i) if i in queries else F.lit(True)
+        may = F.array_contains(row_rules, i) if i in queries else F.lit(True)
         # a full scan first asks for one long enough match, which most texts lack
         if i not in queries and rule.pattern.endswith("+") and rule.min_length:
             may = t.rlike(f"{rule.pattern[:-1]}{{{rule.min_length}}}")
         per_rule.append(F.when(F.coalesce(may, F.lit(False)), spans(t, rule, i)).otherwise(none))
-    return joined.withColumn(out, F.array_sort(F.concat(*per_rule))).drop(f"{out}_id", f"{out}_rules")
+    return joined.withColumn(out, F.array_sort(F.concat(*per_rule))).drop(row_id, row_rules)
 
 
 def render(found: Column, rules: tuple[SecretRule, ...] = RULES) -> Column:

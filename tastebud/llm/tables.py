@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 
+def unused(name: str, *tables: DataFrame) -> str:
+    """``name``, with underscores added until no table has a column of that name."""
+    taken = {c.lower() for t in tables for c in t.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def stored(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` as Parquet below ``spark.checkpoint.dir`` and read it back.
 
