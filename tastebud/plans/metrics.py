@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import evaluate as E
+from ..operators import models as M
 from ..operators import pairs as PS
 from ..operators import predict as PR
 from ..operators import recommend as R
@@ -260,6 +261,45 @@ def topn_from_predictions(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("user_id", "item_id", r6("score"), "rank")
 
 
+_USER_GRID = """
+nitems AS (SELECT COUNT(*) AS n FROM items),
+um AS (SELECT u.user_id, COALESCE(SUM(t.rating), 0) / CAST((SELECT n FROM nitems) AS DOUBLE) AS m
+       FROM users u LEFT JOIN train t ON t.user_id = u.user_id GROUP BY u.user_id),
+unrm AS (SELECT user_id, sqrt(SUM(CAST(rating AS DOUBLE) * rating)) AS nr FROM train GROUP BY user_id),
+udp AS (SELECT a.user_id AS i, b.user_id AS j, SUM(CAST(a.rating AS DOUBLE) * b.rating) AS dot
+        FROM train a JOIN train b ON a.item_id = b.item_id AND a.user_id <> b.user_id GROUP BY 1, 2),
+ucs AS (SELECT udp.i, udp.j, udp.dot / (n1.nr * n2.nr) AS s
+        FROM udp JOIN unrm n1 ON udp.i = n1.user_id JOIN unrm n2 ON udp.j = n2.user_id),
+ucon AS (SELECT um.user_id, um.m, (SELECT SUM(m) FROM um) - COALESCE(SUM(ucs.s * v.m), 0) - um.m AS a,
+                (SELECT COUNT(*) FROM users) - COALESCE(SUM(ucs.s), 0) - 1 AS b
+         FROM um LEFT JOIN ucs ON ucs.i = um.user_id LEFT JOIN um v ON v.user_id = ucs.j GROUP BY um.user_id, um.m),
+ci AS (SELECT it.item_id, COALESCE(SUM(t.rating), 0) AS c FROM items it LEFT JOIN train t ON t.item_id = it.item_id GROUP BY 1),
+sui AS (SELECT ucs.i AS user_id, t.item_id, SUM(ucs.s * t.rating) AS s
+        FROM ucs JOIN train t ON t.user_id = ucs.j GROUP BY 1, 2),
+pred AS (SELECT u.user_id, ci.item_id, u.m + (ci.c - COALESCE(sui.s, 0.0) - u.a) / u.b AS score
+         FROM ucon u CROSS JOIN ci LEFT JOIN sui ON sui.user_id = u.user_id AND sui.item_id = ci.item_id
+         WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = u.user_id AND t.item_id = ci.item_id))"""
+
+
+@register("topn_from_user_predictions", Q.with_(Q.RATINGS, _DENSE_BASE, _USER_GRID) + """
+SELECT user_id, item_id, round(score, 6) AS score, CAST(rk AS BIGINT) AS rank FROM (
+  SELECT user_id, item_id, score,
+         row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, item_id) AS rk
+  FROM pred) WHERE rk <= 20""")
+def topn_from_user_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """Top 20 unseen items per user by the user-based prediction, over all items."""
+    out = DT.topn_from_user_predictions(_tr(spark, sf), C.ratings(spark, sf), 20)
+    return out.select("user_id", "item_id", r6("score"), "rank")
+
+
+@register("topn_from_svd")
+def topn_from_svd(spark: SparkSession, sf: str) -> DataFrame:
+    """Top 20 unseen items per user by the rank-15 SVD of the zero-filled matrix."""
+    tr = _tr(spark, sf)
+    u, s, v = M.truncated_svd(tr.select("user_id", "item_id", F.col("rating").alias("v")), k=15)
+    return DT.topn_from_svd(u, s, v, tr, 20).select("user_id", "item_id", r6("score"), "rank")
+
+
 @register("item_cf_dense_topn", Q.with_(Q.RATINGS, _DENSE_BASE, """
 inrm AS (SELECT item_id, sqrt(SUM(CAST(rating AS DOUBLE) * rating)) AS nr FROM train GROUP BY item_id),
 idp AS (SELECT a.item_id AS i, b.item_id AS j, SUM(CAST(a.rating AS DOUBLE) * b.rating) AS dot

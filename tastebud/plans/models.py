@@ -14,6 +14,7 @@ from ..operators import models as M
 from ..operators import prep as P
 from ..operators.aggregate import most_active
 from ..operators.evaluate import rmse
+from ..operators.threshold import max_inner_product
 from ..session import scratch_path
 from ..sources import catalog as C
 from . import sql as Q
@@ -148,11 +149,43 @@ def lfm(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("lfm_recommend")
 def lfm_recommend(spark: SparkSession, sf: str) -> DataFrame:
-    """Score Σ_f p_uf q_fi over all items (blocked in Spark ML), best 10 per user."""
+    """Score Σ_f p_uf q_fi over all items, best 10 per user; items by falling norm, users stop by their bound."""
     model, users, items = _lfm_model(spark, sf)
-    best = M.recommend_for_all(model, 10, "user_idx", "item_idx")
-    return best.join(users, "user_idx").join(items, "item_idx").select(
-        "user_id", "item_id", F.round("score", 6).alias("score"), "rank")
+    own = model.userFactors.join(users, F.col("id") == F.col("user_idx")).select("user_id", "features")
+    all_items = model.itemFactors.join(items, F.col("id") == F.col("item_idx")).select("item_id", "features")
+    best = max_inner_product(own, all_items, 10)
+    return best.select("user_id", "item_id", F.round("score", 6).alias("score"), "rank")
+
+
+LFM_K = 8
+
+
+def _rule_factor(key: str, f: int) -> str:
+    """Fixed factor of a user or item as SQL that Spark and DuckDB read alike."""
+    return f"(({key} * {31 + 2 * f} + {f * 17}) % 997) / CAST(997.0 AS DOUBLE) - CAST(0.5 AS DOUBLE)"
+
+
+def _rule_vector(key: str, scale: str) -> list[str]:
+    return [f"({_rule_factor(key, f)}) {scale}" for f in range(LFM_K)]
+
+
+#: Norms of items differ by their id, so that the search has an order to use.
+_LFM_SCALE = "/ (1 + item_id % 40)"
+
+
+@register("lfm_recommend_rule", Q.with_(Q.RATINGS, f"""
+p AS (SELECT user_id, {', '.join(f'{x} AS p{f}' for f, x in enumerate(_rule_vector('user_id', '')))} FROM (SELECT DISTINCT user_id FROM ratings)),
+q AS (SELECT item_id, {', '.join(f'{x} AS q{f}' for f, x in enumerate(_rule_vector('item_id', _LFM_SCALE)))} FROM (SELECT DISTINCT item_id FROM ratings)),
+s AS (SELECT user_id, item_id, {' + '.join(f'p{f} * q{f}' for f in range(LFM_K))} AS score FROM p CROSS JOIN q)""") + """
+SELECT user_id, item_id, round(score, 6) AS score, CAST(rk AS BIGINT) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, item_id) AS rk FROM s) WHERE rk <= 10""")
+def lfm_recommend_rule(spark: SparkSession, sf: str) -> DataFrame:
+    """R17 from saved factors: the same search over rule-made factors, so that SQL gives the same rows."""
+    r = _all(spark, sf)
+    side = lambda key, scale: r.select(key).distinct().select(
+        key, F.array(*[F.expr(x) for x in _rule_vector(key, scale)]).alias("features"))
+    best = max_inner_product(side("user_id", ""), side("item_id", _LFM_SCALE), 10)
+    return best.select("user_id", "item_id", F.round("score", 6).alias("score"), "rank")
 
 
 @register("fm_regression")

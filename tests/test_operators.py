@@ -246,7 +246,7 @@ def test_categorical_indices():
 
 
 def test_first_k_not_in(spark):
-    from tastebud.operators.dense_topn import first_k_not_in
+    from tastebud.operators.threshold import first_k_not_in
 
     ranking = spark.createDataFrame([(k, k - 100) for k in range(101, 111)], "key long, pos long")
     groups = spark.createDataFrame([(1,), (2,)], "g long")
