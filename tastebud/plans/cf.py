@@ -362,3 +362,21 @@ def binary_scores(spark: SparkSession, sf: str) -> DataFrame:
     tr = _all(spark, sf)
     sim = S.jaccard(tr, "user_id", "item_id", diagonal=None)
     return R.binary_scores(tr, sim).select("user_id", "item_id", r6("score"))
+
+
+@register("binary_topn", Q.with_(Q.RATINGS, """
+cnt AS (SELECT item_id AS m, COUNT(*) AS n FROM ratings GROUP BY item_id),
+co AS (SELECT a.item_id AS i, b.item_id AS j, COUNT(*) AS c
+       FROM ratings a JOIN ratings b ON a.user_id = b.user_id AND a.item_id <> b.item_id
+       GROUP BY a.item_id, b.item_id),
+jac AS (SELECT co.i, co.j, co.c / CAST(p1.n + p2.n - co.c AS DOUBLE) AS w
+        FROM co JOIN cnt p1 ON co.i = p1.m JOIN cnt p2 ON co.j = p2.m),
+sc AS (SELECT t.user_id, jac.j AS item_id, SUM(jac.w) AS score
+       FROM ratings t JOIN jac ON t.item_id = jac.i GROUP BY t.user_id, jac.j)""") + """
+SELECT user_id, item_id, round(score, 6) AS score, CAST(rk AS BIGINT) AS rank FROM (
+  SELECT user_id, item_id, score, row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, item_id) AS rk
+  FROM sc WHERE NOT EXISTS (SELECT 1 FROM ratings t WHERE t.user_id = sc.user_id AND t.item_id = sc.item_id)) WHERE rk <= 10""")
+def binary_topn(spark: SparkSession, sf: str) -> DataFrame:
+    """R9, the 10 best cells per user: MaxScore pruning instead of the grid."""
+    tr = _all(spark, sf)
+    return R.binary_top_n(tr, S.jaccard(tr, "user_id", "item_id", diagonal=None), 10).select("user_id", "item_id", r6("score"), "rank")

@@ -10,7 +10,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session used by this package should carry.  AQE re-plans
 # joins at runtime (broadcast only after the measured shuffle size is known),
@@ -76,3 +76,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/scratch/{name}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder, its lineage cut."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
