@@ -20,7 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from . import pairs as P
 from .ranking import dense_index
+from .threshold import max_inner_product
 
 INT32_MAX = 2**31 - 1
 
@@ -63,6 +65,20 @@ def training_mse(model: ALSModel, df: DataFrame, rating: str = "rating") -> floa
     return pred.agg(F.avg((F.col(rating).cast("double") - F.col("prediction")) ** 2).alias("mse"))
 
 
+def inspect_users(who: DataFrame, seen: DataFrame, user_factors: DataFrame, item_factors: DataFrame, names: DataFrame, n: int,
+                  user: str = "user_id", item: str = "item_id") -> DataFrame:
+    """(user, part, item, name, rank, factor) of the asked users: what they have seen and their ``n`` best items.
+
+    ``factor`` is the first user factor; seen items have rank 0; users without factors give no row.  Factors are (key, features), names (item, name).
+    """
+    asked = user_factors.join(who.select(user).distinct(), user, "left_semi")
+    first = asked.select(user, F.element_at("features", 1).cast("double").alias("factor"))
+    best = max_inner_product(asked, item_factors, n, user, item).select(user, F.lit("recommended").alias("part"), item, "rank")
+    own = seen.join(first.select(user), user, "left_semi").select(user, F.lit("seen").alias("part"), item, F.lit(0).cast("long").alias("rank"))
+    named = P.salted_join(best.unionByName(own), names.select(item, "name"), item, user, how="left")
+    return named.join(first, user).select(user, "part", item, F.coalesce("name", F.lit("")).alias("name"), "rank", "factor")
+
+
 # ------------------------------------------------------------------ FM
 def onehot_features(df: DataFrame, user: str = "user_id", item: str = "item_id") -> DataFrame:
     """P12 as a Spark ML vector: one-hot user block followed by one-hot item block."""

@@ -16,7 +16,9 @@ Pairs with no common group are never generated: their Jaccard and cosine are
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import pairs as P
@@ -116,6 +118,49 @@ def cosine_rated(r: DataFrame, group: str = "user_id", member: str = "item_id",
     return out
 
 
+#: Metrics over the statistics that one pair aggregate gives: members' counts n_i, n_j and squared sums ss_i, ss_j, common
+#: groups c and products dot.  All are 0 without a common group and 1 for a member with itself (where it has values).
+METRICS: dict[str, Callable[[Callable[[str], Column]], Column]] = {
+    "jaccard": lambda of: of("c") / (of("n_i") + of("n_j") - of("c")),
+    "cosine": lambda of: of("c") / F.sqrt((of("n_i") * of("n_j")).cast("double")),
+    "dice": lambda of: 2 * of("c") / (of("n_i") + of("n_j")),
+    "overlap": lambda of: of("c") / F.least(of("n_i"), of("n_j")),
+    "rated_cosine": lambda of: of("dot") / (F.sqrt(of("ss_i")) * F.sqrt(of("ss_j"))),
+    "tanimoto": lambda of: of("dot") / (of("ss_i") + of("ss_j") - of("dot")),
+}
+
+
+def pair_statistics(r: DataFrame, group: str = "user_id", member: str = "item_id", value: str | None = None,
+                    block_size: int = P.DEFAULT_BLOCK_SIZE) -> DataFrame:
+    """(i, j, n_i, n_j, ss_i, ss_j, c, dot) of every pair i < j with a common group; a missing value counts as 1."""
+    v = F.lit(1.0) if value is None else F.col(value).cast("double")
+    rows = r.select(group, member, v.alias("_v"))
+    stats = rows.groupBy(member).agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col("_v") * F.col("_v")).alias("_ss"))
+    pr = P.pairs_within(P.salted_join(rows, stats, member, group), group, member, ["_n", "_ss", "_v"], block_size=block_size)
+    names = {f"{member}_1": "i", f"{member}_2": "j", "_n_1": "n_i", "_n_2": "n_j", "_ss_1": "ss_i", "_ss_2": "ss_j"}
+    return pr.groupBy(*[F.col(a).alias(b) for a, b in names.items()]).agg(
+        F.count(F.lit(1)).alias("c"), F.sum(F.col("_v_1") * F.col("_v_2")).alias("dot"))
+
+
+def similarity(r: DataFrame, *metrics: str | Callable[[Callable[[str], Column]], Column], group: str = "user_id", member: str = "item_id",
+               value: str | None = None, both: bool = True, diagonal: bool = False) -> DataFrame:
+    """S9 with pluggable metrics: (i, j, w, w2, ..), one column for each of ``metrics``, all from one pair aggregate.
+
+    A metric is a name in ``METRICS`` or a function of the same form.
+    """
+    of = [METRICS[m] if isinstance(m, str) else m for m in metrics]
+    named = lambda f, k: f(F.col).cast("double").alias("w" if not k else f"w{k + 1}")
+    half = pair_statistics(r, group, member, value).select("i", "j", *[named(f, k) for k, f in enumerate(of)])
+    out = P.mirror(half, "i", "j") if both else half
+    if diagonal:
+        v = F.lit(1.0) if value is None else F.col(value).cast("double")
+        own = r.groupBy(member).agg(F.count(F.lit(1)).alias("n"), F.sum(v * v).alias("ss"))
+        same = {"n_i": "n", "n_j": "n", "c": "n", "ss_i": "ss", "ss_j": "ss", "dot": "ss"}
+        out = out.unionByName(own.select(F.col(member).alias("i"), F.col(member).alias("j"), *[
+            f(lambda name: F.col(same[name])).cast("double").alias("w" if not k else f"w{k + 1}") for k, f in enumerate(of)]))
+    return out
+
+
 def cosine_distance(sim_with_diag: DataFrame) -> DataFrame:
     """``1 - cosine`` in sparse form.
 

@@ -238,8 +238,20 @@ def jaccard_rows(spark: SparkSession, sf: str) -> DataFrame:
 @register("jaccard_binary", _jaccard_sql("user_id", "item_id", "1.0"))
 def jaccard_binary(spark: SparkSession, sf: str) -> DataFrame:
     """Σab / Σ(a+b-ab) on 0/1 item vectors; full matrix with diagonal 1 (sparse)."""
-    return _sim_out(S.jaccard(_all(spark, sf).select("user_id", "item_id"), "user_id",
-                              "item_id", diagonal=1.0))
+    return _sim_out(S.similarity(_all(spark, sf), "jaccard", diagonal=True))
+
+
+@register("similarity_metrics", Q.with_(Q.RATINGS, """
+st AS (SELECT item_id AS m, COUNT(*) AS n, SUM(CAST(rating AS DOUBLE) * rating) AS ss FROM ratings GROUP BY 1),
+pr AS (SELECT a.item_id AS i, b.item_id AS j, COUNT(*) AS c, SUM(CAST(a.rating AS DOUBLE) * b.rating) AS dot
+       FROM ratings a JOIN ratings b ON a.user_id = b.user_id GROUP BY 1, 2)""") + """
+SELECT i, j, round(2.0 * c / (x.n + y.n), 6) AS dice, round(c / CAST(least(x.n, y.n) AS DOUBLE), 6) AS overlap,
+       round(dot / (x.ss + y.ss - dot), 6) AS tanimoto
+FROM pr JOIN st x ON x.m = i JOIN st y ON y.m = j""")
+def similarity_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """S9 with other metrics: Dice, overlap and Tanimoto of the rating vectors from one pair aggregate, full matrix."""
+    out = S.similarity(_all(spark, sf), "dice", "overlap", "tanimoto", value="rating", diagonal=True)
+    return out.select("i", "j", F.round("w", 6).alias("dice"), F.round("w2", 6).alias("overlap"), F.round("w3", 6).alias("tanimoto"))
 
 
 def _rated_cos_sql(group: str, member: str, both: bool, diag: bool, rows: str = "ratings") -> str:

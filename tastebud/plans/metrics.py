@@ -17,6 +17,7 @@ from ..operators import pairs as PS
 from ..operators import predict as PR
 from ..operators import recommend as R
 from ..operators import similarity as S
+from ..session import kept
 from ..sources import catalog as C
 from . import sql as Q
 from .cf import _all, _most_popular_item, _tr
@@ -106,18 +107,6 @@ def rmse(spark: SparkSession, sf: str) -> DataFrame:
     return E.rmse(_item_pred(spark, sf), _cells(spark, sf)).select(r6("rmse"), "n")
 
 
-@register("compare_models", Q.with_(Q.RATINGS, _DENSE_BASE, _DENSE_ITEM, _DENSE_USER) + """
-SELECT 'item' AS model, round(sqrt(AVG(power(prediction - rating, 2))), 6) AS rmse FROM ipred
-UNION ALL
-SELECT 'user' AS model, round(sqrt(AVG(power(prediction - rating, 2))), 6) AS rmse FROM upred""")
-def compare_models(spark: SparkSession, sf: str) -> DataFrame:
-    """One RMSE row per memory-based model (the SVD row is ``svd_predict``)."""
-    cells = _cells(spark, sf)
-    it = E.rmse(_item_pred(spark, sf), cells).select(F.lit("item").alias("model"), r6("rmse"))
-    us = E.rmse(_user_pred(spark, sf), cells).select(F.lit("user").alias("model"), r6("rmse"))
-    return it.unionByName(us)
-
-
 _ITEM_MEAN = """
 imean AS (SELECT item_id, AVG(CAST(rating AS DOUBLE)) AS prediction FROM train GROUP BY item_id)"""
 
@@ -232,7 +221,7 @@ def dense_matmul(spark: SparkSession, sf: str) -> DataFrame:
 from ..operators import dense_topn as DT  # noqa: E402
 
 
-@register("topn_from_predictions", Q.with_(Q.RATINGS, _DENSE_BASE, """
+_ITEM_TOPN = Q.with_(Q.RATINGS, _DENSE_BASE, """
 inrm AS (SELECT item_id, sqrt(SUM(CAST(rating AS DOUBLE) * rating)) AS nr FROM train GROUP BY item_id),
 idp AS (SELECT a.item_id AS i, b.item_id AS j, SUM(CAST(a.rating AS DOUBLE) * b.rating) AS dot
         FROM train a JOIN train b ON a.user_id = b.user_id AND a.item_id <> b.item_id GROUP BY 1, 2),
@@ -253,7 +242,10 @@ pred AS (SELECT g.user_id, g.item_id, (ru.r - COALESCE(nu.nn, 0.0)) / dd.d AS sc
 SELECT user_id, item_id, round(score, 6) AS score, CAST(rk AS BIGINT) AS rank FROM (
   SELECT user_id, item_id, score,
          row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, item_id) AS rk
-  FROM pred) WHERE rk <= 20""")
+  FROM pred) WHERE rk <= 20"""
+
+
+@register("topn_from_predictions", _ITEM_TOPN)
 def topn_from_predictions(spark: SparkSession, sf: str) -> DataFrame:
     """Top 20 unseen items per user of the matrix by the item-based distance prediction,
     over all items (dense definition, computed sparsely)."""
@@ -281,11 +273,14 @@ pred AS (SELECT u.user_id, ci.item_id, u.m + (ci.c - COALESCE(sui.s, 0.0) - u.a)
          WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = u.user_id AND t.item_id = ci.item_id))"""
 
 
-@register("topn_from_user_predictions", Q.with_(Q.RATINGS, _DENSE_BASE, _USER_GRID) + """
+_USER_TOPN = Q.with_(Q.RATINGS, _DENSE_BASE, _USER_GRID) + """
 SELECT user_id, item_id, round(score, 6) AS score, CAST(rk AS BIGINT) AS rank FROM (
   SELECT user_id, item_id, score,
          row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, item_id) AS rk
-  FROM pred) WHERE rk <= 20""")
+  FROM pred) WHERE rk <= 20"""
+
+
+@register("topn_from_user_predictions", _USER_TOPN)
 def topn_from_user_predictions(spark: SparkSession, sf: str) -> DataFrame:
     """Top 20 unseen items per user by the user-based prediction, over all items."""
     out = DT.topn_from_user_predictions(_tr(spark, sf), C.ratings(spark, sf), 20)
@@ -325,3 +320,40 @@ def item_cf_dense_topn(spark: SparkSession, sf: str) -> DataFrame:
     """Item CF with cosine-distance weights ('largest distance' neighbours, K=20, N=10)."""
     out = DT.item_cf_dense_topn(_tr(spark, sf), C.ratings(spark, sf), 20, 10)
     return out.select("user_id", "item_id", r6("score"), "rank")
+
+
+# --------------------------------------------------------------- E11
+def _model_row(model: str, pred: DataFrame, recs: DataFrame, train: DataFrame, test: DataFrame) -> DataFrame:
+    """RMSE on the test cells, and the metrics of the top 20 (per recommendation made)."""
+    error = E.rmse(pred, test).select("rmse", F.lit(0).alias("_k"))
+    top = E.evaluate_topn(recs, train, test, 20, denominator="actual").withColumn("_k", F.lit(0))
+    return error.join(F.broadcast(top), "_k").select(F.lit(model).alias("model"), *[r6(c) for c in ("rmse", "precision", "recall", "coverage", "popularity")])
+
+
+@register("compare_models", Q.with_(Q.RATINGS, _DENSE_BASE, _DENSE_ITEM, _DENSE_USER, f"""
+recs AS (SELECT 'item' AS model, * FROM ({_ITEM_TOPN}) UNION ALL SELECT 'user' AS model, * FROM ({_USER_TOPN})),
+err AS (SELECT 'item' AS model, sqrt(AVG(power(prediction - rating, 2))) AS rmse FROM ipred WHERE rating <> 0
+        UNION ALL SELECT 'user', sqrt(AVG(power(prediction - rating, 2))) FROM upred WHERE rating <> 0),
+pop_e AS (SELECT item_id, COUNT(*) AS n FROM train GROUP BY item_id),
+rr AS (SELECT r.model, r.item_id, s.user_id IS NOT NULL AS hit, COALESCE(ln(1 + CAST(p.n AS DOUBLE)), 0) AS lp
+       FROM recs r LEFT JOIN test s ON s.user_id = r.user_id AND s.item_id = r.item_id LEFT JOIN pop_e p ON p.item_id = r.item_id),
+m AS (SELECT model, COUNT(*) FILTER (WHERE hit) AS hits, COUNT(*) AS n, COUNT(DISTINCT item_id) AS items, SUM(lp) AS lp FROM rr GROUP BY 1)""") + """
+SELECT m.model, round(err.rmse, 6) AS rmse, round(hits / CAST(n AS DOUBLE), 6) AS precision,
+       round(hits / CAST((SELECT COUNT(*) FROM test WHERE user_id IN (SELECT user_id FROM train)) AS DOUBLE), 6) AS recall,
+       round(items / CAST((SELECT COUNT(DISTINCT item_id) FROM train) AS DOUBLE), 6) AS coverage, round(lp / n, 6) AS popularity
+FROM m JOIN err ON err.model = m.model""")
+def compare_models(spark: SparkSession, sf: str) -> DataFrame:
+    """RMSE, precision, recall, coverage and popularity of the item and user predictions (``compare_models_svd``: SVD too)."""
+    tr, te, every = _tr(spark, sf), _cells(spark, sf), C.ratings(spark, sf)
+    by_item = _model_row("item", _item_pred(spark, sf), kept(DT.topn_from_item_predictions(tr, every, 20)), tr, te)
+    return by_item.unionByName(_model_row("user", _user_pred(spark, sf), kept(DT.topn_from_user_predictions(tr, every, 20)), tr, te))
+
+
+@register("compare_models_svd")
+def compare_models_svd(spark: SparkSession, sf: str) -> DataFrame:
+    """The SVD's row."""
+    tr, te = _tr(spark, sf), _cells(spark, sf)
+    u, s, v = M.truncated_svd(tr.select("user_id", "item_id", F.col("rating").alias("v")), k=15)
+    u, v = kept(u), kept(v)
+    pred = M.svd_predict_cells(u, s, v, te.select("user_id", "item_id"))
+    return _model_row("svd", pred, kept(DT.topn_from_svd(u, s, v, tr, 20)), tr, te)

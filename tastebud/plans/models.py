@@ -22,6 +22,22 @@ from .cf import _all, _tr
 from .registry import register
 
 
+LFM_K = 8
+
+
+def _rule_factor(key: str, f: int) -> str:
+    """Fixed factor of a user or item as SQL that Spark and DuckDB read alike."""
+    return f"(({key} * {31 + 2 * f} + {f * 17}) % 997) / CAST(997.0 AS DOUBLE) - CAST(0.5 AS DOUBLE)"
+
+
+def _rule_vector(key: str, scale: str) -> list[str]:
+    return [f"({_rule_factor(key, f)}) {scale}" for f in range(LFM_K)]
+
+
+#: Norms of items differ by their id, so that the search has an order to use.
+_LFM_SCALE = "/ (1 + item_id % 40)"
+
+
 def _als_input(spark, sf):
     """user_movies (string user, item, count -1 -> 3) with a 32-bit user index."""
     um = C.user_movies(spark, sf)
@@ -104,6 +120,46 @@ def inspect_user(spark: SparkSession, sf: str) -> DataFrame:
         "user", "item_id", F.coalesce("name", F.lit("")).alias("name"))
 
 
+#: Users that R13 looks at besides the most active ones: no row has this one.
+UNKNOWN_USER = -1
+
+
+@register("inspect_model", Q.with_(Q.RATINGS, f"""
+who AS (SELECT user_id FROM ratings GROUP BY 1 ORDER BY COUNT(*) DESC, user_id LIMIT 2),
+p AS (SELECT user_id, {', '.join(f'{x} AS p{f}' for f, x in enumerate(_rule_vector('user_id', '')))} FROM who),
+q AS (SELECT item_id, {', '.join(f'{x} AS q{f}' for f, x in enumerate(_rule_vector('item_id', _LFM_SCALE)))} FROM (SELECT DISTINCT item_id FROM ratings)),
+s AS (SELECT user_id, item_id, {' + '.join(f'p{f} * q{f}' for f in range(LFM_K))} AS score FROM p CROSS JOIN q),
+best AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, item_id) AS rk FROM s),
+one AS (SELECT user_id, round(p0, 6) AS factor FROM p)""") + """
+SELECT r.user_id, 'seen' AS part, r.item_id, COALESCE(p_name, '') AS name, CAST(0 AS BIGINT) AS rank, factor
+FROM ratings r JOIN one USING (user_id) LEFT JOIN part ON p_partkey = r.item_id
+UNION ALL
+SELECT b.user_id, 'recommended', b.item_id, COALESCE(p_name, ''), CAST(rk AS BIGINT), factor
+FROM best b JOIN one USING (user_id) LEFT JOIN part ON p_partkey = b.item_id WHERE rk <= 5""")
+def inspect_model(spark: SparkSession, sf: str) -> DataFrame:
+    """R13 whole: names of the seen and of the 5 recommended items and the first user factor, for two active users and an
+    unknown one (which has no row), from rule-made factors so that SQL gives the same rows."""
+    r = _all(spark, sf).select("user_id", "item_id")
+    active = r.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "user_id").limit(2).select("user_id")
+    who = active.unionByName(spark.createDataFrame([(UNKNOWN_USER,)], active.schema))
+    factors = lambda key, scale: r.select(key).distinct().select(
+        key, F.array(*[F.expr(x) for x in _rule_vector(key, scale)]).alias("features"))
+    out = M.inspect_users(who, r, factors("user_id", ""), factors("item_id", _LFM_SCALE), C.item_names(spark, sf), 5)
+    return out.withColumn("factor", F.round("factor", 6))
+
+
+@register("inspect_als")
+def inspect_als(spark: SparkSession, sf: str) -> DataFrame:
+    """R13 on the fitted ALS model of R10's input: the most active user and an unknown one."""
+    data, idm = _als_input(spark, sf)
+    model = M.fit_als(data, rank=10, max_iter=5, reg=0.01, user="user_idx")
+    who = most_active(data, "user").unionByName(spark.createDataFrame([("nobody",)], "user string"))
+    own = model.userFactors.join(idm, F.col("id") == F.col("user_idx")).select("user", "features")
+    names = C.item_names(spark, sf).withColumn("item_id", F.col("item_id").cast("int"))
+    return M.inspect_users(who, data.select("user", "item_id").distinct(), own, model.itemFactors.withColumnRenamed("id", "item_id"),
+                           names, 5, user="user")
+
+
 @register("save_model")
 def save_model(spark: SparkSession, sf: str) -> DataFrame:
     """IO11: fit ALS, save it to the shared folder, load it back, return the loaded user factors."""
@@ -157,22 +213,6 @@ def lfm_recommend(spark: SparkSession, sf: str) -> DataFrame:
     return best.select("user_id", "item_id", F.round("score", 6).alias("score"), "rank")
 
 
-LFM_K = 8
-
-
-def _rule_factor(key: str, f: int) -> str:
-    """Fixed factor of a user or item as SQL that Spark and DuckDB read alike."""
-    return f"(({key} * {31 + 2 * f} + {f * 17}) % 997) / CAST(997.0 AS DOUBLE) - CAST(0.5 AS DOUBLE)"
-
-
-def _rule_vector(key: str, scale: str) -> list[str]:
-    return [f"({_rule_factor(key, f)}) {scale}" for f in range(LFM_K)]
-
-
-#: Norms of items differ by their id, so that the search has an order to use.
-_LFM_SCALE = "/ (1 + item_id % 40)"
-
-
 @register("lfm_recommend_rule", Q.with_(Q.RATINGS, f"""
 p AS (SELECT user_id, {', '.join(f'{x} AS p{f}' for f, x in enumerate(_rule_vector('user_id', '')))} FROM (SELECT DISTINCT user_id FROM ratings)),
 q AS (SELECT item_id, {', '.join(f'{x} AS q{f}' for f, x in enumerate(_rule_vector('item_id', _LFM_SCALE)))} FROM (SELECT DISTINCT item_id FROM ratings)),

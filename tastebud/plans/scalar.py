@@ -156,6 +156,18 @@ def distinct_counts(spark: SparkSession, sf: str) -> DataFrame:
     return A.distinct_counts(C.ratings(spark, sf))
 
 
+@register("distinct_counts_sketch", Q.with_(Q.RATINGS) + """
+SELECT CAST(COUNT(*) AS BIGINT) AS n_ratings, TRUE AS users_close, TRUE AS items_close FROM ratings""")
+def distinct_counts_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    """A2 by sketches: one per rating value, united; whether they are within 2 % of the exact counts."""
+    r = C.ratings(spark, sf)
+    near = A.united_counts(A.distinct_sketches(r, ["user_id", "item_id"], by=["rating"]), ["user_id", "item_id"])
+    exact = F.broadcast(A.distinct_counts(r))
+    close = lambda a, b: F.abs(F.col(a) - F.col(b)) <= F.col(b) * 0.02
+    return near.join(exact, F.col("n_rows") == F.col("n_ratings")).select(
+        "n_ratings", close("user_id", "n_users").alias("users_close"), close("item_id", "n_items").alias("items_close"))
+
+
 @register("id_stats", Q.with_(Q.RATINGS) + """
 SELECT 'user' AS kind, CAST(COUNT(*) AS BIGINT) AS n, round(AVG(u), 6) AS mean,
        round(stddev_pop(u), 6) AS stdev, CAST(MAX(u) AS DOUBLE) AS max, CAST(MIN(u) AS DOUBLE) AS min

@@ -57,7 +57,7 @@ def _dropped(spark, sf):
     sink, dsink = scratch_path(spark, "wcd-sink"), scratch_path(spark, "wcd-dropped")
     T.token_count_stream(spark, src, schema, sink, scratch_path(spark, "wcd-ckpt"),
                          blocklist=T.BLOCKLIST, dropped_sink=dsink)
-    return T.running_dropped(spark, dsink)
+    return T.read_batches(spark, dsink)
 
 
 @register("stream_dropped_counter", _DROPPED_SQL)
@@ -69,13 +69,14 @@ def stream_dropped_counter(spark: SparkSession, sf: str) -> DataFrame:
 @register("running_dropped", f"""
 SELECT dropped AS last_total, TRUE AS running FROM ({_DROPPED_SQL})""")
 def running_dropped(spark: SparkSession, sf: str) -> DataFrame:
-    """The running total after the last batch, and whether every batch's total is the total
-    of the batch before plus its own count."""
-    d = _dropped(spark, sf)
-    before = d.select((F.col("batch_id") + 1).alias("batch_id"), F.col("total").alias("_before"))
-    step = F.col("total") == F.coalesce("_before", F.lit(0)) + F.col("dropped")
-    return d.join(before, "batch_id", "left").agg(
-        F.max_by("total", "batch_id").alias("last_total"), F.every(step).alias("running"))
+    """The running total after the last batch, by keyed state, and whether its steps are the counts of the batches."""
+    src, schema = _source(spark, sf, "documents", "text")
+    sink = scratch_path(spark, "wct-sink")
+    T.dropped_total_stream(spark, src, schema, sink, scratch_path(spark, "wct-ckpt"))
+    steps = T.running_dropped(spark, sink)
+    counted = _dropped(spark, sf).select("batch_id", F.col("dropped").alias("_counted"))
+    same = F.coalesce(F.col("dropped") == F.col("_counted"), F.col("dropped") == 0, F.lit(False))
+    return steps.join(counted, "batch_id", "left").agg(F.max_by("total", "batch_id").alias("last_total"), F.every(same).alias("running"))
 
 
 @register("stream_recover", _WC_SQL)

@@ -11,9 +11,10 @@ dropped words and recovery from a checkpoint.  Here:
 * sinks: every batch writes ``<sink>/batch_id=<id>`` with overwrite, so a
   replayed batch after a failure replaces its own output (idempotent,
   exactly-once end to end together with the checkpointed offsets);
-* dropped counter: one row per batch with the batch's count and the running
-  total, which is the total of the batch before plus the count (exact, unlike
-  an accumulator that can double count retried tasks).
+* dropped counter: each batch's count is a row of its own sink, and the running
+  total is keyed state (one row per blocked word) in the query's state store,
+  so a replayed batch starts from the state before it and a restart goes on
+  from the last committed one (an accumulator would count retried tasks twice).
 
 ``max_bytes`` bounds a micro-batch by input bytes, so the number of batches
 follows from the input; ``max_files`` bounds it by files instead.
@@ -21,7 +22,7 @@ follows from the input; ``max_files`` bounds it by files instead.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import tokens
@@ -75,13 +76,9 @@ def token_count_stream(spark: SparkSession, source: str, schema, sink: str, chec
         if block is not None:
             kept = counts.join(block, "token", "left_anti")
             if dropped_sink is not None:
-                before = 0
-                if batch_id > 0:
-                    before = batch.sparkSession.read.parquet(_batch_path(dropped_sink, batch_id - 1)).first()["total"]
                 dropped = counts.join(block, "token", "left_semi").agg(
                     F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("dropped"))
-                (dropped.withColumn("total", F.col("dropped") + F.lit(before).cast("bigint"))
-                        .write.mode("overwrite").parquet(_batch_path(dropped_sink, batch_id)))
+                dropped.write.mode("overwrite").parquet(_batch_path(dropped_sink, batch_id))
         kept.write.mode("overwrite").parquet(_batch_path(sink, batch_id))
         counts.unpersist()
 
@@ -98,9 +95,26 @@ def total_counts(spark: SparkSession, sink: str) -> DataFrame:
     return read_batches(spark, sink).groupBy("token").agg(F.sum("n").cast("bigint").alias("n"))
 
 
-def running_dropped(spark: SparkSession, dropped_sink: str) -> DataFrame:
-    """(batch_id, dropped, total): the batch's dropped count and the running total after it."""
-    return read_batches(spark, dropped_sink).select("batch_id", "dropped", "total")
+def dropped_total_stream(spark: SparkSession, source: str, schema, sink: str, checkpoint: str, text_col: str = "text",
+                         blocklist=BLOCKLIST, max_files: int | None = None) -> None:
+    """Running number of blocked tokens after each batch, from state keyed by the blocked word."""
+    stream = file_stream(spark, source, schema, max_files=max_files)
+    blocked = stream.select(F.explode(tokens(F.col(text_col))).alias("token")).where(F.col("token").isin(list(blocklist)))
+    counts = blocked.groupBy("token").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+    def per_batch(state: DataFrame, batch_id: int) -> None:
+        total = state.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total"))
+        total.write.mode("overwrite").parquet(_batch_path(sink, batch_id))
+
+    q = (counts.writeStream.outputMode("complete").foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
+def running_dropped(spark: SparkSession, total_sink: str) -> DataFrame:
+    """(batch_id, dropped, total): the running total after each batch and its step."""
+    before = F.coalesce(F.lag("total").over(Window.orderBy("batch_id")), F.lit(0))
+    return read_batches(spark, total_sink).select("batch_id", (F.col("total") - before).alias("dropped"), "total")
 
 
 def copy_stream(spark: SparkSession, source: str, schema, sink: str, checkpoint: str,

@@ -10,17 +10,33 @@ def _write(spark, path, texts):
 
 
 def test_running_total_grows_batch_by_batch(spark, tmp_path):
-    src, sink, dropped = (str(tmp_path / n) for n in ("src", "sink", "dropped"))
+    src, sink, dropped, total = (str(tmp_path / n) for n in ("src", "sink", "dropped", "total"))
     schema = "text string"
     for texts in BATCHES:
         _write(spark, src, texts)
         T.token_count_stream(spark, src, schema, sink, str(tmp_path / "ckpt"),
                              blocklist=T.BLOCKLIST, dropped_sink=dropped, max_files=1)
-    rows = sorted(tuple(r) for r in T.running_dropped(spark, dropped).collect())
-    assert rows == [(0, 2, 2), (1, 3, 5), (2, 0, 5)]
+        T.dropped_total_stream(spark, src, schema, total, str(tmp_path / "state"), max_files=1)
+    assert sorted(tuple(r) for r in T.running_dropped(spark, total).collect()) == [(0, 2, 2), (1, 3, 5), (2, 0, 5)]
+    assert sorted((r["batch_id"], r["dropped"]) for r in T.read_batches(spark, dropped).collect()) == [(0, 2), (1, 3), (2, 0)]
     assert {r["token"]: r["n"] for r in T.total_counts(spark, sink).collect()} == {"x": 2, "y": 1, "z": 1}
 
 
+def test_running_total_after_a_replayed_batch(spark, tmp_path):
+    """The last batch's commit and output are lost: the restarted query replays it from the state before it."""
+    src, total, ckpt = tmp_path / "src", tmp_path / "total", tmp_path / "state"
+    for texts in BATCHES:
+        _write(spark, str(src), texts)
+        T.dropped_total_stream(spark, str(src), "text string", str(total), str(ckpt), max_files=1)
+    want = sorted(tuple(r) for r in T.running_dropped(spark, str(total)).collect())
+    for f in [*ckpt.joinpath("commits").glob("*2*"), *total.joinpath("batch_id=2").iterdir()]:
+        f.unlink()
+    T.dropped_total_stream(spark, str(src), "text string", str(total), str(ckpt), max_files=1)
+    _write(spark, str(src), ["a"])
+    T.dropped_total_stream(spark, str(src), "text string", str(total), str(ckpt), max_files=1)
+    assert sorted(tuple(r) for r in T.running_dropped(spark, str(total)).collect()) == [*want, (3, 1, 6)]
+
+
 def test_one_file_per_batch(spark, tmp_path):
     src, sink = str(tmp_path / "src"), str(tmp_path / "sink")
     for texts in BATCHES:
