@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, kept
 from . import pairs as P
 from .similarity import member_counts
 
@@ -21,7 +21,7 @@ def _one(df: DataFrame) -> DataFrame:
 
 def evaluate_topn(recs: DataFrame, train: DataFrame, test: DataFrame, n: int,
                   user: str = "user_id", item: str = "item_id",
-                  denominator: str = "fixed") -> DataFrame:
+                  denominator: str = "fixed", users_limit: int | None = None) -> DataFrame:
     """E1-E4 in one pass: precision, recall, coverage, popularity.
 
     ``denominator='fixed'`` divides by N x (#train users) as the classic CF
@@ -29,7 +29,14 @@ def evaluate_topn(recs: DataFrame, train: DataFrame, test: DataFrame, n: int,
     Recall counts test rows of train users only.  Coverage is distinct
     recommended items over distinct train items; popularity is the mean of
     ``ln(1 + #raters)`` (train popularity) per recommendation slot.
+    ``users_limit`` evaluates the first so many train users (by id) only.
     """
+    users = train.select(user).distinct()
+    if users_limit is not None:
+        users = users.orderBy(user).limit(users_limit)
+        recs, test = (x.join(users, user, "left_semi") for x in (recs, test))
+    # read three times below, and often the result of a whole recommender
+    recs = kept(recs.select(user, item))
     pop = member_counts(train, item, "_pop")
     t = test.select(user, item).withColumn("_hit", F.lit(1))
     # an item recommended to many users is salted by user
@@ -39,12 +46,11 @@ def evaluate_topn(recs: DataFrame, train: DataFrame, test: DataFrame, n: int,
         F.count(F.lit(1)).cast("bigint").alias("n_recs"),
         F.countDistinct(item).cast("bigint").alias("n_rec_items"),
         F.coalesce(F.sum(F.log1p(F.col("_pop").cast("double"))), F.lit(0.0)).alias("pop_sum")))
-    tr_agg = _one(train.agg(F.countDistinct(user).cast("bigint").alias("n_users"),
-                            F.countDistinct(item).cast("bigint").alias("n_items")))
-    tu = train.select(user).distinct()
-    te_agg = _one(test.join(tu, user, "left_semi").agg(
+    tr_agg = _one(train.agg(F.countDistinct(item).cast("bigint").alias("n_items")))
+    us_agg = _one(users.agg(F.count(user).cast("bigint").alias("n_users")))
+    te_agg = _one(test.join(users, user, "left_semi").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_test")))
-    m = rec_agg.join(tr_agg, "_k").join(te_agg, "_k")
+    m = rec_agg.join(tr_agg, "_k").join(us_agg, "_k").join(te_agg, "_k")
     if denominator == "fixed":
         slots = F.col("n_users") * F.lit(n)
     elif denominator == "actual":

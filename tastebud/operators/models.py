@@ -13,9 +13,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.ml.regression import FMRegressor
+from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,6 +67,31 @@ def training_mse(model: ALSModel, df: DataFrame, rating: str = "rating") -> floa
     return pred.agg(F.avg((F.col(rating).cast("double") - F.col("prediction")) ** 2).alias("mse"))
 
 
+def tune_als(df: DataFrame, ranks: Sequence[int], regs: Sequence[float], alphas: Sequence[float], train_share: float = 0.8,
+             user: str = "user_id", item: str = "item_id", rating: str = "rating", seed: int = 0, parallelism: int = 1,
+             max_iter: int = 10) -> DataFrame:
+    """R12 with Spark ML's ``TrainValidationSplit``: (kind, rank, reg, alpha, mse) on the held-out rows.
+
+    Explicit models over ranks x regs, implicit ones over ranks x regs x alphas; rows whose user or item the training part
+    lacks are dropped from the score.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    data = check_int_ids(df.select(user, item, F.col(rating).cast("float").alias(rating)), user, item).persist()
+    rows = []
+    for implicit in (False, True):
+        model = als(max_iter=max_iter, implicit=implicit, user=user, item=item, rating=rating, seed=seed)
+        grid = ParamGridBuilder().addGrid(model.rank, list(ranks)).addGrid(model.regParam, list(regs))
+        grid = (grid.addGrid(model.alpha, list(alphas)) if implicit else grid).build()
+        scorer = RegressionEvaluator(labelCol=rating, predictionCol="prediction", metricName="mse")
+        split = TrainValidationSplit(estimator=model, estimatorParamMaps=grid, evaluator=scorer, trainRatio=train_share,
+                                     parallelism=parallelism, seed=seed)
+        for setting, mse in zip(grid, split.fit(data).validationMetrics, strict=True):
+            rows.append(("implicit" if implicit else "explicit", setting[model.rank], setting[model.regParam],
+                         setting.get(model.alpha), float(mse)))
+    data.unpersist()
+    return df.sparkSession.createDataFrame(rows, "kind string, rank int, reg double, alpha double, mse double")
+
+
 def inspect_users(who: DataFrame, seen: DataFrame, user_factors: DataFrame, item_factors: DataFrame, names: DataFrame, n: int,
                   user: str = "user_id", item: str = "item_id") -> DataFrame:
     """(user, part, item, name, rank, factor) of the asked users: what they have seen and their ``n`` best items.
@@ -107,7 +134,9 @@ def fm_score(active: DataFrame, linear: DataFrame, factors: DataFrame, w0: float
     ŷ = w0 + Σ w_i x_i + ½ Σ_f [(Σ_i v_if x_i)^2 - Σ_i v_if^2 x_i^2], computed
     as one join and one aggregate per row (the O(k n) identity).
     """
-    j = active.join(linear, feat, "left").join(factors, feat, "left")
+    # a feature of many rows is salted by row
+    hot = P.hot_keys(active, [feat])
+    j = P.salted_join(P.salted_join(active, linear, feat, row, hot=hot, how="left"), factors, feat, row, hot=hot, how="left")
     x = F.col(value).cast("double")
     aggs = [F.sum(F.coalesce(F.col("w"), F.lit(0.0)) * x).alias("_lin")]
     for f in range(k):

@@ -88,11 +88,22 @@ def stratified_kfold(df: DataFrame, label: str, key: str, k: int = 3) -> DataFra
 DRAW_CHUNK = 4096
 
 
+MERSENNE = (1 << 31) - 1
+
+
+def draw_hash(user: Column, t: Column, seed: int) -> Column:
+    """62 bits from a user and a draw: two rounds of a quadratic mix modulo 2**31 - 1, in arithmetic that SQL engines share."""
+    mix = lambda x: (x * (x % 65537 + 1)) % MERSENNE
+    x = F.pmod(user.cast("bigint"), F.lit(1 << 31)) * F.lit(SPLIT_HASH_USER) + t * F.lit(SPLIT_HASH_ITEM) + F.lit(seed)
+    first = mix(x % MERSENNE)
+    return first * MERSENNE + mix((first * 48271 + t) % MERSENNE)
+
+
 def negative_sample(pos: DataFrame, user: str = "user_id", item: str = "item_id",
                     ratio: int = 3, seed: int = 12345) -> DataFrame:
     """Per user, positives (label 1) plus up to n+1 negatives (label 0).
 
-    Draw t = 1..ratio*n for user u picks ``pool[h(u, t) mod |pool|]`` where the
+    Draw t = 1..ratio*n for user u picks ``pool[h(u, t) mod |pool|]`` (``draw_hash``, 62 bits) where the
     pool lists every positive (user, item) row, so popular items are drawn
     more often.  Drawn items the user has, or already drew, are skipped; the
     first n+1 remaining draws are kept.  All steps are joins/aggregates: the
@@ -116,9 +127,7 @@ def negative_sample(pos: DataFrame, user: str = "user_id", item: str = "item_id"
     draws = chunks.select(user, "_n", "_P", F.explode(F.sequence(
         F.col("_c") * DRAW_CHUNK + 1,
         F.least((F.col("_c") + 1) * DRAW_CHUNK, F.col("_n") * ratio))).alias("_t"))
-    draws = draws.withColumn(
-        "_idx", F.pmod(F.pmod(F.col(user).cast("bigint"), F.lit(1 << 31)) * F.lit(SPLIT_HASH_USER)
-                       + F.col("_t") * F.lit(SPLIT_HASH_ITEM) + F.lit(seed), F.col("_P")))
+    draws = draws.withColumn("_idx", F.pmod(draw_hash(F.col(user), F.col("_t"), seed), F.col("_P")))
     drawn = draws.join(pool, "_idx").select(user, "_n", "_t", F.col("_pi").alias(item))
     drawn = drawn.join(p, [user, item], "left_anti")
     first = drawn.groupBy(user, item).agg(F.min("_t").alias("_t"), F.first("_n").alias("_n"))
@@ -209,7 +218,8 @@ def onehot_user_item(df: DataFrame, user: str = "user_id", item: str = "item_id"
     nu = one_row(um.agg(F.count(F.lit(1)).alias("_nu")))
     im = (im.withColumn("_k", F.lit(0)).join(F.broadcast(nu), "_k")
             .select(item, (F.col("_nu") + F.col("_ii")).alias("item_idx")))
-    return df.join(um, user).join(im, item)
+    # a user or an item of many rows is salted by the other one
+    return salted_join(salted_join(df, um, user, item), im, item, user)
 
 
 def standardize(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:

@@ -120,6 +120,13 @@ def inspect_user(spark: SparkSession, sf: str) -> DataFrame:
         "user", "item_id", F.coalesce("name", F.lit("")).alias("name"))
 
 
+@register("als_grid_holdout")
+def als_grid_holdout(spark: SparkSession, sf: str) -> DataFrame:
+    """R12 on a holdout: the same 18 settings, each fitted on 80 % of the ratings and scored by MSE on the others."""
+    data, _ = _als_input(spark, sf)
+    return M.tune_als(data, [10, 50], [1.0, 0.01, 0.0001], [1.0, 40.0], user="user_idx", parallelism=GRID_PARALLELISM)
+
+
 #: Users that R13 looks at besides the most active ones: no row has this one.
 UNKNOWN_USER = -1
 
@@ -160,7 +167,13 @@ def inspect_als(spark: SparkSession, sf: str) -> DataFrame:
                            names, 5, user="user")
 
 
-@register("save_model")
+_IDS = """
+rated AS (SELECT "user", item_id FROM user_movies),
+ids AS (SELECT "user", CAST(row_number() OVER (ORDER BY "user") - 1 AS INTEGER) AS idx FROM (SELECT DISTINCT "user" FROM rated))"""
+
+
+@register("save_model", Q.with_(Q.USER_MOVIES, _IDS) + """
+SELECT idx AS id, 10 AS rank FROM ids""")
 def save_model(spark: SparkSession, sf: str) -> DataFrame:
     """IO11: fit ALS, save it to the shared folder, load it back, return the loaded user factors."""
     data, _ = _als_input(spark, sf)
@@ -171,7 +184,8 @@ def save_model(spark: SparkSession, sf: str) -> DataFrame:
     return loaded.userFactors.select("id", F.size("features").alias("rank"))
 
 
-@register("load_model")
+@register("load_model", Q.with_(Q.USER_MOVIES, _IDS) + """
+SELECT DISTINCT idx AS user_idx, item_id, TRUE AS same FROM rated JOIN ids USING ("user")""")
 def load_model(spark: SparkSession, sf: str) -> DataFrame:
     """IO11: a saved ALS model loaded back scores the training pairs like the original."""
     data, _ = _als_input(spark, sf)

@@ -101,9 +101,11 @@ pos AS (SELECT DISTINCT user_id, item_id FROM ratings),
 pool AS (SELECT item_id AS pi, row_number() OVER (ORDER BY item_id, user_id) - 1 AS idx FROM pos),
 psize AS (SELECT COUNT(*) AS P FROM pos),
 nu AS (SELECT user_id, COUNT(*) AS n FROM pos GROUP BY user_id),
-draws AS (SELECT nu.user_id, nu.n, t.t,
-                 ((nu.user_id % 2147483648) * 2654435761 + t.t * 40503 + 12345) % psize.P AS idx
-          FROM nu CROSS JOIN psize, LATERAL (SELECT unnest(generate_series(1, nu.n * 3)) AS t) t),
+d0 AS (SELECT nu.user_id, nu.n, t.t, ((nu.user_id % 2147483648) * 2654435761 + t.t * 40503 + 12345) % 2147483647 AS x
+       FROM nu, LATERAL (SELECT unnest(generate_series(1, nu.n * 3)) AS t) t),
+d1 AS (SELECT *, (x * (x % 65537 + 1)) % 2147483647 AS a FROM d0),
+d2 AS (SELECT *, (a * 48271 + t) % 2147483647 AS y FROM d1),
+draws AS (SELECT user_id, n, t, (a * 2147483647 + (y * (y % 65537 + 1)) % 2147483647) % psize.P AS idx FROM d2 CROSS JOIN psize),
 drawn AS (SELECT d.user_id, d.n, d.t, pool.pi AS item_id FROM draws d JOIN pool ON d.idx = pool.idx
           WHERE NOT EXISTS (SELECT 1 FROM pos WHERE pos.user_id = d.user_id AND pos.item_id = pool.pi)),
 firsts AS (SELECT user_id, item_id, MIN(t) AS t, MIN(n) AS n FROM drawn GROUP BY user_id, item_id),

@@ -12,6 +12,7 @@ from ..operators import recommend as R
 from ..operators import sets as U
 from ..operators import similarity as S
 from ..operators import topk as K
+from ..session import kept
 from ..sources import catalog as C
 from . import sql as Q
 from .cf import R1_SQL, _all, _tr, item_cf_recs
@@ -245,7 +246,7 @@ SELECT r.user_id, r.item_id, COALESCE(p.p_name, '') AS name
 FROM recs r LEFT JOIN part p ON r.item_id = p.p_partkey""")
 def enrich_names(spark: SparkSession, sf: str) -> DataFrame:
     """Item names on R1's recommendations, missing name -> ''."""
-    recs = item_cf_recs(spark, sf)
+    recs = kept(item_cf_recs(spark, sf))        # read for its hot items and for the join
     names = C.item_names(spark, sf)
     return A.enrich(recs.select("user_id", "item_id"), names, "item_id", "name")
 

@@ -45,6 +45,28 @@ def file_stream(spark: SparkSession, source: str, schema, max_bytes: int = BATCH
     return r.parquet(source)
 
 
+def rate_stream(spark: SparkSession, rows_per_batch: int, milliseconds_per_batch: int = 10_000, start: int = 0, partitions: int = 1) -> DataFrame:
+    """IO13, second source: (timestamp, value) rows, ``rows_per_batch`` to a batch; every batch is the same when replayed.
+
+    Event time goes on by ``milliseconds_per_batch`` from ``start`` (milliseconds), whatever the wall clock does.
+    """
+    r = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", rows_per_batch).option("numPartitions", partitions)
+    return r.option("advanceMillisPerBatch", milliseconds_per_batch).option("startTimestamp", start).load()
+
+
+def summarise_every(stream: DataFrame, sink: str, checkpoint: str, seconds: float = 10, batches: int | None = None) -> None:
+    """T1 by the clock: one row (first, last, n, total) for each batch, a batch every ``seconds``; stops after ``batches``."""
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.agg(F.min("timestamp").alias("first"), F.max("timestamp").alias("last"), F.count(F.lit(1)).alias("n"),
+                  F.sum("value").alias("total")).write.mode("overwrite").parquet(_batch_path(sink, batch_id))
+
+    q = (stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+         .trigger(processingTime=f"{int(seconds * 1000)} milliseconds").start())
+    while q.isActive and (batches is None or (q.lastProgress or {"batchId": -1})["batchId"] < batches - 1):
+        q.awaitTermination(1)
+    q.stop()
+
+
 def _batch_path(base: str, batch_id: int) -> str:
     return f"{base.rstrip('/')}/batch_id={batch_id}"
 

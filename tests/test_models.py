@@ -64,3 +64,20 @@ def test_fm_rows_cover_both_sides_of_the_split(spark):
     assert got["train"]["n"] == C.train(spark, SF_SMALL).count()
     assert got["test"]["n"] == C.test(spark, SF_SMALL).count()
     assert all(r["rmse"] > 0 for r in got.values())
+
+
+def test_tuning_on_a_holdout(spark):
+    """Low-rank ratings: 6 explicit and 12 implicit settings; strong regularisation is worst for the explicit ones."""
+    import numpy as np
+
+    from tastebud.operators import models as M
+
+    rnd = np.random.default_rng(0)
+    p, q = rnd.uniform(0.5, 1.5, (40, 2)), rnd.uniform(0.5, 1.5, (30, 2))
+    rows = [(u, i, float(p[u] @ q[i])) for u in range(40) for i in range(30) if (u + i) % 3]
+    df = spark.createDataFrame(rows, "user_id int, item_id int, rating float")
+    got = M.tune_als(df, [2, 4], [1.0, 0.01, 0.0001], [1.0, 40.0], parallelism=4, max_iter=4).collect()
+    assert len(got) == 18 and sum(r["alpha"] is None for r in got) == 6 and all(np.isfinite(r["mse"]) for r in got)
+    for rank in (2, 4):
+        mse = {r["reg"]: r["mse"] for r in got if r["kind"] == "explicit" and r["rank"] == rank}
+        assert mse[0.01] < mse[1.0] and mse[0.0001] < mse[1.0]

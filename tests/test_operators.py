@@ -278,3 +278,49 @@ def test_large_ids_hash_without_overflow(spark):
     labelled = spark.createDataFrame([(d, d % 2) for d, _ in set(big)], "doc_id long, quality int").dropDuplicates()
     assert PR.stratified_kfold(labelled, "quality", "doc_id", 3).count() == labelled.count()
     assert PR.negative_sample(r).where("label = 1").count() == len(big)
+
+
+def test_draws_reach_the_whole_pool(spark):
+    """One user's draws over a pool whose size shares every factor of the hash's constants."""
+    size = 3 * 23 * 587
+    t = spark.range(1, 10 * size + 1).select(PR.draw_hash(F.lit(77), F.col("id"), 12345).alias("h"))
+    got = t.agg(F.countDistinct(F.pmod("h", F.lit(size))).alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi")).first()
+    assert got["n"] > 0.999 * size and got["lo"] >= 0 and got["hi"] > 1 << 60
+
+
+def test_evaluation_of_the_first_users(spark):
+    train = _ratings(spark)
+    recs = spark.createDataFrame([(1, 13), (1, 14), (2, 11), (3, 10), (4, 99)], "user_id long, item_id long")
+    test = spark.createDataFrame([(1, 13, 1), (2, 11, 1), (3, 10, 1)], "user_id long, item_id long, rating int")
+    got = E.evaluate_topn(recs, train, test, 2, users_limit=2).first()
+    assert (got["hits"], got["n_recs"], got["n_users"], got["n_test"]) == (2, 3, 2, 2)
+    whole = E.evaluate_topn(recs, train, test, 2).first()
+    assert (whole["hits"], whole["n_recs"], whole["n_users"], whole["n_test"]) == (3, 5, 4, 3)
+
+
+def test_metrics_from_one_pair_aggregate(spark):
+    """A metric of one's own and named ones against the definition; a member is 1 to itself."""
+    r = _ratings(spark)
+    rows = {}
+    for x in r.collect():
+        rows.setdefault(x["item_id"], {})[x["user_id"]] = x["rating"]
+    got = S.similarity(r, "dice", "tanimoto", lambda of: of("c") / (of("n_i") + of("n_j")), value="rating", diagonal=True).collect()
+    assert len(got) == sum(bool(set(a) & set(b)) for a in rows.values() for b in rows.values())
+    for x in got:
+        a, b = rows[x["i"]], rows[x["j"]]
+        both = set(a) & set(b)
+        dot, ss = sum(a[u] * b[u] for u in both), sum(v * v for v in a.values()) + sum(v * v for v in b.values())
+        assert math.isclose(x["w"], 2 * len(both) / (len(a) + len(b))) and math.isclose(x["w2"], dot / (ss - dot))
+        assert math.isclose(x["w3"], len(both) / (len(a) + len(b)))
+
+
+def test_sketches_of_parts_unite(spark):
+    from tastebud.operators import aggregate as A
+
+    df = spark.range(200_000).select((F.col("id") % 50_000).alias("user_id"), (F.col("id") % 7).alias("item_id"), (F.col("id") % 5).alias("day"))
+    parts = A.distinct_sketches(df, ["user_id", "item_id"], by=["day"])
+    assert parts.count() == 5
+    got = A.united_counts(parts, ["user_id", "item_id"]).first()
+    assert abs(got["user_id"] - 50_000) < 1000 and got["item_id"] == 7 and got["n_rows"] == 200_000
+    near = A.distinct_counts(df, approximate=True).first()
+    assert abs(near["n_users"] - 50_000) < 1000 and near["n_ratings"] == 200_000

@@ -53,3 +53,15 @@ def test_summary_of_a_single_file(spark, tmp_path):
     part = next(src.glob("part-*.parquet"))
     T.append_summary_stream(spark, str(part).replace(".parquet", ".{parquet}"), "text string", sink, str(tmp_path / "ckpt"), "text")
     assert {r["text"]: r["n"] for r in T.read_batches(spark, sink).collect()} == {"p": 2, "q": 1}
+
+
+def test_batches_by_the_clock_and_by_event_time(spark, tmp_path):
+    """Batches of ten seconds of event time, triggered twice a second; a restart goes on where the first run stopped."""
+    sink = str(tmp_path / "sink")
+    for batches in (2, 4):
+        T.summarise_every(T.rate_stream(spark, 50), sink, str(tmp_path / "ckpt"), seconds=0.5, batches=batches)
+    rows = sorted((r["batch_id"], r["first"].timestamp(), r["n"], r["total"]) for r in T.read_batches(spark, sink).collect())
+    assert len(rows) >= 4
+    for k, first, n, total in rows:
+        assert n == 50 and total == sum(range(50 * k, 50 * k + 50))
+        assert first - rows[0][1] == 10 * k
