@@ -218,8 +218,15 @@ def pack(df: DataFrame, keys: list[str], tokenizer: str, text: str = "text", cap
     pieces = stored(tokenize_pieces(df, keys, tokenizer, text, capacity, end_id, with_ids), "pieces")
     blocks = pieces.groupBy("length", "block").agg(F.count(F.lit(1)).alias("n"))
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    before = Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    ranks = blocks.select("length", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    # a length's blocks are numbered within each input partition, its partitions by their sums: no length gathers its blocks
+    earlier = lambda by, order: F.coalesce(F.sum("n").over(
+        Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    part = F.shiftright("block", 32).alias("part")
+    parts = blocks.groupBy("length", part).agg(F.sum("n").alias("n")).select(
+        "length", "part", earlier(["length"], "part").alias("of_parts"))
+    ranks = blocks.select("length", "block", part, "n").select(
+        "length", "block", "part", earlier(["length", "part"], "block").alias("of_blocks")).join(parts, ["length", "part"]).select(
+        "length", "block", (F.col("of_parts") + F.col("of_blocks")).alias("before"))
     slots = spark.createDataFrame(plan(histogram, capacity), "slot_length long, first long, last long, "
                                   "sequence long, per_sequence long, at long")
     ranked = pieces.join(ranks, ["length", "block"]).withColumn("rank", F.col("before") + F.col("nth"))
