@@ -35,6 +35,8 @@ from .tables import stored
 #: Words of one index block (a longer document makes a larger block of its own).
 BLOCK_WORDS = 1_000_000
 #: Bytes of test text that one broadcast may hold.
+#: A word of the contract.
+HAS_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
 ITEM_BYTES = 16 << 20
 #: Words between the rarest terms of a proximity match.
 SLOP = 26
@@ -211,8 +213,10 @@ def search(index: DataFrame, items: DataFrame, item_id: str = "item_id", text: s
     searched in chunks of about ``item_bytes``, one pass over the index each.
     """
     spark = index.sparkSession
-    wanted = items.select(F.col(item_id).cast("string").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    total = wanted.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
+    # items without a word match nothing; ids count like text
+    wanted = items.select(F.col(item_id).cast("string").alias("id"), F.col(text).alias("t")).where(F.col("t").rlike(HAS_WORD))
+    size = F.octet_length("t") + F.coalesce(F.octet_length("id"), F.lit(0)) + 16
+    total = wanted.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
     chunks = max(1, -(-int(total) // item_bytes))
     parts = []
     for c in range(chunks):
