@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import stored
+from .tables import lookup, stored
 
 BITS = 60
 #: Bits by which the first histogram is finer than the expected directory.
@@ -79,16 +79,16 @@ def shards(df: DataFrame, key: str, limit: int, text: str = "text") -> DataFrame
     # one hash per row here: the leaf of a hash is looked up once, not per row
     leaf = cells.select("h", at.alias("depth")).withColumn("prefix", _prefix(F.col("h"), F.col("depth"))).join(
         fits.select("depth", "prefix", F.col("bytes").alias("shard_bytes")), ["depth", "prefix"])
-    mapped = leaf.select(F.col("h").alias("lh"), "depth", "prefix", "shard_bytes")
-    full = stored(cells.join(leaves.where(F.col("bytes") > limit).select("prefix"), F.col("h") == F.col("prefix"), "left_semi")
-                  .select(F.col("h").alias("lh")), "overflow")
+    # a hash without a leaf overflows its last bit; a hash of many rows is looked up apart, its rows stay where they are
+    table = stored(cells.select("h", "rows").join(leaf.select("h", "depth", "prefix", "shard_bytes"), "h", "left"), "leaves")
+    mapped = lookup(rows, table, "h", "rows", F.xxhash64(F.monotonically_increasing_id()))
     bits = F.lpad(F.conv(F.col("prefix").cast("string"), 10, 2), F.col("depth"), F.lit("0"))
-    plain = rows.join(mapped, F.col("h") == F.col("lh")).select(
+    plain = mapped.where("depth is not null").select(
         F.col("k").alias(key), F.col("b").alias("n_bytes"), "depth", "prefix", F.lit(0).cast("long").alias("page"),
         F.when(F.col("depth") == 0, F.lit("")).otherwise(bits).alias("shard"), "shard_bytes")
-    if full.isEmpty():
+    if leaves.where(F.col("bytes") > limit).isEmpty():
         return plain
-    return plain.unionByName(_pages(rows.join(full, F.col("h") == F.col("lh"), "left_semi"), key, limit))
+    return plain.unionByName(_pages(mapped.where("depth is null").select("k", "b", "h"), key, limit))
 
 
 def _pages(rows: DataFrame, key: str, limit: int) -> DataFrame:

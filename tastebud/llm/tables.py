@@ -43,11 +43,12 @@ def lookup(df: DataFrame, table: DataFrame, key: str, rows_per_key: str, spread:
     others = [c for c in table.columns if c != key]
     hot = F.col(rows_per_key) > share
     first = table.where(hot).select(F.col(key).alias("_hk"), F.struct(*others).alias("_hot"))
-    rest = table.where(~hot).select(F.col(key).alias("_rk"), F.struct(*others).alias("_rest"))
+    rest = table.where(~hot).select(F.col(key).alias("_rk"), F.struct(*others).alias("_rest"), F.col(rows_per_key).alias("_one"))
     marked = df.join(F.broadcast(first), F.col(key) == F.col("_hk"), "left")
     cold = marked.withColumn("_jk", F.when(F.col("_hk").isNull(), F.col(key)))
     cold = cold.withColumn("_js", F.when(F.col("_jk").isNull(), spread).otherwise(F.lit(0)))
-    rest = rest.withColumn("_rs", F.lit(0).cast(cold.schema["_js"].dataType))
+    # always 0, but no literal: the optimizer would put that into the condition and join by the key alone
+    rest = rest.withColumn("_rs", F.pmod("_one", F.lit(1)).cast(cold.schema["_js"].dataType)).drop("_one")
     on = F.col("_jk").eqNullSafe(F.col("_rk")) & (F.col("_js") == F.col("_rs"))
     joined = cold.join(rest, on, "left")
     pick = F.coalesce("_hot", "_rest")

@@ -2,6 +2,7 @@ import hashlib
 from collections import Counter, defaultdict
 
 import duckdb
+from pyspark.sql import functions as F
 
 from tastebud.llm import sharding as S
 from tastebud.llm.queries import ORACLES, QUERIES
@@ -74,3 +75,23 @@ def test_query_equals_sql(spark):
 
 def test_runs_without_python(docs):
     assert "Python" not in S.shards(docs, "doc_id", 50_000)._jdf.queryExecution().toString()
+
+
+def test_rows_of_a_hot_key_are_looked_up_where_they_are(spark):
+    """A key with a third of all rows: no task gets more than its share of the looked-up rows."""
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("doc_id"), F.lit("x").alias("text"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for k, v in zip(old, ("false", "-1"), strict=True):
+            spark.conf.set(k, v)
+        got = S.shards(df, "doc_id", 20_000)
+        per = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sum(per) == 30_000 and max(per) < 2 * 30_000 / 8
+
+
+def test_a_hot_key_beyond_the_limit(spark):
+    df = spark.range(6000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("doc_id"), F.lit("xy").alias("text"))
+    check(df, 1000)
