@@ -1,4 +1,6 @@
+import math
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -20,6 +22,57 @@ def test_held_out_accuracy(spark):
     assert sum(r["lang_pred"] == truth[r["doc_id"]][0] for r in held) >= 0.97 * len(held)
 
 
+def brute(docs, train):
+    """{doc_id: (language, score)} by the definition, one word at a time; docs and train are (doc_id, lang, text)."""
+    words, grams = {}, {n: {} for n in (4, 3, 2, 1)}
+    for _, lang, text in train:
+        if lang is not None and text is not None:
+            for w in L.letters(text):
+                words.setdefault(w, Counter())[lang] += 1
+                for n, table in grams.items():
+                    padded = f" {w} "
+                    for i in range(len(padded) - n + 1):
+                        table.setdefault(padded[i:i + n], Counter())[lang] += 1
+    langs = sorted({x for c in words.values() for x in c})
+    total = lambda table: {x: sum(c[x] for c in table.values()) for x in langs}
+    sums = {0: total(words), **{n: total(t) for n, t in grams.items()}}
+    logs = lambda c, n: np.array([math.log((c[x] or 0.5) / (sums[n][x] + 1)) for x in langs])
+
+    def word(w):
+        if w in words:
+            return logs(words[w], 0)
+        padded, out = f" {w} ", np.zeros(len(langs))
+        for i in range(1, len(padded) - 1):
+            n = next((n for n in (4, 3, 2, 1) if i + n <= len(padded) and padded[i:i + n] in grams[n]), None)
+            out += 0 if n is None else logs(grams[n][padded[i:i + n]], n)
+        return out / len(w)
+
+    out = {}
+    for k, _, text in docs:
+        found = L.letters(text)
+        if not found or not langs:
+            out[k] = ("und", 0.0)
+            continue
+        v = sum(word(w) for w in found)
+        out[k] = (langs[int(v.argmax())], 1 / np.exp(v - v.max()).sum())
+    return out
+
+
+@pytest.mark.parametrize("entries", [L.MODEL_ENTRIES, 50])
+def test_equals_brute_force(spark, sf, entries):
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", "text").collect()]
+    held = lambda k: zlib.crc32(str(k).encode()) % 3 == 1
+    want = brute(docs, [d for d in docs if not held(d[0])])
+    if entries == L.MODEL_ENTRIES:
+        got = QUERIES["op4_language_id"](spark, sf).collect()
+    else:
+        df = spark.createDataFrame(docs, "doc_id long, lang string, text string")
+        got = L.predict(df, L.learn(df.where(F.crc32(F.col("doc_id").cast("string")) % 3 != 1), entries=entries), ["doc_id"]).collect()
+    assert len(got) == len(want)
+    for r in got:
+        assert r["lang_pred"] == want[r["doc_id"]][0] and abs(r["score"] - want[r["doc_id"]][1]) < 1e-9, r["doc_id"]
+
+
 @pytest.fixture(scope="module")
 def model(spark):
     rows = [("en", "the cat and the dog"), ("de", "der hund und die katze"), ("de", None), (None, "ignored words"), ("fr", "½ 12")]
