@@ -245,13 +245,16 @@ def jaccard_binary(spark: SparkSession, sf: str) -> DataFrame:
 st AS (SELECT item_id AS m, COUNT(*) AS n, SUM(CAST(rating AS DOUBLE) * rating) AS ss FROM ratings GROUP BY 1),
 pr AS (SELECT a.item_id AS i, b.item_id AS j, COUNT(*) AS c, SUM(CAST(a.rating AS DOUBLE) * b.rating) AS dot
        FROM ratings a JOIN ratings b ON a.user_id = b.user_id GROUP BY 1, 2)""") + """
-SELECT i, j, round(2.0 * c / (x.n + y.n), 6) AS dice, round(c / CAST(least(x.n, y.n) AS DOUBLE), 6) AS overlap,
-       round(dot / (x.ss + y.ss - dot), 6) AS tanimoto
+SELECT i, j, CAST(floor(2.0 * c / (x.n + y.n) * 1000000 + 0.5) AS BIGINT) AS dice_ppm,
+       CAST(floor(c / CAST(least(x.n, y.n) AS DOUBLE) * 1000000 + 0.5) AS BIGINT) AS overlap_ppm,
+       CAST(floor(dot / (x.ss + y.ss - dot) * 1000000 + 0.5) AS BIGINT) AS tanimoto_ppm
 FROM pr JOIN st x ON x.m = i JOIN st y ON y.m = j""")
 def similarity_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    """S9 with other metrics: Dice, overlap and Tanimoto of the rating vectors from one pair aggregate, full matrix."""
+    """S9 with other metrics: Dice, overlap and Tanimoto of the rating vectors from one pair aggregate, full
+    matrix, in parts per million."""
     out = S.similarity(_all(spark, sf), "dice", "overlap", "tanimoto", value="rating", diagonal=True)
-    return out.select("i", "j", F.round("w", 6).alias("dice"), F.round("w2", 6).alias("overlap"), F.round("w3", 6).alias("tanimoto"))
+    ppm = lambda c, name: F.floor(F.col(c) * 1000000 + 0.5).cast("long").alias(name)  # noqa: E731  engines round ties apart
+    return out.select("i", "j", ppm("w", "dice_ppm"), ppm("w2", "overlap_ppm"), ppm("w3", "tanimoto_ppm"))
 
 
 def _rated_cos_sql(group: str, member: str, both: bool, diag: bool, rows: str = "ratings") -> str:
