@@ -59,6 +59,8 @@ MORE_RULES = (
 RULES = BASE_RULES + MORE_RULES
 #: More alternatives than this fall back to no condition for that part.
 MAX_WORDS = 32
+#: Code points of the pieces into which a text is cut to be redacted.
+PIECE = 1024
 
 
 def _words(tree) -> list[tuple[set[str] | None, bool]]:
@@ -142,24 +144,38 @@ def candidates(index: DataFrame, trigrams: list[str], queries: dict[int, list[li
     return every.groupBy("id").agg(F.collect_set("rule").alias("rules"))
 
 
+def _with(value: Column, use) -> Column:
+    """``use`` applied to a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def running(values: Column, join) -> Column:
+    """Running totals of an array under the associative ``join``, by doubling distances: n log n steps."""
+    far = F.array(*[F.lit(1 << k) for k in range(31)])
+
+    def step(acc, d):
+        return F.transform(acc, lambda x, i: F.when(i >= d, join(F.get(acc, i - d), x)).otherwise(x))
+
+    return _with(values, lambda v: F.aggregate(F.filter(far, lambda d: d < F.size(v)), v, step))
+
+
 def spans(text: Column, rule: SecretRule, number: int) -> Column:
     """Kept matches of one rule as array<struct<start, kind, end>> in code points."""
     found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     between = F.transform(F.split(text, rule.pattern, -1), F.length)
     measured = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
-    sized = F.arrays_zip(F.slice(between, 1, F.greatest(F.size(found), F.lit(0))).alias("gap"),
+    # split gives one part more than there are matches
+    sized = F.arrays_zip(F.slice(between, 1, F.size(between) - 1).alias("gap"),
                          F.transform(found, F.length).alias("len"), F.transform(measured, F.length).alias("own"))
-    kind = F.struct(F.lit(0).alias("start"), F.lit(number).alias("kind"), F.lit(0).alias("end"))
-    zero = F.struct(F.lit(0).alias("at"), F.filter(F.array(kind), lambda x: F.lit(False)).alias("out"))
 
-    def step(acc, x):
-        start = acc["at"] + x["gap"]
-        end = start + x["len"]
-        here = F.array(F.struct(start.alias("start"), F.lit(number).alias("kind"), end.alias("end")))
-        return F.struct(end.alias("at"),
-                        F.when(x["own"] >= rule.min_length, F.concat(acc["out"], here)).otherwise(acc["out"]).alias("out"))
+    def placed(parts):
+        ends = running(F.transform(parts, lambda x: x["gap"] + x["len"]), lambda x, y: x + y)
+        every = F.zip_with(parts, ends, lambda x, end: F.struct(
+            (end - x["len"]).alias("start"), F.lit(number).alias("kind"), end.alias("end"), x["own"].alias("own")))
+        kept = F.filter(every, lambda x: x["own"] >= rule.min_length)
+        return F.transform(kept, lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end")))
 
-    return F.aggregate(sized, zero, step, lambda acc: acc["out"])
+    return _with(sized, placed)
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text: str = "text", rules: tuple[SecretRule, ...] = RULES,
@@ -192,15 +208,27 @@ def render(found: Column, rules: tuple[SecretRule, ...] = RULES) -> Column:
 
 
 def redact(df: DataFrame, text: str = "text", found: str = "secrets", mark: str = "[SECRET]") -> DataFrame:
-    """Replace every span of ``found`` in ``text`` by ``mark`` (overlapping spans by one)."""
-    zero = F.struct(F.lit("").alias("kept"), F.lit(0).alias("at"))
-
-    def step(acc, x):
-        gap = F.substring(F.col(text), acc["at"] + 1, x["start"] - acc["at"])
-        apart = x["start"] >= acc["at"]
-        return F.struct(F.when(apart, F.concat(acc["kept"], gap, F.lit(mark))).otherwise(acc["kept"]).alias("kept"),
-                        F.greatest(acc["at"], x["end"]).alias("at"))
-
-    clean = F.aggregate(F.col(found), zero, step,
-                        lambda acc: F.concat(acc["kept"], F.substring(F.col(text), acc["at"] + 1, F.length(text))))
+    """Replace every span of ``found`` in ``text`` by ``mark`` (overlapping spans by one).
+
+    The text is cut into pieces of ``PIECE`` code points once, so what stands between two spans
+    costs its own length and two pieces, wherever it stands.
+    """
+    pieces = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+    def between(cut, a, b):
+        first = F.floor(a / PIECE).cast("int")
+        held = F.slice(cut, first + 1, F.floor(b / PIECE).cast("int") - first + 1)
+        return F.substring(F.array_join(held, ""), a - first * PIECE + 1, b - a)
+
+    def kept(both):
+        cut, reach = both["cut"], both["reach"]
+        before = lambda i: F.when(i > 0, F.get(reach, i - 1)).otherwise(0)
+        heads = F.filter(F.transform(found, lambda x, i: F.struct(before(i).alias("a"), x["start"].alias("b"))),
+                         lambda x: x["b"] >= x["a"])
+        gaps = F.transform(heads, lambda x: between(cut, x["a"], x["b"]))
+        last = between(cut, F.element_at(reach, -1), both["n"])
+        return F.array_join(F.concat(gaps, F.array(last)), mark)
+
+    ends = running(F.transform(found, lambda x: x["end"]), F.greatest)
+    clean = _with(F.struct(pieces.alias("cut"), ends.alias("reach"), F.length(text).alias("n")), kept)
     return df.withColumn(text, F.when(F.size(found) > 0, clean).otherwise(F.col(text)))

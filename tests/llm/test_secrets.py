@@ -69,5 +69,30 @@ def test_redact(spark):
     assert {r["doc_id"]: r["text"] for r in df.collect()} == {1: "x [SECRET] y [SECRET]", 2: "é", 3: None}
 
 
+def test_redact_overlaps_and_long_texts(spark):
+    texts = ["token=" + "0a" * 20 + " é " + "\U0001f600" * 1500 + " password=12345678",
+             "".join(f"é {'日' * (i % 2100)} token={i:08d}" for i in range(600)), "secret=password=12345678\n\n" * 3, "é" * 5000]
+
+    def masked(text):
+        out, at = [], 0
+        for a, _, b in brute(text):
+            if a >= at:
+                out += [text[at:a], "[SECRET]"]
+            at = max(at, b)
+        return "".join(out) + text[at:]
+
+    df = S.redact(S.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    assert {r["doc_id"]: r["text"] for r in df.collect()} == {i: masked(t) for i, t in enumerate(texts)}
+
+
+def test_many_matches_in_one_text(spark):
+    """Spans and the masked text of 40,000 matches; the steps grow with matches, not with their square."""
+    text = "".join(f"é{i} token={i:08d}\n" for i in range(40_000))
+    (row,) = check(spark.createDataFrame([(1, text)], "doc_id long, text string"))
+    assert len(row["secrets"]) == 40_000
+    (row,) = S.redact(S.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"))).collect()
+    assert row["text"] == re.sub(r"token=\d+", "[SECRET]", text)
+
+
 def test_runs_without_python(docs):
     assert "Python" not in S.scan(docs)._jdf.queryExecution().toString()
