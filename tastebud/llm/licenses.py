@@ -140,13 +140,22 @@ def alignments(files: DataFrame) -> DataFrame:
     begun = (anchors.select("row", F.col("hit.t").alias("t"), F.col("hit.i").alias("i")).join(F.broadcast(postings), "t")
              .groupBy("row", "template", (F.col("i") - F.col("place")).alias("begin"))
              .agg(F.count(F.lit(1)).alias("agree")).where("agree >= 2"))
-    held = begun.join(F.broadcast(whole), "template").join(files.select("row", "hits"), "row")
-    wanted = F.transform(F.arrays_zip("at", "words"), lambda x: F.struct((F.col("begin") + x["at"]).alias("i"), x["words"].alias("t")))
-    share = F.size(F.array_intersect(wanted, "hits")) / F.size("words")
-    phrase = F.lit(False)
-    for p in _phrases():
-        phrase = F.when(F.col("phrase") == " ".join(p), F.size(_starts(F.col("hits"), p)) > 0).otherwise(phrase)
-    return (held.withColumn("score", share).where(F.col("score") >= COVERAGE).where(phrase)
+    begun = stored(begun, "alignments")
+    # only files with an alignment: their places one by one, their phrases once per file
+    aligned = files.join(begun.select("row").distinct(), "row", "left_semi").select("row", "hits")
+    standing = F.filter(F.array(*[F.when(F.size(_starts(F.col("hits"), p)) > 0, F.lit(" ".join(p))) for p in _phrases()]),
+                        lambda x: x.isNotNull())
+    phrased = aligned.select("row", F.explode(standing).alias("phrase"))
+    wanted = begun.join(F.broadcast(whole), "template").join(phrased, ["row", "phrase"]).select(
+        "row", "template", "label", "begin", F.size("words").alias("places"),
+        F.explode(F.arrays_zip("at", "words")).alias("want"))
+    stand = aligned.select("row", F.explode("hits").alias("hit")).select(
+        "row", F.col("hit.i").alias("i"), F.col("hit.t").alias("t"))
+    met = (wanted.select("row", "template", "label", "begin", "places", (F.col("begin") + F.col("want.at")).alias("i"),
+                         F.col("want.words").alias("t"))
+           .join(stand, ["row", "i", "t"]).groupBy("row", "template", "label", "begin", "places")
+           .agg(F.count(F.lit(1)).alias("n")))
+    return (met.withColumn("score", F.col("n") / F.col("places")).where(F.col("score") >= COVERAGE)
             .groupBy("row", "label").agg(F.max("score").alias("score")))
 
 
