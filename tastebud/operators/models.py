@@ -287,7 +287,7 @@ def _times_gram(cols: Sequence[str], prefix: str, out: str) -> list[Column]:
 
 def nmf(a: DataFrame, k: int = 2, iters: int = 50, row: str = "user_id", col: str = "item_id",
         value: str = "v", seed: int = 3, eps: float = 1e-10, checkpoint_every: int = 5,
-        with_losses: bool = True):
+        with_losses: bool = True, start: tuple[DataFrame, DataFrame] | None = None):
     """Non-negative factorisation V ≈ W H by multiplicative updates (Frobenius loss).
 
     H <- H ∘ (Wᵀ V) / ((Wᵀ W) H),  W <- W ∘ (V Hᵀ) / (W (H Hᵀ)).
@@ -296,13 +296,15 @@ def nmf(a: DataFrame, k: int = 2, iters: int = 50, row: str = "user_id", col: st
     materialised by a checkpoint.  Returns (W, H, losses) with W as
     (row, w0..), H as (col, h0..) and the squared Frobenius loss every
     ``checkpoint_every`` iterations (none without ``with_losses``).
+    ``start`` gives the first W and H, hashed numbers if it is missing.
     """
     a = _checkpoint(a.select(row, col, F.col(value).cast("double").alias("v")))
     wc, hc = _cols("w", k), _cols("h", k)
-    w = a.select(row).distinct().select(row, *[(_hash_unit(F.col(row), f, seed) + F.lit(0.5) + F.lit(0.01))
-                                                .alias(f"w{f}") for f in range(k)])
-    h = a.select(col).distinct().select(col, *[(_hash_unit(F.col(col), f, seed + 1) + F.lit(0.5) + F.lit(0.01))
-                                                .alias(f"h{f}") for f in range(k)])
+    def hashed(key: str, p: str, own_seed: int) -> DataFrame:
+        return a.select(key).distinct().select(
+            key, *[(_hash_unit(F.col(key), f, own_seed) + F.lit(0.5) + F.lit(0.01)).alias(f"{p}{f}") for f in range(k)])
+
+    w, h = start or (hashed(row, "w", seed), hashed(col, "h", seed + 1))
     w, h = _checkpoint(w), _checkpoint(h)
     vv = (a.agg(F.sum(F.col("v") * F.col("v"))).first()[0] or 0.0) if with_losses else 0.0
     losses = []

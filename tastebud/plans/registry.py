@@ -39,5 +39,5 @@ def register(name: str, sql: str | None = None):
 
 def all_queries() -> dict[str, Query]:
     # Import the modules that register queries (side effect: fill _REGISTRY).
-    from . import cf, io, prep, scalar, metrics, models, stream, graph  # noqa: F401
+    from . import cf, io, prep, scalar, metrics, models, model_checks, stream, graph  # noqa: F401
     return dict(_REGISTRY)
