@@ -1,24 +1,31 @@
-"""Katz backoff bigram model over whole corpora.
-
-P(w | v) = d(c(v,w)) c(v,w) / c(v) for bigrams seen in training, else
-alpha(v) P(w); P(w) = d(c(w)) c(w) / N, and the unigram mass that the discounts
-free is the probability of an unknown word.  Discounts are Good-Turing for
-counts up to ``K``; every count gives up at least ``FLOOR`` of its mass, so that
-each context has mass for unseen words.  alpha(v) makes the words and the unknown
-word sum to one after v exactly: both sums of its definition run over all of v's
-successors.  Texts begin with a context of their own and end with an end token.
+"""Katz backoff n-gram model of any order over whole corpora.
+
+For a word w after the context h of the last k words, h' being h without its
+first word: P(w | h) = d(c(hw)) c(hw) / c(h) where hw is seen in training, else
+alpha(h) P(w | h'), down to P(w) = d(c(w)) c(w) / N; the unigram mass that the
+discounts free is the probability of an unknown word.  Discounts are Good-Turing
+for counts up to ``K`` and made for each order apart; every count gives up at
+least ``FLOOR`` of its mass, so that each context has mass for unseen words.
+alpha(h) makes the words and the unknown word sum to one after h exactly: both
+sums of its definition run over all of h's successors.  Contexts of no training
+text have weight one.  Texts begin with contexts of their own and end with an end token.
 
 How it runs.  Tasks turn documents into blocks; a block sends each of its
-distinct bigrams once, with the documents where it occurs, to the bucket of its
-predicted word, so a bucket knows c(v,w) and c(w) (``counts`` table, partitioned
-by kind; words above ``HOT_SHARE`` of all tokens are dealt over all buckets by
-their context and their counts summed apart).  Buckets send each context's sums,
-and the tokens whose bigram is unseen, to the context's bucket, where alpha is
-made (``weights`` table) and the recursion ends.  Both send sums per document
-back to the document's block.  Every exchange is a Spark shuffle of compressed
-columns; a bucket's share falls with ``spark.sql.shuffle.partitions``.
-
-Words are 64-bit hashes; contexts inside bigrams keep 48 of these bits.
+distinct n-grams once, with the documents where it occurs, to the bucket of its
+predicted word, as a trie of the word, its last context word, the two last ones
+and so on.  A bucket so knows the counts of every order for its words (``counts``
+table, partitioned by kind; words above ``HOT_SHARE`` of all tokens, the end
+token included, are dealt over all buckets by their context and their counts
+summed apart).  Buckets send each context's sums, and the tokens whose n-gram is
+unseen, to the bucket of the last context word, where the contexts of all orders
+meet, alpha is made (``weights`` table, one kind for each order) and the
+recursion ends.  Contexts that end in a hot word are at most 1 / ``HOT_SHARE``:
+their own weights are summed first and known everywhere, their longer contexts are
+dealt by two words, and tokens that need no longer one are scored in place.  Both
+send sums per document back to the document's block.  Every exchange is a Spark
+shuffle of compressed columns; a bucket's share falls with ``spark.sql.shuffle.partitions``.
+
+Words are 64-bit hashes; contexts keep 48 of these bits.
 
 Defined results: null and empty texts are the end token alone; with no training
 rows every token is unknown and costs nothing (score 0); repeated rows count as
@@ -94,8 +101,8 @@ def _deal(x: np.ndarray, bits: int, buckets: int) -> np.ndarray:
     return ((x >> np.uint64(bits - 31)) * np.uint64(buckets) >> np.uint64(31)).astype(np.int64)
 
 
-def _tokens(w: W.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word, context and document of every token, ends included."""
+def _tokens(w: W.Words, order: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Word, contexts of 1 .. order - 1 words and document of every token, ends included."""
     sizes = w.counts + 1
     last = np.cumsum(sizes) - 1
     word = np.empty(int(sizes.sum()), np.uint64)
@@ -103,24 +110,56 @@ def _tokens(w: W.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inner[last] = False
     word[inner] = w.hashes
     word[last] = END
-    context = np.r_[BEGIN, word[:-1]] if len(word) else word
-    if len(word):
-        context[last - w.counts] = BEGIN
-    return word, context & _48, np.repeat(np.arange(len(sizes)), sizes)
+    place = np.arange(len(word)) - np.repeat(last - w.counts, sizes)
+    contexts: list[np.ndarray] = []
+    for k in range(1, order):
+        before = np.full(len(word), BEGIN)
+        before[k:] = word[:-k]
+        before[place < k] = BEGIN
+        contexts.append((W.mix(contexts[-1] * W.STEP + before) if contexts else before) & _48)
+    return word, contexts, np.repeat(np.arange(len(sizes)), sizes)
+
+
+def _levels(word: np.ndarray, contexts: list[np.ndarray]) -> list[np.ndarray]:
+    """Where the nodes of each level of the trie begin: words, then words with ever longer contexts (sorted input)."""
+    new = np.r_[True, word[1:] != word[:-1]] if len(word) else np.zeros(0, bool)
+    starts = [np.flatnonzero(new)]
+    for h in contexts:
+        if len(h):
+            new = new | np.r_[True, h[1:] != h[:-1]]
+        starts.append(np.flatnonzero(new))
+    return starts
+
+
+def _fold(word: np.ndarray, contexts: list[np.ndarray], starts: list[np.ndarray]) -> tuple[bytes, list[bytes], list[bytes]]:
+    """Columns of the trie: words, and for each level the children per node above and their contexts."""
+    children = [np.diff(np.r_[np.searchsorted(low, high), len(low)]) for high, low in zip(starts, starts[1:], strict=False)]
+    return (word[starts[0]].tobytes(), [_pack(n.astype(np.uint32)) for n in children],
+            [_pack48(h[at]) for h, at in zip(contexts, starts[1:], strict=True)])
+
 
+def _unfold(r: dict) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Word and contexts of every n-gram of a trie's columns."""
+    word, contexts = np.frombuffer(r["words"], np.uint64), []
+    for children, h in zip(r["pairs"], r["contexts"], strict=True):
+        n = _open(children, np.uint32)
+        word, contexts = np.repeat(word, n), [*(np.repeat(x, n) for x in contexts), _open48(h)]
+    return word, contexts
 
-_SENT = ("kind int, bucket int, block long, train binary, words binary, pairs binary, contexts binary, times binary, docs binary")
+
+_SENT = ("kind int, bucket int, block long, train binary, words binary, pairs array<binary>, contexts array<binary>, "
+         "times binary, docs binary")
 
 
 def _hot_words(rows: DataFrame) -> np.ndarray:
-    """Words above HOT_SHARE of all tokens: at most 1 / HOT_SHARE."""
+    """Words above HOT_SHARE of all tokens, ends included: at most 1 / HOT_SHARE."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 2000):
                 raw, off = W.text_bytes(batch.slice(lo, 2000).column(0))
                 w = W.words(raw, off, W.SPACED)
-                word, n = np.unique(w.hashes, return_counts=True)
+                word, n = np.unique(np.r_[w.hashes, np.full(len(w.counts), END)], return_counts=True)
                 some = n >= HOT_SHARE / 2 * max(1, n.sum())
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.r_[word[some].view(np.int64), 0]), pa.array(np.r_[n[some], 0].astype(np.int64)),
@@ -133,8 +172,8 @@ def _hot_words(rows: DataFrame) -> np.ndarray:
     return np.sort(np.array([r["word"] for r in found], np.int64).view(np.uint64))
 
 
-def _blocks(rows: DataFrame, keys: int, buckets: int, hot: np.ndarray) -> DataFrame:
-    """Each block's bigrams by bucket (kind 0) and its documents (kind 1)."""
+def _blocks(rows: DataFrame, keys: int, buckets: int, hot: np.ndarray, order: int) -> DataFrame:
+    """Each block's n-grams by bucket (kind 0) and its documents (kind 1)."""
     doc = T.StructType(rows.schema.fields[:keys])
     schema = T.StructType([*T._parse_datatype_string(_SENT).fields, T.StructField("keys", T.ArrayType(doc)),
                            T.StructField("sizes", T.ArrayType(T.LongType()))])
@@ -148,22 +187,21 @@ def _blocks(rows: DataFrame, keys: int, buckets: int, hot: np.ndarray) -> DataFr
             table = pa.Table.from_batches([b for b, _ in held]).combine_chunks()
             train = np.array(table.column(keys).to_pylist(), bool)
             w = W.Words(np.concatenate([x.hashes for _, x in held]), np.concatenate([x.counts for _, x in held]))
-            word, context, docs = _tokens(w)
+            word, contexts, docs = _tokens(w, order)
             bucket = _deal(word, 64, buckets)
             if len(hot):
                 spread = hot[np.minimum(np.searchsorted(hot, word), len(hot) - 1)] == word
-                bucket[spread] = _deal(W.mix(context[spread]), 64, buckets)
-            order = np.lexsort((context, word, bucket))
-            word, context, docs, bucket = word[order], context[order], docs[order].astype(np.uint16), bucket[order]
-            pair = np.flatnonzero(np.r_[True, (word[1:] != word[:-1]) | (context[1:] != context[:-1]) | (bucket[1:] != bucket[:-1])])
-            times = np.diff(np.r_[pair, len(word)])
+                bucket[spread] = _deal(W.mix(contexts[0][spread]), 64, buckets)
+            sort = np.lexsort((*contexts[::-1], word, bucket))
+            word, contexts, docs, bucket = word[sort], [h[sort] for h in contexts], docs[sort].astype(np.uint16), bucket[sort]
+            gram = _levels(bucket, [word, *contexts])[-1]
+            times = np.diff(np.r_[gram, len(word)])
             flags = _pack(train)
-            for a, b in _runs(bucket[pair]):
-                own = word[pair[a:b]]
-                first = _starts(own)
-                lo, hi = pair[a], pair[b] if b < len(pair) else len(word)
-                yield row(0, int(bucket[lo]), block, flags, own[first].tobytes(),
-                          _pack(np.diff(np.r_[first, len(own)]).astype(np.uint32)), _pack48(context[pair[a:b]]),
+            for a, b in _runs(bucket[gram]):
+                at = gram[a:b]
+                own, above = word[at], [h[at] for h in contexts]
+                lo, hi = gram[a], gram[b] if b < len(gram) else len(word)
+                yield row(0, int(bucket[lo]), block, flags, *_fold(own, above, _levels(own, above)),
                           _pack(times[a:b].astype(np.uint32)), _pack(docs[lo:hi]), None, None)
             of = pa.StructArray.from_arrays([table.column(i).chunk(0) for i in range(keys)], names=table.column_names[:keys])
             yield row(1, block % buckets, block, flags, None, None, None, None, None, of, (w.counts + 1).tolist())
@@ -173,7 +211,8 @@ def _blocks(rows: DataFrame, keys: int, buckets: int, hot: np.ndarray) -> DataFr
                 pa.nulls(1, pa.list_(pa.struct(kinds)))
             return pa.RecordBatch.from_arrays(
                 [pa.array([kind], pa.int32()), pa.array([bucket], pa.int32()), pa.array([block], pa.int64()),
-                 *[pa.array([x], pa.binary()) for x in (train, words, pairs, contexts, times, docs)], listed,
+                 pa.array([train], pa.binary()), pa.array([words], pa.binary()), pa.array([pairs], pa.list_(pa.binary())),
+                 pa.array([contexts], pa.list_(pa.binary())), pa.array([times], pa.binary()), pa.array([docs], pa.binary()), listed,
                  pa.array([sizes], pa.list_(pa.int64()))], names=schema.fieldNames())
 
         kinds: list[tuple[str, pa.DataType]] = []
@@ -211,38 +250,40 @@ def _of_counts(c: np.ndarray) -> list[int]:
     return [int((c == r).sum()) for r in range(1, K + 2)]
 
 
-_MERGED = ("kind int, bucket int, blocks array<long>, words binary, pairs binary, contexts binary, counts binary, times binary, "
-           "refs binary, hot array<long>, unigrams array<long>, bigrams array<long>, tokens long, vocabulary long")
+_MERGED = ("kind int, bucket int, blocks array<long>, words binary, pairs array<binary>, contexts array<binary>, counts binary, "
+           "times binary, refs binary, hot array<long>, unigrams array<long>, grams array<long>, tokens long, vocabulary long")
 
 
 def _merge(rows: list[dict], hot: np.ndarray) -> tuple:
-    """One bucket's bigrams over all blocks, with counts and the documents of every occurrence."""
+    """One bucket's n-grams over all blocks, with counts and the documents of every occurrence."""
     word, context, times, count, refs = [], [], [], [], []
     for k, r in enumerate(rows):
         t = _open(r["times"], np.uint32).astype(np.int64)
         docs = _open(r["docs"], np.uint16).astype(np.int64)
-        word.append(np.repeat(np.frombuffer(r["words"], np.uint64), _open(r["pairs"], np.uint32)))
-        context.append(_open48(r["contexts"]))
+        own, above = _unfold(r)
+        word.append(own)
+        context.append(above)
         times.append(t)
         count.append(np.add.reduceat(_open(r["train"], bool)[docs].astype(np.int64), np.cumsum(t) - t))
         refs.append((k << 16) + docs)
-    w, v, t, c, ref = (np.concatenate(x) for x in (word, context, times, count, refs))
-    order = np.lexsort((v, w))
+    w, t, c, ref = (np.concatenate(x) for x in (word, times, count, refs))
+    above = [np.concatenate(x) for x in zip(*context, strict=True)]
+    order = np.lexsort((*above[::-1], w))
     begin = np.cumsum(t) - t
-    w, v, t, c, begin = w[order], v[order], t[order], c[order], begin[order]
+    w, above, t, c, begin = w[order], [h[order] for h in above], t[order], c[order], begin[order]
     at = np.arange(int(t.sum())) - np.repeat(np.cumsum(t) - t, t) + np.repeat(begin, t)
     ref = ref[at]
-    first = np.flatnonzero(np.r_[True, (w[1:] != w[:-1]) | (v[1:] != v[:-1])])
-    w, v, t, c = w[first], v[first], np.add.reduceat(t, first), np.add.reduceat(c, first)
-    head = _starts(w)
-    words, unigram = w[head], np.add.reduceat(c, head)
+    first = _levels(w, above)[-1]
+    w, above, t, c = w[first], [h[first] for h in above], np.add.reduceat(t, first), np.add.reduceat(c, first)
+    starts = _levels(w, above)
+    words, unigram = w[starts[0]], np.add.reduceat(c, starts[0])
     is_hot = np.isin(words, hot)
     at_hot = np.zeros(len(hot), np.int64)
     at_hot[np.searchsorted(hot, words[is_hot])] = unigram[is_hot]
     own = unigram[~is_hot]
-    return (0, rows[0]["bucket"], [r["block"] for r in rows], words.tobytes(),
-            _pack(np.diff(np.r_[head, len(w)]).astype(np.uint32)), _pack48(v), _pack(c.astype(np.uint32)),
-            _pack(t.astype(np.uint32)), _pack(ref.astype(_ref_kind(rows))), at_hot.tolist(), _of_counts(own), _of_counts(c),
+    grams = [n for s in starts[1:] for n in _of_counts(np.add.reduceat(c, s))]
+    return (0, rows[0]["bucket"], [r["block"] for r in rows], *_fold(w, above, starts), _pack(c.astype(np.uint32)),
+            _pack(t.astype(np.uint32)), _pack(ref.astype(_ref_kind(rows))), at_hot.tolist(), _of_counts(own), grams,
             int(c.sum()), int((own > 0).sum()))
 
 
@@ -263,6 +304,28 @@ class Discounts:
         return self.factor[np.minimum(c, K + 1)] * c
 
 
+class Weights:
+    """Backoff weights (log10) and counts of contexts."""
+
+    def __init__(self, context: np.ndarray, alpha: np.ndarray, count: np.ndarray) -> None:
+        sort = np.argsort(context, kind="stable")
+        self.context, self.alpha, self.count = context[sort], alpha[sort], count[sort]
+
+    @staticmethod
+    def of(context: np.ndarray, kept: np.ndarray, mass: np.ndarray, count: np.ndarray) -> Weights:
+        """From the discounted counts, lower-order probabilities and counts of all successors."""
+        alpha = np.maximum(1 - kept / np.maximum(count, 1), 1e-12) / np.maximum(1 - mass, 1e-12)
+        return Weights(context, np.log10(alpha), count)
+
+    def find(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Whether each context is known, its weight (else 0, the logarithm of 1) and its count (else 1)."""
+        if not len(self.context):
+            return np.zeros(len(context), bool), np.zeros(len(context)), np.ones(len(context), np.int64)
+        at = np.minimum(np.searchsorted(self.context, context), len(self.context) - 1)
+        known = self.context[at] == context
+        return known, np.where(known, self.alpha[at], 0.0), np.where(known, self.count[at], 1)
+
+
 class Unigrams:
     """Counts and discounts that every task needs."""
 
@@ -270,15 +333,17 @@ class Unigrams:
         self.hot, self.hot_counts = hot, np.array(stats["hot"], np.int64)
         n1 = [a + b for a, b in zip(stats["unigrams"], _of_counts(self.hot_counts), strict=True)]
         self.tokens, self.vocabulary = stats["tokens"], stats["vocabulary"] + int((self.hot_counts > 0).sum())
-        self.discount, self.pair_discount = Discounts(n1), Discounts(stats["bigrams"])
+        self.discount = Discounts(n1)
+        #: Of n-grams with contexts of 1, 2, ... words.
+        self.of_grams = [Discounts(stats["grams"][i:i + K + 1]) for i in range(0, len(stats["grams"]), K + 1)]
+        self.hot_contexts = Weights(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0, np.int64))
         kept = sum(n1[r - 1] * r * self.discount.factor[r] for r in range(1, K + 1))
         rest = self.tokens - sum(n1[r - 1] * r for r in range(1, K + 1))
         #: Probability of an unknown word.
         self.unknown = 1 - (kept + rest * self.discount.factor[K + 1]) / self.tokens if self.tokens else 1.0
 
-    def counts(self, words: np.ndarray, pair_counts: np.ndarray, head: np.ndarray) -> np.ndarray:
-        """c(w) of a bucket's words."""
-        c = np.add.reduceat(pair_counts, head) if len(head) else np.zeros(0, np.int64)
+    def counts(self, words: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """c(w) of a bucket's words, ``c`` being what the bucket counted."""
         if len(self.hot):
             at = np.minimum(np.searchsorted(self.hot, words), len(self.hot) - 1)
             c = np.where(self.hot[at] == words, self.hot_counts[at], c)
@@ -288,48 +353,97 @@ class Unigrams:
         return np.where(c > 0, self.discount(c) / max(1, self.tokens), self.unknown)
 
 
-def _bucket(r: dict, u: Unigrams):
-    """word count and word number per pair, contexts, pair counts, times, refs of a stored bucket."""
-    words, pairs = np.frombuffer(r["words"], np.uint64), _open(r["pairs"], np.uint32).astype(np.int64)
-    c = _open(r["counts"], np.uint32).astype(np.int64)
-    unigram = u.counts(words, c, np.cumsum(pairs) - pairs)
-    return (np.repeat(words, pairs), np.repeat(unigram, pairs), _open48(r["contexts"]), c,
-            _open(r["times"], np.uint32).astype(np.int64), _open(r["refs"], _ref_kind(r["blocks"])).astype(np.int64))
-
-
-_TO_CONTEXT = "bucket int, kind int, blocks array<long>, contexts binary, seen binary, kept binary, count binary, refs binary"
+class Bucket:
+    """A stored bucket: word, contexts and the counts of every order (0: words) for each of its n-grams."""
+
+    def __init__(self, r: dict, u: Unigrams) -> None:
+        self.word, self.contexts = _unfold(r)
+        c = _open(r["counts"], np.uint32).astype(np.int64)
+        self.starts = _levels(self.word, self.contexts)
+        level = [np.add.reduceat(c, s) if len(s) else c for s in self.starts]
+        level[0] = u.counts(self.word[self.starts[0]], level[0])
+        #: Counts per node of each level, and the same per n-gram.
+        self.level = level
+        self.count = [np.repeat(n, np.diff(np.r_[s, len(c)])) for n, s in zip(level, self.starts, strict=True)]
+        #: Words of the longest context after which the word is seen.
+        self.seen = sum((n > 0 for n in self.count[1:]), np.zeros(len(c), np.int64))
+
+    def sums(self, k: int, u: Unigrams) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+        """Of contexts of k words: contexts of 1 .. k words, discounted counts, lower orders' share and counts of successors here.
+
+        That share is a probability for k = 1, else a discounted count: the count of the shorter context divides it later.
+        """
+        at = self.starts[k]
+        c = self.level[k]
+        some = c > 0
+        at, c = at[some], c[some]
+        below = self.count[k - 1][at]
+        share = u.probability(below) if k == 1 else u.of_grams[k - 2](below)
+        above = [h[at] for h in self.contexts[:k]]
+        sort = np.lexsort(above[::-1])
+        above = [h[sort] for h in above]
+        head = _levels(above[0], above[1:])[-1]
+        if not len(head):
+            return above, np.zeros(0), np.zeros(0), c
+        return ([h[head] for h in above], np.add.reduceat(u.of_grams[k - 1](c)[sort], head), np.add.reduceat(share[sort], head),
+                np.add.reduceat(c[sort], head))
+
+
+def _refs(r: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Occurrences per n-gram and the document of each."""
+    return _open(r["times"], np.uint32).astype(np.int64), _open(r["refs"], _ref_kind(r["blocks"])).astype(np.int64)
+
+
+_TO_CONTEXT = ("bucket int, kind int, blocks array<long>, contexts array<binary>, seen binary, kept binary, count binary, refs binary")
 _PARTS = "kind int, block long, docs binary, score binary, base binary, known binary, contexts binary, alpha binary, count binary"
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
-    kind = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
+    kind = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()),
+            "array<binary>": pa.list_(pa.binary())}
     named = [x.strip().split(" ") for x in schema.split(",")]
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind[t]) for i, (_, t) in enumerate(named)],
                                       names=[n for n, _ in named])
 
 
+def _home(contexts: list[np.ndarray], u: Unigrams, buckets: int) -> np.ndarray:
+    """Bucket of contexts (of 1, 2, ... words): by the last word, by the last two where that one is hot."""
+    to = _deal(contexts[0], 48, buckets)
+    if len(contexts) > 1:
+        hot, _, _ = u.hot_contexts.find(contexts[0])
+        to[hot] = _deal(contexts[1][hot], 48, buckets)
+    return to
+
+
 def _to_contexts(r: dict, u: Unigrams, buckets: int) -> Iterator[tuple]:
-    """Sums over a context's successors here, and its tokens whose bigram was never seen."""
-    _, unigram, v, c, times, refs = _bucket(r, u)
-    seen = c > 0
-    order = np.argsort(v[seen], kind="stable")
-    own = v[seen][order]
-    head = _starts(own)
-    if len(head):
-        kept = np.add.reduceat(u.pair_discount(c[seen])[order], head)
-        mass = np.add.reduceat(u.probability(unigram[seen])[order], head)
-        count = np.add.reduceat(c[seen][order], head)
-        own = own[head]
-        to = _deal(own, 48, buckets)
-        for a, b in _runs(to):
-            yield (int(to[a]), 0, None, _pack48(own[a:b]), _pack(mass[a:b]), _pack(kept[a:b]), _pack(count[a:b]), None)
-    lost = np.repeat(~seen, times)
-    v, refs = np.repeat(v, times)[lost], refs[lost]
-    order = np.argsort(v, kind="stable")
-    v, refs = v[order], refs[order]
-    to = _deal(v, 48, buckets)
-    for a, b in _runs(to):
-        yield (int(to[a]), 1, r["blocks"], _pack48(v[a:b]), None, None, None, _pack(refs[a:b].astype(_ref_kind(r["blocks"]))))
+    """Sums over contexts' successors here (kind: words of the context), and the tokens whose n-gram is unseen (kind 0)."""
+    b = Bucket(r, u)
+    for k in range(1, len(b.contexts) + 1):
+        above, kept, mass, count = b.sums(k, u)
+        to = _home(above, u, buckets)
+        sort = np.argsort(to, kind="stable")
+        to = to[sort]
+        for lo, hi in _runs(to):
+            at = sort[lo:hi]
+            yield (int(to[lo]), k, None, [_pack48(h[at]) for h in above[-2:]], _pack(mass[at]), _pack(kept[at]),
+                   _pack(count[at]), None)
+    times, refs = _refs(r)
+    lost = b.seen < len(b.contexts)
+    if len(b.contexts) == 1:
+        lost &= ~u.hot_contexts.find(b.contexts[0])[0]
+    tokens = np.repeat(lost, times)
+    if not tokens.any():
+        return
+    above, seen, refs = [np.repeat(h, times)[tokens] for h in b.contexts], np.repeat(b.seen, times)[tokens], refs[tokens]
+    to = _home(above, u, buckets)
+    sort = np.lexsort((*above[::-1], to))
+    to = to[sort]
+    for lo, hi in _runs(to):
+        at = sort[lo:hi]
+        used, number = np.unique(refs[at] >> 16, return_inverse=True)
+        blocks = [r["blocks"][i] for i in used.tolist()]
+        yield (int(to[lo]), 0, blocks, [_pack48(h[at]) for h in above], _pack(seen[at].astype(np.uint8)), None, None,
+               _pack(((number << 16) + (refs[at] & 0xFFFF)).astype(_ref_kind(blocks))))
 
 
 def _per_block(blocks: list[int], refs: np.ndarray, *values: np.ndarray) -> Iterator[tuple]:
@@ -340,47 +454,87 @@ def _per_block(blocks: list[int], refs: np.ndarray, *values: np.ndarray) -> Iter
         yield (blocks[int(docs[a] >> 16)], _pack((docs[a:b] & 0xFFFF).astype(np.uint16)), *[_pack(s[a:b]) for s in sums])
 
 
-def _weigh(rows: list[dict]) -> Iterator[tuple]:
-    """Backoff weights of a bucket's contexts, and what unseen bigrams add to their documents."""
-    sums = [r for r in rows if r["kind"] == 0]
-    v = np.concatenate([_open48(r["contexts"]) for r in sums]) if sums else np.zeros(0, np.uint64)
-    order = np.argsort(v, kind="stable")
-    head = _starts(v[order])
-    mass, kept, count = (np.add.reduceat(np.concatenate([_open(r[k], t) for r in sums])[order], head) if sums else np.zeros(0)
-                         for k, t in (("seen", float), ("kept", float), ("count", np.int64)))
-    v = v[order][head]
-    alpha = np.maximum(1 - kept / np.maximum(count, 1), 1e-12) / np.maximum(1 - mass, 1e-12)
-    yield (1, None, None, None, None, None, _pack48(v), _pack(np.log10(alpha)), _pack(count.astype(np.int64)))
-    weight = np.log10(alpha * np.maximum(count, 1))
-    lost = [r for r in rows if r["kind"] == 1]
+def _weigh(rows: list[dict], u: Unigrams) -> Iterator[tuple]:
+    """Backoff weights of a bucket's contexts, and what unseen n-grams add to their documents."""
+    tables: list[Weights] = []
+    for k in range(1, len(u.of_grams) + 1):
+        sums = [r for r in rows if r["kind"] == k]
+        h = np.concatenate([_open48(r["contexts"][-1]) for r in sums]) if sums else np.zeros(0, np.uint64)
+        sort = np.argsort(h, kind="stable")
+        head = _starts(h[sort])
+        mass, kept, count = (np.add.reduceat(np.concatenate([_open(r[n], t) for r in sums])[sort], head) if sums else np.zeros(0, t)
+                             for n, t in (("seen", float), ("kept", float), ("count", np.int64)))
+        if k > 1 and sums:
+            shorter = np.concatenate([_open48(r["contexts"][0]) for r in sums])[sort][head]
+            mass = mass / _with_hot(tables, k - 1, shorter, u)[1]
+        tables.append(Weights.of(h[sort][head], kept, mass, count))
+        yield (k, None, None, None, None, None, _pack48(tables[-1].context), _pack(tables[-1].alpha), _pack(tables[-1].count))
+    lost = [r for r in rows if r["kind"] == 0]
     if not lost:
         return
-    want = np.concatenate([_open48(r["contexts"]) for r in lost])
+    seen = np.concatenate([_open(r["seen"], np.uint8) for r in lost])
     blocks = np.unique(np.concatenate([r["blocks"] for r in lost]))
     refs = []
     for r in lost:      # one row per block: number the blocks of all senders alike
         ref = _open(r["refs"], _ref_kind(r["blocks"])).astype(np.int64)
         refs.append((np.searchsorted(blocks, r["blocks"])[ref >> 16] << 16) + (ref & 0xFFFF))
-    add = np.zeros(len(want))
-    if len(v):
-        at = np.minimum(np.searchsorted(v, want), len(v) - 1)
-        add = np.where(v[at] == want, weight[at], 0.0)
+    add = np.zeros(len(seen))
+    for k in range(1, len(tables) + 1):
+        alpha, count = _with_hot(tables, k, np.concatenate([_open48(r["contexts"][k - 1]) for r in lost]), u)
+        add += np.where(seen < k, alpha, 0.0) - np.where(seen == k, np.log10(count), 0.0)
+    # the longest context's count was already divided by
+    add += np.log10(count)
     for block, docs, score in _per_block(blocks.tolist(), np.concatenate(refs), add):
         yield (0, block, docs, score, None, None, None, None, None)
 
 
+def _with_hot(tables: list[Weights], k: int, context: np.ndarray, u: Unigrams) -> tuple[np.ndarray, np.ndarray]:
+    """Weight and count of contexts of k words."""
+    _, alpha, count = tables[k - 1].find(context)
+    if k == 1:
+        hot, hot_alpha, hot_count = u.hot_contexts.find(context)
+        alpha, count = np.where(hot, hot_alpha, alpha), np.where(hot, hot_count, count)
+    return alpha, count
+
+
 def _score(r: dict, u: Unigrams) -> Iterator[tuple]:
     """What a bucket's tokens add to their documents, contexts' counts as denominators included."""
-    w, unigram, _, c, times, refs = _bucket(r, u)
-    own = np.where(c > 0, np.log10(np.maximum(u.pair_discount(c), 1e-300)), np.log10(np.maximum(u.probability(unigram), 1e-300)))
-    # this token is the next one's context: its count divides the next probability (alpha takes it back where unseen)
-    own -= np.where((unigram > 0) & (w != END), np.log10(np.maximum(unigram, 1)), 0.0)
+    b = Bucket(r, u)
+    times, refs = _refs(r)
+    unigram = b.count[0]
+    own = np.log10(np.maximum(u.probability(unigram), 1e-300))
+    for k, discount in enumerate(u.of_grams, 1):
+        own = np.where(b.seen == k, np.log10(np.maximum(discount(b.count[k]), 1e-300)), own)
+    # this token ends the next one's longest context: its count divides the next probability (given back where unseen)
+    before = b.count[len(b.contexts) - 1]
+    own -= np.where((before > 0) & (b.word != END), np.log10(np.maximum(before, 1)), 0.0)
+    if len(b.contexts) == 1:
+        hot, alpha, count = u.hot_contexts.find(b.contexts[0])
+        own += np.where(hot & (b.seen == 0), alpha + np.log10(count), 0.0)
     base = np.log10((unigram + 1) / (u.tokens + u.vocabulary + 1))
     known = (unigram > 0).astype(float)
     yield from ((0, *x, None, None, None)
                 for x in _per_block(r["blocks"], refs, *[np.repeat(x, times) for x in (own, base, known)]))
 
 
+def _hot_contexts(merged: DataFrame, u: Unigrams) -> Weights:
+    """Weights of the contexts of one word that end in a hot word, or begin a text."""
+    wanted = np.unique(np.r_[u.hot[u.hot != END], BEGIN] & _48)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                (h,), *sums = Bucket(r, u).sums(1, u)
+                some = np.isin(h, wanted)
+                yield pa.RecordBatch.from_arrays([pa.array(h[some].view(np.int64)), *[pa.array(x[some]) for x in sums]],
+                                                 names=["h", "kept", "mass", "n"])
+
+    found = merged.select("words", "pairs", "contexts", "counts").mapInArrow(run, "h long, kept double, mass double, n long").groupBy(
+        "h").agg(F.sum("kept").alias("kept"), F.sum("mass").alias("mass"), F.sum("n").alias("n")).collect()
+    h, kept, mass, n = (np.array([r[k] for r in found], t) for k, t in (("h", np.int64), ("kept", float), ("mass", float), ("n", np.int64)))
+    return Weights.of(h.view(np.uint64), kept, mass, n)
+
+
 def _total(rows: list[dict], begun: int) -> tuple:
     """Scores of one block's documents."""
     home = next(r for r in rows if r["keys"] is not None)
@@ -404,8 +558,13 @@ def _forget(spark: SparkSession) -> None:
         time.sleep(0.5)
 
 
-def score(df: DataFrame, keys: list[str], train, text: str = "text") -> DataFrame:
-    """Per row: keys, n_tokens, n_known, train_tokens, base_score, score; learns from rows where ``train`` is true."""
+def score(df: DataFrame, keys: list[str], train, text: str = "text", order: int = 2) -> DataFrame:
+    """Per row: keys, n_tokens, n_known, train_tokens, base_score, score; learns from rows where ``train`` is true.
+
+    ``order``: words of the longest n-gram, 2 or more.
+    """
+    if order < 2:
+        raise ValueError("order has to be 2 or more")
     spark = df.sparkSession
     buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = df.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.coalesce(train, F.lit(False)).alias("train"),
@@ -415,19 +574,19 @@ def score(df: DataFrame, keys: list[str], train, text: str = "text") -> DataFram
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, "bucket"):
-            bigrams = [r for r in group if r["kind"] == 0]
+            grams = [r for r in group if r["kind"] == 0]
             for r in group:
                 if r["kind"] == 1:
                     yield whole(_batch([(1, r["bucket"], [r["block"]], *[None] * 11)], _MERGED), r)
-            if bigrams:
-                yield whole(_batch([_merge(bigrams, hot)], _MERGED), None)
+            if grams:
+                yield whole(_batch([_merge(grams, hot)], _MERGED), None)
 
     def whole(batch: pa.RecordBatch, home: dict | None) -> pa.RecordBatch:
         own = pa.array([home and home["keys"]], pa.list_(pa.struct([(f"k{i}", arrow[i]) for i in range(n_keys)])))
         return pa.RecordBatch.from_arrays([*batch.columns, own, pa.array([home and home["sizes"]], pa.list_(pa.int64()))],
                                           names=schema.fieldNames())
 
-    sent = _blocks(rows, n_keys, buckets, hot)
+    sent = _blocks(rows, n_keys, buckets, hot, order)
     arrow = [to_arrow_type(f.dataType) for f in rows.schema.fields[:n_keys]]
     schema = T.StructType([*T._parse_datatype_string(_MERGED).fields, *sent.schema.fields[-2:]])
     table = stored(sent.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(merge, schema),
@@ -437,12 +596,13 @@ def score(df: DataFrame, keys: list[str], train, text: str = "text") -> DataFram
     del sent
     _forget(spark)
     total = lambda name, size: [F.coalesce(F.sum(F.get(name, F.lit(i))), F.lit(0)).alias(f"{name}{i}") for i in range(size)]
-    got = merged.agg(*total("hot", len(hot)), *total("unigrams", K + 1), *total("bigrams", K + 1),
+    got = merged.agg(*total("hot", len(hot)), *total("unigrams", K + 1), *total("grams", (order - 1) * (K + 1)),
                      F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("vocabulary"), F.lit(0)).alias("vocabulary")).first()
     stats = {"hot": [got[f"hot{i}"] for i in range(len(hot))], "unigrams": [got[f"unigrams{i}"] for i in range(K + 1)],
-             "bigrams": [got[f"bigrams{i}"] for i in range(K + 1)], "tokens": got["tokens"], "vocabulary": got["vocabulary"]}
+             "grams": [got[f"grams{i}"] for i in range((order - 1) * (K + 1))], "tokens": got["tokens"], "vocabulary": got["vocabulary"]}
     begun = rows.where("train").count()
     u = Unigrams(stats, hot)
+    u.hot_contexts = _hot_contexts(merged, u)
 
     def to_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -452,7 +612,7 @@ def score(df: DataFrame, keys: list[str], train, text: str = "text") -> DataFram
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, "bucket"):
-            for out in _weigh(group):
+            for out in _weigh(group, u):
                 yield _batch([out], _PARTS)
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,45 +21,68 @@ def tokens(text):
 class Model:
     """The definition, word by word."""
 
-    def __init__(self, texts):
-        self.uni, self.bi, self.after = Counter(), Counter(), defaultdict(set)
+    def __init__(self, texts, order=2):
+        self.order, self.grams, self.after = order, [Counter() for _ in range(order)], defaultdict(set)
         for t in texts:
             w = tokens(t)
-            self.uni.update(w)
-            for v, x in zip([BEGIN, *w], w):
-                self.bi[v, x] += 1
-                self.after[v].add(x)
+            for k in range(order):
+                for h, x in self.histories(w, k):
+                    self.grams[k][*h, x] += 1
+                    self.after[h].add(x)
+        self.uni = Counter({x: c for (x,), c in self.grams[0].items()})
         self.n = sum(self.uni.values())
         self.context = Counter()
-        for (v, _), c in self.bi.items():
-            self.context[v] += c
-        of = lambda counts: [sum(c == r for c in counts.values()) for r in range(1, Z.K + 2)]
-        self.d1, self.d2 = Z.Discounts(of(self.uni)).factor, Z.Discounts(of(self.bi)).factor
-        self.unknown = 1 - sum(self.keep(self.d1, c) for c in self.uni.values()) / self.n if self.n else 1.0
+        for g in self.grams[1:]:
+            for (*h, _), c in g.items():
+                self.context[tuple(h)] += c
+        self.d = [self.factors([sum(c == r for c in g.values()) for r in range(1, Z.K + 2)]) for g in self.grams]
+        self.unknown = 1 - sum(self.keep(0, c) for c in self.uni.values()) / self.n if self.n else 1.0
 
     @staticmethod
-    def keep(d, c):
-        return d[min(c, Z.K + 1)] * c
+    def histories(w, k):
+        full = [BEGIN] * k + w
+        return [(tuple(full[i:i + k]), x) for i, x in enumerate(w)]
 
-    def p1(self, w):
-        return self.keep(self.d1, self.uni[w]) / self.n if self.uni[w] else self.unknown
-
-    def p(self, w, v):
-        if self.bi[v, w]:
-            return self.keep(self.d2, self.bi[v, w]) / self.context[v]
-        if not self.context[v]:
-            return self.p1(w)
-        seen = self.after[v]
-        left = 1 - sum(self.keep(self.d2, self.bi[v, x]) for x in seen) / self.context[v]
-        return left / (1 - sum(map(self.p1, seen))) * self.p1(w)
+    @staticmethod
+    def factors(n):
+        """Good-Turing discount factors of counts 1 .. K, and of those above."""
+        out = [1 - Z.FLOOR] * (Z.K + 2)
+        for r in range(1, Z.K + 1):
+            if n[0] and n[r - 1] and n[r]:
+                common = (Z.K + 1) * n[Z.K] / n[0]
+                turing = (r + 1) * n[r] / n[r - 1] / r
+                if common < 1 and 0 < (turing - common) / (1 - common) < 1:
+                    out[r] = min((turing - common) / (1 - common), 1 - Z.FLOOR)
+        return out
+
+    def keep(self, k, c):
+        return self.d[k][min(c, Z.K + 1)] * c
+
+    def p(self, w, h):
+        k = len(h)
+        if not k:
+            return self.keep(0, self.uni[w]) / self.n if self.uni[w] else self.unknown
+        if self.grams[k][*h, w]:
+            return self.keep(k, self.grams[k][*h, w]) / self.context[h]
+        return self.alpha(h) * self.p(w, h[1:])
+
+    def alpha(self, h):
+        if not self.context[h]:
+            return 1.0
+        left = 1 - sum(self.keep(len(h), self.grams[len(h)][*h, x]) for x in self.after[h]) / self.context[h]
+        return left / (1 - sum(self.p(x, h[1:]) for x in self.after[h]))
 
     def score(self, text):
-        w = tokens(text)
-        return sum(math.log10(self.p(x, v)) for v, x in zip([BEGIN, *w], w))
+        return sum(math.log10(self.p(x, h)) for h, x in self.histories(tokens(text), self.order - 1))
 
+    def sums_to_one(self, contexts):
+        for h in contexts:
+            total = sum(self.p(w, h) for w in self.uni) + self.p(object(), h)
+            assert math.isclose(total, 1, rel_tol=1e-9), h
 
-def check(got, docs, learn):
-    m = Model([t for k, t in docs if learn(k)])
+
+def check(got, docs, learn, order=2):
+    m = Model([t for k, t in docs if learn(k)], order)
     v, cache = len(m.uni), {}
     by = defaultdict(list)
     for r in got:
@@ -80,21 +103,38 @@ def test_query(spark, sf):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     held = lambda k: zlib.crc32(str(k).encode()) % 7 == 2
     got = QUERIES["op1_katz_backoff"](spark, sf).collect()
-    m = check(got, docs, lambda k: not held(k))
+    m = check(got, docs, lambda k: not held(k), 3)
     assert all(r["held_out"] == held(r["doc_id"]) for r in got)
-    some = [v for v in m.context][:40]
-    for v in some:
-        total = sum(m.p(w, v) for w in m.uni) + m.p(object(), v)
-        assert math.isclose(total, 1, rel_tol=1e-9)
+    m.sums_to_one(list(m.context)[:40])
+
 
+def test_longer_order(spark, docs, order=3):
+    some = docs.where("doc_id % 3 = 0").select("doc_id", "text")
+    rows = [(r["doc_id"], r["text"]) for r in some.collect()]
+    got = Z.score(some, ["doc_id"], F.col("doc_id") % 7 != 2, order=order).collect()
+    m = check(got, rows, lambda k: k % 7 != 2, order)
+    m.sums_to_one([h for h in m.context if len(h) == order - 1][:40])
 
-@pytest.mark.parametrize("block_tokens", [3, 10 ** 6])
-def test_small_blocks_and_hot_words(spark, monkeypatch, block_tokens):
+
+@pytest.mark.parametrize(("block_tokens", "order"), [(3, 2), (10 ** 6, 2), (3, 3), (3, 4)])
+def test_small_blocks_and_hot_words(spark, monkeypatch, block_tokens, order):
     monkeypatch.setattr(Z, "BLOCK_TOKENS", block_tokens)
     texts = ["a b a b c", "A B", "a a a a a a a b", None, "", "d e f a b c", "x y z", "a b c d e f"] * 3
     docs = list(enumerate(texts))
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
-    check(Z.score(df, ["doc_id"], F.col("doc_id") % 5 != 1).collect(), docs, lambda k: k % 5 != 1)
+    m = check(Z.score(df, ["doc_id"], F.col("doc_id") % 5 != 1, order=order).collect(), docs, lambda k: k % 5 != 1, order)
+    m.sums_to_one(m.context)
+
+
+def test_ends_and_their_contexts_are_dealt(spark):
+    """Two-word texts: a third of the tokens are ends, a third follow the text's beginning."""
+    df = spark.range(20_000).selectExpr("id AS doc_id", "concat('a', id % 5000, ' b', id % 7001) AS text")
+    hot = Z._hot_words(df.select(F.col("text").alias("t")))
+    assert Z.END in hot
+    rows = df.selectExpr("doc_id AS k0", "true AS train", "text AS t")
+    by = Z._blocks(rows, 1, 16, hot, 2).where("kind = 0").groupBy("bucket").agg(F.sum(F.length("docs")).alias("n")).collect()
+    n = sorted(r["n"] for r in by)
+    assert len(n) == 16 and n[-1] <= 2 * n[8]
 
 
 def test_odd_rows(odd, odd_clash, no_docs):
@@ -102,6 +142,7 @@ def test_odd_rows(odd, odd_clash, no_docs):
     train = F.col("doc_id") % 2 == 1
     learn = lambda k: k is not None and k % 2 == 1
     check(Z.score(odd, ["doc_id"], train).collect(), docs, learn)
+    check(Z.score(odd, ["doc_id"], train, order=3).collect(), docs, learn, 3)
     check(Z.score(odd_clash, ["doc_id"], train).collect(), docs, learn)
     assert Z.score(no_docs, ["doc_id"], train).count() == 0
 
@@ -139,13 +180,11 @@ def test_nothing_to_learn_from(odd):
 
 
 def test_references_reach_beyond_65536_blocks():
-    one = {"bucket": 0, "words": np.array([5], np.uint64).tobytes(), "contexts": Z._pack48(np.array([7], np.uint64)),
-           "pairs": Z._pack(np.ones(1, np.uint32)), "times": Z._pack(np.ones(1, np.uint32)),
+    one = {"bucket": 0, "words": np.array([5], np.uint64).tobytes(), "contexts": [Z._pack48(np.array([7], np.uint64))],
+           "pairs": [Z._pack(np.ones(1, np.uint32))], "times": Z._pack(np.ones(1, np.uint32)),
            "docs": Z._pack(np.zeros(1, np.uint16)), "train": Z._pack(np.ones(1, bool))}
     none = np.zeros(0, np.uint64)
     merged = Z._merge([{**one, "block": b} for b in range(65_537)], none)
     names = [x.strip().split(" ")[0] for x in Z._MERGED.split(",")]
-    zero = [0] * (Z.K + 1)
-    u = Z.Unigrams({"hot": [], "unigrams": zero, "bigrams": zero, "tokens": 0, "vocabulary": 0}, none)
-    refs = Z._bucket(dict(zip(names, merged, strict=True)), u)[-1]
+    refs = Z._refs(dict(zip(names, merged, strict=True)))[1]
     assert sorted((refs >> 16).tolist()) == list(range(65_537))
