@@ -37,6 +37,7 @@ from __future__ import annotations
 import gc
 import time
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -85,6 +86,33 @@ def _open48(b: bytes) -> np.ndarray:
     return out.reshape(-1).view(np.uint64)
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """Integers byte by byte: each byte's few values compress apart from the others."""
+    return _pack(np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T)
+
+
+def _open_planes(b: bytes, kind) -> np.ndarray:
+    planes = _open(b, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+
+
+def _pack_words(v: np.ndarray) -> bytes:
+    """48-bit words as places in their sorted distinct values."""
+    own, place = np.unique(v, return_inverse=True)
+    table = _pack48(own)
+    return len(table).to_bytes(4, "little") + table + _planes(place.astype(_place_kind(own)))
+
+
+def _open_words(b: bytes) -> np.ndarray:
+    n = int.from_bytes(b[:4], "little") + 4
+    own = _open48(b[4:n])
+    return own[_open_planes(b[n:], _place_kind(own))]
+
+
+def _place_kind(own: np.ndarray) -> type:
+    return np.uint16 if len(own) <= 1 << 16 else np.uint32
+
+
 def _starts(x: np.ndarray) -> np.ndarray:
     """Where runs of equal values begin."""
     return np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else np.zeros(0, np.int64)
@@ -102,7 +130,7 @@ def _deal(x: np.ndarray, bits: int, buckets: int) -> np.ndarray:
 
 
 def _tokens(w: W.Words, order: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    """Word, contexts of 1 .. order - 1 words and document of every token, ends included."""
+    """Word, the order - 1 words before it (the last one first) and document of every token, ends included."""
     sizes = w.counts + 1
     last = np.cumsum(sizes) - 1
     word = np.empty(int(sizes.sum()), np.uint64)
@@ -116,10 +144,18 @@ def _tokens(w: W.Words, order: int) -> tuple[np.ndarray, list[np.ndarray], np.nd
         before = np.full(len(word), BEGIN)
         before[k:] = word[:-k]
         before[place < k] = BEGIN
-        contexts.append((W.mix(contexts[-1] * W.STEP + before) if contexts else before) & _48)
+        contexts.append(before & _48)
     return word, contexts, np.repeat(np.arange(len(sizes)), sizes)
 
 
+def _chain(words: list[np.ndarray]) -> list[np.ndarray]:
+    """Keys of contexts of 1, 2, ... words (the last word first)."""
+    keys = words[:1]
+    for w in words[1:]:
+        keys = [*keys, W.mix(keys[-1] * W.STEP + w) & _48]
+    return keys
+
+
 def _levels(word: np.ndarray, contexts: list[np.ndarray]) -> list[np.ndarray]:
     """Where the nodes of each level of the trie begin: words, then words with ever longer contexts (sorted input)."""
     new = np.r_[True, word[1:] != word[:-1]] if len(word) else np.zeros(0, bool)
@@ -135,7 +171,7 @@ def _fold(word: np.ndarray, contexts: list[np.ndarray], starts: list[np.ndarray]
     """Columns of the trie: words, and for each level the children per node above and their contexts."""
     children = [np.diff(np.r_[np.searchsorted(low, high), len(low)]) for high, low in zip(starts, starts[1:], strict=False)]
     return (word[starts[0]].tobytes(), [_pack(n.astype(np.uint32)) for n in children],
-            [_pack48(h[at]) for h, at in zip(contexts, starts[1:], strict=True)])
+            [_pack_words(h[at]) for h, at in zip(contexts, starts[1:], strict=True)])
 
 
 def _unfold(r: dict) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -143,7 +179,7 @@ def _unfold(r: dict) -> tuple[np.ndarray, list[np.ndarray]]:
     word, contexts = np.frombuffer(r["words"], np.uint64), []
     for children, h in zip(r["pairs"], r["contexts"], strict=True):
         n = _open(children, np.uint32)
-        word, contexts = np.repeat(word, n), [*(np.repeat(x, n) for x in contexts), _open48(h)]
+        word, contexts = np.repeat(word, n), [*(np.repeat(x, n) for x in contexts), _open_words(h)]
     return word, contexts
 
 
@@ -167,13 +203,16 @@ def _hot_words(rows: DataFrame) -> np.ndarray:
 
     parts = rows.select("t").mapInArrow(run, "word long, n long, total long").groupBy("word").agg(
         F.sum("n").alias("n"), F.sum("total").alias("total"))
+    parts = stored(parts, "frequent")
     total = parts.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
     found = parts.where(F.col("n") > HOT_SHARE * int(total)).select("word").collect()
     return np.sort(np.array([r["word"] for r in found], np.int64).view(np.uint64))
 
 
-def _blocks(rows: DataFrame, keys: int, buckets: int, hot: np.ndarray, order: int) -> DataFrame:
-    """Each block's n-grams by bucket (kind 0) and its documents (kind 1)."""
+def _blocks(rows: DataFrame, keys: int, buckets: int, hot: np.ndarray, order: int, first: int = 0,
+            end: int | None = None) -> DataFrame:
+    """Each block's n-grams by bucket (kind 0) and its documents (kind 1), for the buckets from ``first`` to before ``end``."""
+    end = buckets if end is None else end
     doc = T.StructType(rows.schema.fields[:keys])
     schema = T.StructType([*T._parse_datatype_string(_SENT).fields, T.StructField("keys", T.ArrayType(doc)),
                            T.StructField("sizes", T.ArrayType(T.LongType()))])
@@ -192,17 +231,22 @@ def _blocks(rows: DataFrame, keys: int, buckets: int, hot: np.ndarray, order: in
             if len(hot):
                 spread = hot[np.minimum(np.searchsorted(hot, word), len(hot) - 1)] == word
                 bucket[spread] = _deal(W.mix(contexts[0][spread]), 64, buckets)
+            flags = _pack(train)
+            if first > 0 or end < buckets:
+                own = (bucket >= first) & (bucket < end)
+                word, contexts, docs, bucket = word[own], [h[own] for h in contexts], docs[own], bucket[own]
             sort = np.lexsort((*contexts[::-1], word, bucket))
             word, contexts, docs, bucket = word[sort], [h[sort] for h in contexts], docs[sort].astype(np.uint16), bucket[sort]
             gram = _levels(bucket, [word, *contexts])[-1]
             times = np.diff(np.r_[gram, len(word)])
-            flags = _pack(train)
             for a, b in _runs(bucket[gram]):
                 at = gram[a:b]
                 own, above = word[at], [h[at] for h in contexts]
                 lo, hi = gram[a], gram[b] if b < len(gram) else len(word)
                 yield row(0, int(bucket[lo]), block, flags, *_fold(own, above, _levels(own, above)),
-                          _pack(times[a:b].astype(np.uint32)), _pack(docs[lo:hi]), None, None)
+                          _pack(times[a:b].astype(np.uint32)), _planes(docs[lo:hi]), None, None)
+            if not first <= block % buckets < end:
+                return
             of = pa.StructArray.from_arrays([table.column(i).chunk(0) for i in range(keys)], names=table.column_names[:keys])
             yield row(1, block % buckets, block, flags, None, None, None, None, None, of, (w.counts + 1).tolist())
 
@@ -259,7 +303,7 @@ def _merge(rows: list[dict], hot: np.ndarray) -> tuple:
     word, context, times, count, refs = [], [], [], [], []
     for k, r in enumerate(rows):
         t = _open(r["times"], np.uint32).astype(np.int64)
-        docs = _open(r["docs"], np.uint16).astype(np.int64)
+        docs = _open_planes(r["docs"], np.uint16).astype(np.int64)
         own, above = _unfold(r)
         word.append(own)
         context.append(above)
@@ -283,7 +327,7 @@ def _merge(rows: list[dict], hot: np.ndarray) -> tuple:
     own = unigram[~is_hot]
     grams = [n for s in starts[1:] for n in _of_counts(np.add.reduceat(c, s))]
     return (0, rows[0]["bucket"], [r["block"] for r in rows], *_fold(w, above, starts), _pack(c.astype(np.uint32)),
-            _pack(t.astype(np.uint32)), _pack(ref.astype(_ref_kind(rows))), at_hot.tolist(), _of_counts(own), grams,
+            _pack(t.astype(np.uint32)), _planes(ref.astype(_ref_kind(rows))), at_hot.tolist(), _of_counts(own), grams,
             int(c.sum()), int((own > 0).sum()))
 
 
@@ -311,12 +355,6 @@ class Weights:
         sort = np.argsort(context, kind="stable")
         self.context, self.alpha, self.count = context[sort], alpha[sort], count[sort]
 
-    @staticmethod
-    def of(context: np.ndarray, kept: np.ndarray, mass: np.ndarray, count: np.ndarray) -> Weights:
-        """From the discounted counts, lower-order probabilities and counts of all successors."""
-        alpha = np.maximum(1 - kept / np.maximum(count, 1), 1e-12) / np.maximum(1 - mass, 1e-12)
-        return Weights(context, np.log10(alpha), count)
-
     def find(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Whether each context is known, its weight (else 0, the logarithm of 1) and its count (else 1)."""
         if not len(self.context):
@@ -326,6 +364,11 @@ class Weights:
         return known, np.where(known, self.alpha[at], 0.0), np.where(known, self.count[at], 1)
 
 
+def _log_alpha(kept: np.ndarray, mass: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Weights from the discounted counts, lower-order probabilities and counts of all successors."""
+    return np.log10(np.maximum(1 - kept / np.maximum(count, 1), 1e-12) / np.maximum(1 - mass, 1e-12))
+
+
 class Unigrams:
     """Counts and discounts that every task needs."""
 
@@ -369,7 +412,7 @@ class Bucket:
         self.seen = sum((n > 0 for n in self.count[1:]), np.zeros(len(c), np.int64))
 
     def sums(self, k: int, u: Unigrams) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
-        """Of contexts of k words: contexts of 1 .. k words, discounted counts, lower orders' share and counts of successors here.
+        """Of contexts of k words: their words, discounted counts, lower orders' share and counts of successors here.
 
         That share is a probability for k = 1, else a discounted count: the count of the shorter context divides it later.
         """
@@ -391,11 +434,11 @@ class Bucket:
 
 def _refs(r: dict) -> tuple[np.ndarray, np.ndarray]:
     """Occurrences per n-gram and the document of each."""
-    return _open(r["times"], np.uint32).astype(np.int64), _open(r["refs"], _ref_kind(r["blocks"])).astype(np.int64)
+    return _open(r["times"], np.uint32).astype(np.int64), _open_planes(r["refs"], _ref_kind(r["blocks"])).astype(np.int64)
 
 
 _TO_CONTEXT = ("bucket int, kind int, blocks array<long>, contexts array<binary>, seen binary, kept binary, count binary, refs binary")
-_PARTS = "kind int, block long, docs binary, score binary, base binary, known binary, contexts binary, alpha binary, count binary"
+_PARTS = "kind int, block long, docs binary, score binary, base binary, known binary, contexts array<binary>, alpha binary, count binary"
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
@@ -407,11 +450,11 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
 
 
 def _home(contexts: list[np.ndarray], u: Unigrams, buckets: int) -> np.ndarray:
-    """Bucket of contexts (of 1, 2, ... words): by the last word, by the last two where that one is hot."""
+    """Bucket of contexts: by the last word, by the last two where that one is hot."""
     to = _deal(contexts[0], 48, buckets)
     if len(contexts) > 1:
         hot, _, _ = u.hot_contexts.find(contexts[0])
-        to[hot] = _deal(contexts[1][hot], 48, buckets)
+        to[hot] = _deal(_chain(contexts[:2])[1][hot], 48, buckets)
     return to
 
 
@@ -425,7 +468,7 @@ def _to_contexts(r: dict, u: Unigrams, buckets: int) -> Iterator[tuple]:
         to = to[sort]
         for lo, hi in _runs(to):
             at = sort[lo:hi]
-            yield (int(to[lo]), k, None, [_pack48(h[at]) for h in above[-2:]], _pack(mass[at]), _pack(kept[at]),
+            yield (int(to[lo]), k, None, [_pack_words(h[at]) for h in above], _pack(mass[at]), _pack(kept[at]),
                    _pack(count[at]), None)
     times, refs = _refs(r)
     lost = b.seen < len(b.contexts)
@@ -442,8 +485,8 @@ def _to_contexts(r: dict, u: Unigrams, buckets: int) -> Iterator[tuple]:
         at = sort[lo:hi]
         used, number = np.unique(refs[at] >> 16, return_inverse=True)
         blocks = [r["blocks"][i] for i in used.tolist()]
-        yield (int(to[lo]), 0, blocks, [_pack48(h[at]) for h in above], _pack(seen[at].astype(np.uint8)), None, None,
-               _pack(((number << 16) + (refs[at] & 0xFFFF)).astype(_ref_kind(blocks))))
+        yield (int(to[lo]), 0, blocks, [_pack_words(h[at]) for h in above], _pack(seen[at].astype(np.uint8)), None, None,
+               _planes(((number << 16) + (refs[at] & 0xFFFF)).astype(_ref_kind(blocks))))
 
 
 def _per_block(blocks: list[int], refs: np.ndarray, *values: np.ndarray) -> Iterator[tuple]:
@@ -459,16 +502,19 @@ def _weigh(rows: list[dict], u: Unigrams) -> Iterator[tuple]:
     tables: list[Weights] = []
     for k in range(1, len(u.of_grams) + 1):
         sums = [r for r in rows if r["kind"] == k]
-        h = np.concatenate([_open48(r["contexts"][-1]) for r in sums]) if sums else np.zeros(0, np.uint64)
-        sort = np.argsort(h, kind="stable")
-        head = _starts(h[sort])
+        words = [np.concatenate([_open_words(r["contexts"][i]) for r in sums]) if sums else np.zeros(0, np.uint64) for i in range(k)]
+        sort = np.lexsort(words[::-1])
+        words = [w[sort] for w in words]
+        head = _levels(words[0], words[1:])[-1]
         mass, kept, count = (np.add.reduceat(np.concatenate([_open(r[n], t) for r in sums])[sort], head) if sums else np.zeros(0, t)
                              for n, t in (("seen", float), ("kept", float), ("count", np.int64)))
-        if k > 1 and sums:
-            shorter = np.concatenate([_open48(r["contexts"][0]) for r in sums])[sort][head]
-            mass = mass / _with_hot(tables, k - 1, shorter, u)[1]
-        tables.append(Weights.of(h[sort][head], kept, mass, count))
-        yield (k, None, None, None, None, None, _pack48(tables[-1].context), _pack(tables[-1].alpha), _pack(tables[-1].count))
+        words = [w[head] for w in words]
+        keys = _chain(words)
+        if k > 1:
+            mass = mass / _with_hot(tables, k - 1, keys[-2], u)[1]
+        alpha = _log_alpha(kept, mass, count)
+        tables.append(Weights(keys[-1], alpha, count))
+        yield (k, None, None, None, None, None, [_pack_words(w) for w in words], _pack(alpha), _pack(count))
     lost = [r for r in rows if r["kind"] == 0]
     if not lost:
         return
@@ -476,11 +522,12 @@ def _weigh(rows: list[dict], u: Unigrams) -> Iterator[tuple]:
     blocks = np.unique(np.concatenate([r["blocks"] for r in lost]))
     refs = []
     for r in lost:      # one row per block: number the blocks of all senders alike
-        ref = _open(r["refs"], _ref_kind(r["blocks"])).astype(np.int64)
+        ref = _open_planes(r["refs"], _ref_kind(r["blocks"])).astype(np.int64)
         refs.append((np.searchsorted(blocks, r["blocks"])[ref >> 16] << 16) + (ref & 0xFFFF))
     add = np.zeros(len(seen))
-    for k in range(1, len(tables) + 1):
-        alpha, count = _with_hot(tables, k, np.concatenate([_open48(r["contexts"][k - 1]) for r in lost]), u)
+    keys = _chain([np.concatenate([_open_words(r["contexts"][i]) for r in lost]) for i in range(len(tables))])
+    for k, key in enumerate(keys, 1):
+        alpha, count = _with_hot(tables, k, key, u)
         add += np.where(seen < k, alpha, 0.0) - np.where(seen == k, np.log10(count), 0.0)
     # the longest context's count was already divided by
     add += np.log10(count)
@@ -532,7 +579,7 @@ def _hot_contexts(merged: DataFrame, u: Unigrams) -> Weights:
     found = merged.select("words", "pairs", "contexts", "counts").mapInArrow(run, "h long, kept double, mass double, n long").groupBy(
         "h").agg(F.sum("kept").alias("kept"), F.sum("mass").alias("mass"), F.sum("n").alias("n")).collect()
     h, kept, mass, n = (np.array([r[k] for r in found], t) for k, t in (("h", np.int64), ("kept", float), ("mass", float), ("n", np.int64)))
-    return Weights.of(h.view(np.uint64), kept, mass, n)
+    return Weights(h.view(np.uint64), _log_alpha(kept, mass, n), n)
 
 
 def _total(rows: list[dict], begun: int) -> tuple:
@@ -558,10 +605,12 @@ def _forget(spark: SparkSession) -> None:
         time.sleep(0.5)
 
 
-def score(df: DataFrame, keys: list[str], train, text: str = "text", order: int = 2) -> DataFrame:
+def score(df: DataFrame, keys: list[str], train, text: str = "text", order: int = 2, passes: int = 1) -> DataFrame:
     """Per row: keys, n_tokens, n_known, train_tokens, base_score, score; learns from rows where ``train`` is true.
 
-    ``order``: words of the longest n-gram, 2 or more.
+    ``order``: words of the longest n-gram, 2 or more.  ``passes``: n-grams are counted
+    for that many ranges of buckets one after the other, so that only one range's exchange is on
+    disk; more than one pass needs a ``df`` that gives the same rows in the same order each time, as files do.
     """
     if order < 2:
         raise ValueError("order has to be 2 or more")
@@ -586,15 +635,19 @@ def score(df: DataFrame, keys: list[str], train, text: str = "text", order: int
         return pa.RecordBatch.from_arrays([*batch.columns, own, pa.array([home and home["sizes"]], pa.list_(pa.int64()))],
                                           names=schema.fieldNames())
 
-    sent = _blocks(rows, n_keys, buckets, hot, order)
     arrow = [to_arrow_type(f.dataType) for f in rows.schema.fields[:n_keys]]
-    schema = T.StructType([*T._parse_datatype_string(_MERGED).fields, *sent.schema.fields[-2:]])
-    table = stored(sent.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(merge, schema),
-                   "counts", ("kind",))
+    schema = T.StructType([*T._parse_datatype_string(_MERGED).fields, T.StructField("keys", T.ArrayType(T.StructType(
+        rows.schema.fields[:n_keys]))), T.StructField("sizes", T.ArrayType(T.LongType()))])
+    tables = []
+    for p in range(passes):
+        sent = _blocks(rows, n_keys, buckets, hot, order, p * buckets // passes, (p + 1) * buckets // passes)
+        tables.append(stored(sent.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(merge, schema),
+                             "counts", ("kind",)))
+        del sent
+        _forget(spark)
+    table = reduce(DataFrame.unionAll, tables)
     merged = table.where("kind = 0")
     homes = table.where("kind = 1").select(F.get("blocks", F.lit(0)).alias("block"), "keys", "sizes")
-    del sent
-    _forget(spark)
     total = lambda name, size: [F.coalesce(F.sum(F.get(name, F.lit(i))), F.lit(0)).alias(f"{name}{i}") for i in range(size)]
     got = merged.agg(*total("hot", len(hot)), *total("unigrams", K + 1), *total("grams", (order - 1) * (K + 1)),
                      F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("vocabulary"), F.lit(0)).alias("vocabulary")).first()
@@ -622,6 +675,7 @@ def score(df: DataFrame, keys: list[str], train, text: str = "text", order: int
 
     weights = stored(merged.mapInArrow(to_contexts, _TO_CONTEXT).repartition(buckets // 2, "bucket")
                      .sortWithinPartitions("bucket").mapInArrow(weigh, _PARTS), "weights", ("kind",))
+    _forget(spark)
     parts = merged.mapInArrow(tokens, _PARTS).unionByName(weights.where("kind = 0")).select("block", "docs", "score", "base", "known")
     names = [*[f"k{i}" for i in range(n_keys)], "n_tokens", "n_known", "base_score", "score"]
 

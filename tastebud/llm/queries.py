@@ -44,7 +44,7 @@ def op1_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and model score of every document; rows without an id are neither held out nor learned from."""
     docs = _table(spark, sf_dir, "documents").select(
         "doc_id", "text", F.coalesce(_fold(7, 2), F.lit(False)).alias("held_out"), (~_fold(7, 2)).alias("learn"))
-    return katz.score(docs, ["doc_id", "held_out"], F.col("learn"), order=3)
+    return katz.score(docs, ["doc_id", "held_out"], F.col("learn"), order=3, passes=4)
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -126,6 +126,23 @@ def test_small_blocks_and_hot_words(spark, monkeypatch, block_tokens, order):
     m.sums_to_one(m.context)
 
 
+def test_passes(spark, docs):
+    some = docs.where("doc_id % 3 = 1").select("doc_id", "text")
+    train = F.col("doc_id") % 7 != 2
+    one, many = ({r["doc_id"]: r for r in Z.score(some, ["doc_id"], train, order=3, passes=n).collect()} for n in (1, 5))
+    assert one.keys() == many.keys() and one
+    for k, r in one.items():
+        assert r["n_known"] == many[k]["n_known"] and math.isclose(r["score"], many[k]["score"], rel_tol=1e-9)
+
+
+def test_words_and_integers_pack_to_themselves():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 1000, 200_000):
+        v = rng.integers(0, 1 << 48, max(1, n // 2), dtype=np.uint64)[rng.integers(0, max(1, n // 2), n)]
+        assert (Z._open_words(Z._pack_words(v)) == v).all()
+        assert (Z._open_planes(Z._planes(v.astype(np.uint32)), np.uint32) == v.astype(np.uint32)).all()
+
+
 def test_ends_and_their_contexts_are_dealt(spark):
     """Two-word texts: a third of the tokens are ends, a third follow the text's beginning."""
     df = spark.range(20_000).selectExpr("id AS doc_id", "concat('a', id % 5000, ' b', id % 7001) AS text")
@@ -180,9 +197,9 @@ def test_nothing_to_learn_from(odd):
 
 
 def test_references_reach_beyond_65536_blocks():
-    one = {"bucket": 0, "words": np.array([5], np.uint64).tobytes(), "contexts": [Z._pack48(np.array([7], np.uint64))],
+    one = {"bucket": 0, "words": np.array([5], np.uint64).tobytes(), "contexts": [Z._pack_words(np.array([7], np.uint64))],
            "pairs": [Z._pack(np.ones(1, np.uint32))], "times": Z._pack(np.ones(1, np.uint32)),
-           "docs": Z._pack(np.zeros(1, np.uint16)), "train": Z._pack(np.ones(1, bool))}
+           "docs": Z._planes(np.zeros(1, np.uint16)), "train": Z._pack(np.ones(1, bool))}
     none = np.zeros(0, np.uint64)
     merged = Z._merge([{**one, "block": b} for b in range(65_537)], none)
     names = [x.strip().split(" ")[0] for x in Z._MERGED.split(",")]
