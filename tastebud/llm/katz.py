@@ -56,6 +56,8 @@ FLOOR = 1e-4
 BLOCK_TOKENS = 2_000_000
 BLOCK_DOCS = 50_000
 HOT_SHARE = 0.01
+#: Training tokens for each bucket of contexts, up to half as many of these as there are buckets of words.
+HOME_TOKENS = 1_000_000
 END = np.uint64(0xE17A1465_0B5E9A1D)
 BEGIN = np.uint64(0x6A09E667F3BCC908)
 _48 = np.uint64((1 << 48) - 1)
@@ -656,11 +658,12 @@ def score(df: DataFrame, keys: list[str], train, text: str = "text", order: int
     begun = rows.where("train").count()
     u = Unigrams(stats, hot)
     u.hot_contexts = _hot_contexts(merged, u)
+    n_homes = max(1, min(buckets // 2, -(-int(u.tokens) // HOME_TOKENS)))
 
     def to_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                for out in _to_contexts(r, u, buckets // 2):
+                for out in _to_contexts(r, u, n_homes):
                     yield _batch([out], _TO_CONTEXT)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -673,7 +676,7 @@ def score(df: DataFrame, keys: list[str], train, text: str = "text", order: int
             for r in batch.to_pylist():
                 yield _batch(list(_score(r, u)), _PARTS)
 
-    weights = stored(merged.mapInArrow(to_contexts, _TO_CONTEXT).repartition(buckets // 2, "bucket")
+    weights = stored(merged.mapInArrow(to_contexts, _TO_CONTEXT).repartition(n_homes, "bucket")
                      .sortWithinPartitions("bucket").mapInArrow(weigh, _PARTS), "weights", ("kind",))
     _forget(spark)
     parts = merged.mapInArrow(tokens, _PARTS).unionByName(weights.where("kind = 0")).select("block", "docs", "score", "base", "known")

@@ -119,6 +119,7 @@ def test_longer_order(spark, docs, order=3):
 @pytest.mark.parametrize(("block_tokens", "order"), [(3, 2), (10 ** 6, 2), (3, 3), (3, 4)])
 def test_small_blocks_and_hot_words(spark, monkeypatch, block_tokens, order):
     monkeypatch.setattr(Z, "BLOCK_TOKENS", block_tokens)
+    monkeypatch.setattr(Z, "HOME_TOKENS", 7)
     texts = ["a b a b c", "A B", "a a a a a a a b", None, "", "d e f a b c", "x y z", "a b c d e f"] * 3
     docs = list(enumerate(texts))
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
