@@ -111,3 +111,30 @@ def test_draws_are_not_broadcast(spark, monkeypatch):
     seen[1].collect()
     plan = seen[1]._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "SortMergeJoin [_idx" in plan and "BroadcastHashJoin [_idx" not in plan
+
+
+@pytest.mark.parametrize("block", [4, 2048])
+def test_neighbor_sums_against_brute_force(spark, block):
+    """Cells of unknown groups and members give no sum; a cell's own member isn't its partner."""
+    rows = _rows(users=12, items=15)
+    h, ss = _histories(rows), defaultdict(float)
+    dot = defaultdict(float)
+    for own in h.values():
+        for i, a in own.items():
+            ss[i] += a * a
+            for j, b in own.items():
+                if i != j:
+                    dot[i, j] += a * b
+    s = {(i, j): d / (math.sqrt(ss[i]) * math.sqrt(ss[j])) for (i, j), d in dot.items()}
+    cells = [(u, i) for u in range(13) for i in (*range(0, 15, 2), 2**35)]
+    weight = {i: i % 4 + 0.5 for i in ss}
+    got = S.neighbor_sums(_df(spark, rows), spark.createDataFrame(cells, "user_id long, item_id long"), "user_id", "item_id", "rating",
+                          spark.createDataFrame(list(weight.items()), "item_id long, x double"), block).collect()
+    sums = {(r.user_id, r.item_id): r.sum for r in got if r.user_id is not None and r.sum is not None}
+    want = {(u, i): sum(v * s[i, j] for j, v in h[u].items() if (i, j) in s) for u, i in cells
+            if u in h and any((i, j) in s for j in h[u])}
+    assert sums.keys() == want.keys() and all(abs(sums[k] - want[k]) < 1e-9 for k in want)
+    per = {r.item_id: (r.row, r.row_x) for r in got if r.user_id is None}
+    for i in ss:
+        want_row = [sum(w * f for (a, _), w, f in ((k, w, 1 if not x else weight[k[1]]) for k, w in s.items()) if a == i) for x in (0, 1)]
+        assert all(abs(a - b) < 1e-9 for a, b in zip(per[i], want_row, strict=True))
