@@ -324,3 +324,30 @@ def test_sketches_of_parts_unite(spark):
     assert abs(got["user_id"] - 50_000) < 1000 and got["item_id"] == 7 and got["n_rows"] == 200_000
     near = A.distinct_counts(df, approximate=True).first()
     assert abs(near["n_users"] - 50_000) < 1000 and near["n_ratings"] == 200_000
+
+
+def test_block_products_sum_as_spark_does(spark, monkeypatch):
+    """Blocks of 7 cells: a frequent key spans several; missing keys meet no factor, missing values and factors add nothing."""
+    import random
+    from collections import defaultdict
+
+    monkeypatch.setattr(M, "BLOCK_CELLS", 7)
+    rnd = random.Random(3)
+    cells = [(f"u{rnd.randint(0, 20)}", 1 if rnd.random() < 0.4 else rnd.randint(0, 30), float(rnd.randint(1, 5))) for _ in range(150)]
+    cells += [(None, 1, 2.0), ("u1", None, 3.0), ("only", 5, None), ("nothing", 77, 1.0)]
+    factors = [(i, i + 0.5, None if i == 2 else -float(i)) for i in range(31)] + [(None, 9.0, 9.0)]
+    blocks = M._Blocks(spark.createDataFrame(cells, "user_id string, item_id long, v double"), "item_id", "user_id")
+    assert blocks.parts > 8 and blocks.places.where("item_id = 1").count() > 1
+    got = {r["user_id"]: (r["y0"], r["y1"]) for r in blocks.times(
+        spark.createDataFrame(factors, "item_id long, f0 double, f1 double"), ["f0", "f1"], "y").collect()}
+    blocks.close()
+    want = defaultdict(lambda: [None, None])
+    for u, i, v in cells:
+        for row in (f for f in factors if i is not None and f[0] == i):
+            own = want[u]
+            for k in (0, 1):
+                if v is not None and row[k + 1] is not None:
+                    own[k] = (own[k] or 0.0) + v * row[k + 1]
+    assert got.keys() == want.keys()
+    for u, own in want.items():
+        assert all((a is None and b is None) or abs(a - b) < 1e-9 for a, b in zip(got[u], own, strict=True))
