@@ -351,3 +351,25 @@ def test_block_products_sum_as_spark_does(spark, monkeypatch):
     assert got.keys() == want.keys()
     for u, own in want.items():
         assert all((a is None and b is None) or abs(a - b) < 1e-9 for a, b in zip(got[u], own, strict=True))
+
+
+def test_personal_rank_ships_reached_nodes_only(spark, monkeypatch):
+    """A hub dealt over salts, a part of the graph that the root doesn't reach, an unknown root; ranks as by the plain loop."""
+    monkeypatch.setattr(G, "HUB_EDGES", 3)
+    pairs = [("A", x) for x in "abcdefgh"] + [("B", "a"), ("B", "b"), ("C", "h"), ("Y", "y"), ("Z", "y")]
+    edges = pairs + [(b, a) for a, b in pairs]
+    df = spark.createDataFrame(edges, "src string, dst string")
+    for root, restart in (("A", "per_edge"), ("C", "once"), ("unknown", "once"), ("unknown", "per_edge")):
+        got = {r["node"]: r["rank"] for r in G.personal_rank(df, root, rounds=7, restart=restart).collect()}
+        nodes = {x for e in edges for x in e}
+        boost = 0.2 * (sum(d == root for _, d in edges) if restart == "per_edge" else 1)
+        rank = {x: float(x == root) for x in nodes}
+        for _ in range(7):
+            new = dict.fromkeys(nodes, 0.0)
+            for s, d in edges:
+                new[d] += rank.get(s, 0.0) * 0.6 / sum(x == s for x, _ in edges)
+            if boost:
+                new[root] = new.get(root, 0.0) + boost
+            rank = new
+        assert got.keys() == rank.keys() and all(abs(got[x] - rank[x]) < 1e-12 for x in rank)
+    assert len(G.reached(G.adjacency(df)[0], G.adjacency(df)[1], "A", 0.0, 0.6, 4, 2).collect()) < len({x for e in edges for x in e})
