@@ -18,6 +18,7 @@ rows and ties each get their own slot; an empty table gives no pieces.
 from __future__ import annotations
 
 import bisect
+import json
 import zlib
 from collections.abc import Iterator
 from string import punctuation
@@ -34,6 +35,103 @@ from .tables import stored
 #: Entries of each of the two generations of a worker's word memo.
 MEMO_WORDS = 800_000
 
+#: Bytes of the longest word that ``Merges`` takes, and words that it takes at a time.
+MERGE_BYTES, MERGE_WORDS = 32, 8192
+
+
+class Merges:
+    """The tokenizer's own merges applied to many words at once; a word must be one pre-token.
+
+    Every round merges the lowest-ranked, leftmost pair of each word, as the tokenizer does word by word.
+    """
+
+    NONE = 1 << 25
+
+    def __init__(self, model: dict) -> None:
+        from tokenizers import pre_tokenizers
+
+        vocab = model["vocab"]
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        keys = np.array([vocab[a] << 32 | vocab[b] for a, b in merges], np.int64)
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.ranks = keys[order], order
+        self.made = np.array([vocab[a + b] for a, b in merges], np.int32)
+        #: Token of every byte that UTF-8 has in letters; -1 for others.
+        self.bytes = np.full(256, -1, np.int32)
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        for c in map(chr, range(0x250)):
+            spelled = level.pre_tokenize_str(c)[0][0]
+            for b, x in zip(c.encode(), spelled, strict=True):
+                self.bytes[b] = vocab.get(x, -1)
+
+    @classmethod
+    def of(cls, path: str) -> Merges | None:
+        """None where the model isn't a plain byte-level BPE."""
+        with open(path, encoding="utf-8") as f:
+            all_ = json.load(f)
+        model, plain = all_["model"], ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+        level = all_.get("pre_tokenizer") or {}
+        if model.get("type") != "BPE" or any(model.get(x) for x in plain) or all_.get("normalizer"):
+            return None
+        return cls(model) if level.get("type") == "ByteLevel" and not level.get("add_prefix_space") and level.get("use_regex", True) else None
+
+    def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of each pair, ``NONE`` without a merge; -1 is no token."""
+        pair = a.astype(np.int64) << 32 | b
+        at = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
+        return np.where((a >= 0) & (b >= 0) & (self.keys[at] == pair), self.ranks[at], self.NONE).astype(np.int32)
+
+    def _merge(self, ids: np.ndarray) -> np.ndarray:
+        """Tokens of words, a word in each column, -1 below its end."""
+        height, n = ids.shape
+        out, of = np.empty((height, n), np.int32), np.arange(n)
+        rank = np.full((height, n), self.NONE, np.int32)
+        rank[:-1] = self._rank(ids[:-1].ravel(), ids[1:].ravel()).reshape(height - 1, n)
+        places = np.arange(height, dtype=np.int32)[:, None]
+        while len(of):
+            first = ((rank << 5) + places).min(axis=0)
+            done = first >= self.NONE << 5
+            if done.any():
+                out[:, of[done]] = ids[:, done]
+                more = ~done
+                ids, rank, of, first = ids[:, more], rank[:, more], of[more], first[more]
+                if not len(of):
+                    break
+            at, which = first & 31, np.arange(len(of))
+            ids[at, which] = self.made[first >> 5]
+            for j in range(1, height - 1):
+                behind = j > at
+                ids[j] = np.where(behind, ids[j + 1], ids[j])
+                rank[j] = np.where(behind, rank[j + 1], rank[j])
+            ids[-1], rank[-1] = -1, self.NONE
+            rank[at, which] = self._rank(ids[at, which], ids[at + 1, which])
+            left = np.flatnonzero(at)
+            before = at[left] - 1
+            rank[before, left] = self._rank(ids[before, left], ids[before + 1, left])
+        return out
+
+    def tokens(self, words: list[str], space: bool) -> list[bytes]:
+        """Ids of each word, with a space before it if ``space``; words hold no space and at most ``MERGE_BYTES`` - 2 bytes."""
+        text = np.frombuffer((" " + " ".join(words) + " ").encode(), np.uint8)
+        starts = np.flatnonzero(text == 32).astype(np.int64)
+        size = np.diff(starts) - (not space)
+        starts = starts[:-1] + (not space)
+        order = np.argsort(size, kind="stable")
+        out: list[bytes] = [b""] * len(words)
+        for lo in range(0, len(words), MERGE_WORDS):
+            some = order[lo:lo + MERGE_WORDS]
+            places = np.arange(size[some[-1]] + 1)[:, None]
+            inside = places < size[some]
+            ids = np.where(inside, self.bytes[text[np.minimum(starts[some] + places, len(text) - 1)]], -1).astype(np.int32)
+            merged = np.ascontiguousarray(self._merge(ids).T)
+            real = merged >= 0
+            flat, ends = merged[real].astype("<u4").tobytes(), (4 * np.cumsum(real.sum(axis=1))).tolist()
+            at = 0
+            for k, end in zip(some.tolist(), ends, strict=True):
+                out[k] = flat[at:end]
+                at = end
+        return out
+
 
 class WordEncoder:
     """Token ids of whole texts, one tokenizer call per different word.
@@ -55,6 +153,7 @@ class WordEncoder:
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         (self.feed,) = self._ids(["\n"])[0]
+        self.merges = Merges.of(path)
         self.marks: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
@@ -84,6 +183,15 @@ class WordEncoder:
                     new.add(core)
             else:
                 new.add(w)
+        if self.merges and new:
+            # a word of letters is one pre-token
+            easy = [w for w in new if len(w) <= MERGE_BYTES // 2 - 1 and (w if w[0] != "\n" else w[1:]).isalpha() and max(w) < "\u0250"]
+            new.difference_update(easy)
+            headed = [w for w in easy if w[0] == "\n"]
+            spaced = [w for w in easy if w[0] != "\n"]
+            feed = self.feed.tobytes()
+            self.memo.update(zip(headed, (feed + x for x in self.merges.tokens([w[1:] for w in headed], False)), strict=True))
+            self.memo.update(zip(spaced, self.merges.tokens(spaced, True), strict=True))
         headed = [w for w in new if w[0] == "\n"]
         spaced = [w for w in new if w[0] != "\n"]
         self.memo.update(zip(headed, self._lines(headed), strict=True))

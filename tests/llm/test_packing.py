@@ -81,6 +81,21 @@ def test_word_memo_equals_whole_texts(tokenizer):
     assert P.WordEncoder(tokenizer_path()).encode(odd) == want
 
 
+def test_words_of_letters_are_merged_in_batches(tokenizer):
+    """Letter words take their ids from batched merges, the same as the tokenizer's; it sees the others only."""
+    rnd = random.Random(11)
+    letters = "aaabeehinorstABTéèüßñçłŐ"
+    words = ["a", "aaaa", "aaaaaaa", "ß", "the", "x" * 15, "x" * 16, "é" * 15, "é" * 40, "anaanaana"]
+    words += ["".join(rnd.choice(letters) for _ in range(rnd.randint(1, 20))) for _ in range(20_000)]
+    texts = [rnd.choice([" ", "\n"]).join(words[i:i + 50]) for i in range(0, len(words), 50)]
+    want = [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    encoder, asked = P.WordEncoder(tokenizer_path()), []
+    ids = encoder._ids
+    encoder._ids = lambda some: asked.extend(some) or ids(some)
+    assert encoder.encode(texts) == want
+    assert sum(len(x.split()) for x in asked) < len(set(words)) / 2 and not any(x.split()[:1] == ["anaanaana"] for x in asked)
+
+
 def test_added_tokens_are_what_the_plain_call_gives(spark, tokenizer):
     rows = [(1, "a <|endoftext|> b"), (2, "x<|endoftext|>"), (3, "<|endoftext|><|endoftext|>\nc d"), (4, "<|endo ftext|>")]
     got = P.pack(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"], tokenizer_path()).collect()
