@@ -131,8 +131,8 @@ def _deal(x: np.ndarray, bits: int, buckets: int) -> np.ndarray:
     return ((x >> np.uint64(bits - 31)) * np.uint64(buckets) >> np.uint64(31)).astype(np.int64)
 
 
-def _tokens(w: W.Words, order: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    """Word, the order - 1 words before it (the last one first) and document of every token, ends included."""
+def _tokens(w: W.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word and document of every token, ends included, and where each document begins."""
     sizes = w.counts + 1
     last = np.cumsum(sizes) - 1
     word = np.empty(int(sizes.sum()), np.uint64)
@@ -140,14 +140,12 @@ def _tokens(w: W.Words, order: int) -> tuple[np.ndarray, list[np.ndarray], np.nd
     inner[last] = False
     word[inner] = w.hashes
     word[last] = END
-    place = np.arange(len(word)) - np.repeat(last - w.counts, sizes)
-    contexts: list[np.ndarray] = []
-    for k in range(1, order):
-        before = np.full(len(word), BEGIN)
-        before[k:] = word[:-k]
-        before[place < k] = BEGIN
-        contexts.append(before & _48)
-    return word, contexts, np.repeat(np.arange(len(sizes)), sizes)
+    return word, np.repeat(np.arange(len(sizes)), sizes), last - w.counts
+
+
+def _context(word: np.ndarray, place: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+    """The k-th word before the tokens ``at``, each the ``place``-th of its document."""
+    return np.where(place < k, BEGIN, word[np.maximum(at - k, 0)]) & _48
 
 
 def _chain(words: list[np.ndarray]) -> list[np.ndarray]:
@@ -228,15 +226,17 @@ def _blocks(rows: DataFrame, keys: int, buckets: int, hot: np.ndarray, order: in
             table = pa.Table.from_batches([b for b, _ in held]).combine_chunks()
             train = np.array(table.column(keys).to_pylist(), bool)
             w = W.Words(np.concatenate([x.hashes for _, x in held]), np.concatenate([x.counts for _, x in held]))
-            word, contexts, docs = _tokens(w, order)
+            word, docs, begin = _tokens(w)
             bucket = _deal(word, 64, buckets)
             if len(hot):
-                spread = hot[np.minimum(np.searchsorted(hot, word), len(hot) - 1)] == word
-                bucket[spread] = _deal(W.mix(contexts[0][spread]), 64, buckets)
+                spread = np.flatnonzero(hot[np.minimum(np.searchsorted(hot, word), len(hot) - 1)] == word)
+                bucket[spread] = _deal(W.mix(_context(word, spread - begin[docs[spread]], spread, 1)), 64, buckets)
             flags = _pack(train)
-            if first > 0 or end < buckets:
-                own = (bucket >= first) & (bucket < end)
-                word, contexts, docs, bucket = word[own], [h[own] for h in contexts], docs[own], bucket[own]
+            # only this pass's tokens get their contexts
+            own = np.flatnonzero((bucket >= first) & (bucket < end))
+            docs, bucket = docs[own], bucket[own]
+            place = own - begin[docs]
+            word, contexts = word[own], [_context(word, place, own, k) for k in range(1, order)]
             sort = np.lexsort((*contexts[::-1], word, bucket))
             word, contexts, docs, bucket = word[sort], [h[sort] for h in contexts], docs[sort].astype(np.uint16), bucket[sort]
             gram = _levels(bucket, [word, *contexts])[-1]
@@ -471,7 +471,7 @@ def _to_contexts(r: dict, u: Unigrams, buckets: int) -> Iterator[tuple]:
         for lo, hi in _runs(to):
             at = sort[lo:hi]
             yield (int(to[lo]), k, None, [_pack_words(h[at]) for h in above], _pack(mass[at]), _pack(kept[at]),
-                   _pack(count[at]), None)
+                   _planes(count[at]), None)
     times, refs = _refs(r)
     lost = b.seen < len(b.contexts)
     if len(b.contexts) == 1:
@@ -508,15 +508,15 @@ def _weigh(rows: list[dict], u: Unigrams) -> Iterator[tuple]:
         sort = np.lexsort(words[::-1])
         words = [w[sort] for w in words]
         head = _levels(words[0], words[1:])[-1]
-        mass, kept, count = (np.add.reduceat(np.concatenate([_open(r[n], t) for r in sums])[sort], head) if sums else np.zeros(0, t)
-                             for n, t in (("seen", float), ("kept", float), ("count", np.int64)))
+        mass, kept, count = (np.add.reduceat(np.concatenate([read(r[n], t) for r in sums])[sort], head) if sums else np.zeros(0, t)
+                             for n, t, read in (("seen", float, _open), ("kept", float, _open), ("count", np.int64, _open_planes)))
         words = [w[head] for w in words]
         keys = _chain(words)
         if k > 1:
             mass = mass / _with_hot(tables, k - 1, keys[-2], u)[1]
         alpha = _log_alpha(kept, mass, count)
         tables.append(Weights(keys[-1], alpha, count))
-        yield (k, None, None, None, None, None, [_pack_words(w) for w in words], _pack(alpha), _pack(count))
+        yield (k, None, None, None, None, None, [_pack_words(w) for w in words], _pack(alpha), _planes(count))
     lost = [r for r in rows if r["kind"] == 0]
     if not lost:
         return

@@ -49,15 +49,36 @@ def _byte_codes() -> np.ndarray:
 
 CODES = _byte_codes()
 STEP = np.uint64(0xD1342543DE82EF95)
-_POWERS = np.multiply.accumulate(np.r_[np.uint64(1), np.full(255, STEP, dtype=np.uint64)])
+#: STEP is odd, so it has an inverse modulo 2**64.
+_BACK = np.uint64(pow(int(STEP), -1, 1 << 64))
+#: Bytes after which the powers begin anew (unless a word goes on).
+STRETCH = 1 << 16
+_POWERS = np.multiply.accumulate(np.r_[np.uint64(1), np.full(STRETCH - 1, STEP, dtype=np.uint64)])
+_INVERSES = np.multiply.accumulate(np.r_[np.uint64(1), np.full(STRETCH - 1, _BACK, dtype=np.uint64)])
 
 
-def _powers(n: int) -> np.ndarray:
-    global _POWERS
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of STEP and of its inverse, ``n`` at least."""
+    global _POWERS, _INVERSES
     if n > len(_POWERS):
         size = 1 << int(n - 1).bit_length()
-        _POWERS = np.multiply.accumulate(np.r_[np.uint64(1), np.full(size - 1, STEP, dtype=np.uint64)])
-    return _POWERS
+        _POWERS, _INVERSES = (np.multiply.accumulate(np.r_[np.uint64(1), np.full(size - 1, x, dtype=np.uint64)]) for x in (STEP, _BACK))
+    return _POWERS, _INVERSES
+
+
+def _hashes(seg: np.ndarray, codes: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Hash of each word of a segment: sum of its bytes' codes by place, with powers counted from the stretch's first byte."""
+    out = np.empty(len(begin), np.uint64)
+    a = 0
+    while a < len(begin):
+        b = max(a + 1, int(np.searchsorted(begin, begin[a] + STRETCH)))
+        lo, hi = int(begin[a]), int(begin[b - 1] + sizes[b - 1])
+        power, inverse = _powers(hi - lo)
+        at = begin[a:b] - lo
+        # other bytes have code 0
+        out[a:b] = np.add.reduceat(codes[seg[lo:hi]] * power[:hi - lo], at) * inverse[at]
+        a = b
+    return _splitmix(out + sizes.astype(np.uint64))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -106,6 +127,7 @@ def words(raw: np.ndarray, off: np.ndarray, word: np.ndarray) -> Words:
     """Hash every word of every document; A-Z hash as a-z."""
     n_docs = len(off) - 1
     starts_at, hashes = [], []
+    codes = np.where(word, CODES, np.uint64(0))
     for lo, hi in _segments(raw, word):
         seg = raw[lo:hi]
         is_word = word[seg]
@@ -116,15 +138,13 @@ def words(raw: np.ndarray, off: np.ndarray, word: np.ndarray) -> Words:
             raise AssertionError("a segment begins inside a word")
         inside = off[np.searchsorted(off, lo):np.searchsorted(off, hi)]
         before[inside - lo] = False
-        begin = np.flatnonzero(is_word & ~before)
+        starts = is_word & ~before
+        begin = np.flatnonzero(starts)
         if not len(begin):
             continue
-        at = np.flatnonzero(is_word)                      # word bytes only
-        first = np.searchsorted(at, begin)                # index of each word's first byte in `at`
-        sizes = np.diff(np.r_[first, len(at)])
-        place = np.arange(len(at)) - np.repeat(first, sizes)
-        value = CODES[seg[at]] * _powers(int(sizes.max()))[place]
-        hashes.append(_splitmix(np.add.reduceat(value, first) + sizes.astype(np.uint64)))
+        ends = is_word.copy()
+        ends[:-1] &= ~is_word[1:] | starts[1:]
+        hashes.append(_hashes(seg, codes, begin, np.flatnonzero(ends) + 1 - begin))
         starts_at.append(begin + lo)
     if not hashes:
         return Words(np.zeros(0, np.uint64), np.zeros(n_docs, np.int64))

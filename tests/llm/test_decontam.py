@@ -102,3 +102,23 @@ def test_proximity_stays_inside_a_document(spark):
     bench = spark.createDataFrame([(7, "gamma alpha beta")], "item_id long, text string")
     near = {r["doc_id"]: r["near_items"] for r in D.contamination(docs, bench, ["doc_id"]).collect()}
     assert near == {1: [], 2: [], 3: ["7"]}
+
+
+def test_hashes_of_words_do_not_depend_on_their_place():
+    """Powers counted from a stretch's start give each word the hash it has alone, also past many stretches."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tastebud.llm import wordbytes as W
+
+    rnd = np.random.default_rng(5)
+    words = ["".join(chr(97 + x) for x in rnd.integers(0, 26, n)) for n in rnd.integers(1, 12, 40_000)]
+    words[7], words[20_000] = "é" * 50_000, "x" * (W.STRETCH + 3)
+    texts = [" ".join(words), "", None, words[1], " \n" + words[20_000] + "\t" + words[3]]
+    got = W.words(*W.text_bytes(pa.array(texts)), W.SPACED)
+    assert got.counts.tolist() == [len(words), 0, 0, 1, 2]
+    alone = W.words(*W.text_bytes(pa.array(words)), W.SPACED)
+    assert got.hashes.tolist() == [*alone.hashes.tolist(), alone.hashes[1], alone.hashes[20_000], alone.hashes[3]]
+    place = [int(c) for c in W.CODES[np.frombuffer(b"abc", np.uint8)]]
+    total = sum(c * int(W.STEP) ** i for i, c in enumerate(place)) + 3
+    assert W.words(*W.text_bytes(pa.array(["zz abc"])), W.SPACED).hashes[1] == W.mix(np.array([total % 2**64], np.uint64))[0]
