@@ -138,3 +138,42 @@ def test_neighbor_sums_against_brute_force(spark, block):
     for i in ss:
         want_row = [sum(w * f for (a, _), w, f in ((k, w, 1 if not x else weight[k[1]]) for k, w in s.items()) if a == i) for x in (0, 1)]
         assert all(abs(a - b) < 1e-9 for a, b in zip(per[i], want_row, strict=True))
+
+
+def _drawn(rows, ratio, seed):
+    """Labels by plain Python: the pool lists every row by item, a null item first."""
+    def mix(x):
+        return (x * (x % 65537 + 1)) % prep.MERSENNE
+
+    pool = sorted(((i is not None, i or 0, u is not None, u or 0, i) for u, i in rows))
+    out = sorted([(u, i, 1) for u, i in rows], key=str)
+    for u in {u for u, _ in rows if u is not None}:
+        own, new = [i for v, i in rows if v == u], []
+        for t in range(1, ratio * len(own) + 1):
+            x = (u % 2**31) * prep.SPLIT_HASH_USER + t * prep.SPLIT_HASH_ITEM + seed
+            first = mix(x % prep.MERSENNE)
+            h = first * prep.MERSENNE + mix((first * 48271 + t) % prep.MERSENNE)
+            i = pool[h % len(pool)][-1]
+            if i not in new and (i is None or i not in own):
+                new.append(i)
+        out += [(u, i, 0) for i in new[:len(own) + 1]]
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("block", [4, 2048])
+@pytest.mark.parametrize("nulls", [False, True])
+def test_draws_by_history_and_by_row(spark, monkeypatch, block, nulls):
+    """Draws found in ranges of the pool equal those by place, for histories that fit a block and for longer ones."""
+    monkeypatch.setattr(prep, "DEFAULT_BLOCK_SIZE", block)
+    rows = sorted({(u, i) for u, i, _ in _rows(share=0.2)}) + [(50, 2**40), (51, 7)] + ([(None, 7), (3, None), (None, None)] if nulls else [])
+    df = spark.createDataFrame(rows + rows[:5], "user_id long, item_id long")
+    got = prep.sample_histories(df, ratio=3, seed=5).collect()
+    assert sorted([tuple(r) for r in got], key=str) == _drawn(rows, 3, 5)
+
+
+def test_drawn_items_travel_once(spark):
+    """One exchange by user: neither the draws' places nor a second pass by (user, item) or by draw are shuffled."""
+    df = prep.sample_histories(_df(spark, _rows()).select("user_id", "item_id"))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "rangepartitioning" not in plan and plan.count("hashpartitioning(user_id") <= 3
