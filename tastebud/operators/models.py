@@ -11,15 +11,14 @@ Iterative loops cut their lineage with reliable ``checkpoint()``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.ml.regression import FMRegressor
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,10 +44,12 @@ def check_int_ids(df: DataFrame, *cols: str) -> DataFrame:
 # ------------------------------------------------------------------ ALS
 def als(rank: int = 50, max_iter: int = 10, reg: float = 1e-4, implicit: bool = False,
         alpha: float = 1.0, user: str = "user_id", item: str = "item_id", rating: str = "rating",
-        seed: int = 0, nonnegative: bool = False) -> ALS:
+        seed: int = 0, nonnegative: bool = False, item_blocks: int = 10) -> ALS:
+    """``item_blocks``: each round sends a user's factors to every block that holds one of the user's items, and solves the
+    items in so many tasks.  The random start is dealt by user blocks alone and does not depend on it."""
     return ALS(rank=rank, maxIter=max_iter, regParam=reg, implicitPrefs=implicit, alpha=alpha,
                userCol=user, itemCol=item, ratingCol=rating, seed=seed, nonnegative=nonnegative,
-               coldStartStrategy="drop", checkpointInterval=5)
+               coldStartStrategy="drop", checkpointInterval=5, numItemBlocks=item_blocks)
 
 
 def fit_als(df: DataFrame, **kw) -> ALSModel:
@@ -70,29 +71,85 @@ def training_mse(model: ALSModel, df: DataFrame, rating: str = "rating") -> floa
     return pred.agg(F.avg((F.col(rating).cast("double") - F.col("prediction")) ** 2).alias("mse"))
 
 
+#: Factors (floats) of the items that ``squared_error`` holds in a task.
+ITEM_FACTORS = 8_000_000
+
+
+def rating_lists(df: DataFrame, user: str = "user_id", item: str = "item_id", rating: str = "rating",
+                 block_size: int = P.DEFAULT_BLOCK_SIZE) -> DataFrame:
+    """(user, items, ratings): the rated rows of a user as lists, those of the most frequent users in several."""
+    rows = df.where(F.col(rating).isNotNull()).select(user, item, F.col(rating).cast("float").alias("_r"))
+    hot = P.hot_keys(rows, [user], block_size).collect()
+    by = [user]
+    if hot:
+        blocks = F.create_map(*[F.lit(x) for r in hot for x in (r[user], -(-r["_kn"] // block_size))])
+        rows = rows.withColumn("_s", F.pmod(F.monotonically_increasing_id(), F.coalesce(blocks[F.col(user)], F.lit(1))))
+        by.append("_s")
+    lists = rows.groupBy(*by).agg(F.collect_list(F.struct(item, "_r")).alias("_l"))
+    return lists.select(user, F.col(f"_l.{item}").alias("items"), F.col("_l._r").alias("ratings"))
+
+
+def training_mse_lists(model: ALSModel, lists: DataFrame, user: str = "user_id", item: str = "item_id",
+                       limit: int = ITEM_FACTORS) -> float | None:
+    """``training_mse`` over ``rating_lists``: a user's factors meet the whole list, and items' factors up to ``limit`` floats
+    are broadcast; more are joined by row as in ``training_mse``."""
+    spark, items = lists.sparkSession, model.itemFactors
+    if items.count() * model.rank > limit:
+        rows = lists.select(user, F.inline(F.arrays_zip(F.col("items").alias(item), F.col("ratings").alias("rating"))))
+        return training_mse(model, rows).first()[0]
+    known = items.orderBy("id").toPandas()
+    q = spark.sparkContext.broadcast((known["id"].to_numpy(), np.array(known["features"].tolist(), dtype=np.float32)))
+
+    def errors(batches):
+        ids, factors = q.value
+        for b in batches:
+            own = np.asarray(b.column("features").flatten(), dtype=np.float32).reshape(b.num_rows, -1)
+            who = np.repeat(np.arange(b.num_rows), np.asarray(pc.list_value_length(b.column("items"))))
+            what, r = np.asarray(b.column("items").flatten()), np.asarray(b.column("ratings").flatten(), dtype=np.float64)
+            at = np.minimum(np.searchsorted(ids, what), len(ids) - 1)
+            has = ids[at] == what
+            total = 0.0
+            for k in range(0, len(who), 1 << 13):
+                s = slice(k, k + (1 << 13))
+                e = r[s] - np.einsum("ij,ij->i", own[who[s]], factors[at[s]])
+                total += float(np.square(e[has[s]]).sum())
+            yield pa.RecordBatch.from_arrays([pa.array([total]), pa.array([int(has.sum())])], names=["e", "n"])
+
+    rows = lists.join(model.userFactors.select(F.col("id").alias(user), "features"), user).select("features", "items", "ratings")
+    got = rows.mapInArrow(errors, "e double, n long").agg(F.try_divide(F.sum("e"), F.sum("n")).alias("mse")).first()[0]
+    q.unpersist()
+    return got
+
+
 def tune_als(df: DataFrame, ranks: Sequence[int], regs: Sequence[float], alphas: Sequence[float], train_share: float = 0.8,
              user: str = "user_id", item: str = "item_id", rating: str = "rating", seed: int = 0, parallelism: int = 1,
-             max_iter: int = 10) -> DataFrame:
-    """R12 with Spark ML's ``TrainValidationSplit``: (kind, rank, reg, alpha, mse) on the held-out rows.
+             max_iter: int = 10, item_blocks: int = 10) -> DataFrame:
+    """R12 on a holdout: (kind, rank, reg, alpha, mse) on the held-out rows, dealt as by Spark ML's ``TrainValidationSplit``,
+    which would also fit the best setting once more on all rows.
 
     Explicit models over ranks x regs, implicit ones over ranks x regs x alphas; rows whose user or item the training part
     lacks are dropped from the score.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    data = check_int_ids(df.select(user, item, F.col(rating).cast("float").alias(rating)), user, item).persist()
-    rows = []
-    for implicit in (False, True):
-        model = als(max_iter=max_iter, implicit=implicit, user=user, item=item, rating=rating, seed=seed)
-        grid = ParamGridBuilder().addGrid(model.rank, list(ranks)).addGrid(model.regParam, list(regs))
-        grid = (grid.addGrid(model.alpha, list(alphas)) if implicit else grid).build()
-        scorer = RegressionEvaluator(labelCol=rating, predictionCol="prediction", metricName="mse")
-        split = TrainValidationSplit(estimator=model, estimatorParamMaps=grid, evaluator=scorer, trainRatio=train_share,
-                                     parallelism=parallelism, seed=seed)
-        for setting, mse in zip(grid, split.fit(data).validationMetrics, strict=True):
-            rows.append(("implicit" if implicit else "explicit", setting[model.rank], setting[model.regParam],
-                         setting.get(model.alpha), float(mse)))
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    data = check_int_ids(df.select(user, item, F.col(rating).cast("float").alias(rating)), user, item).withColumn("_u", F.rand(seed)).persist()
+    train = data.where(F.col("_u") < train_share).drop("_u")
+    held = rating_lists(data.where(F.col("_u") >= train_share), user, item, rating).persist()
+    grid = [(kind, rank, reg, alpha) for kind in ("explicit", "implicit") for rank in ranks for reg in regs
+            for alpha in (alphas if kind == "implicit" else [None])]
+
+    def score(setting):
+        kind, rank, reg, alpha = setting
+        model = als(rank, max_iter, reg, kind == "implicit", 1.0 if alpha is None else alpha, user, item, rating, seed,
+                    item_blocks=item_blocks).fit(train)
+        mse = training_mse_lists(model, held, user, item)
+        return (*setting, float("nan") if mse is None else mse)
+
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        rows = list(pool.map(score, grid))
+    held.unpersist()
     data.unpersist()
-    return df.sparkSession.createDataFrame(rows, "kind string, rank int, reg double, alpha double, mse double")
+    return spark.createDataFrame(rows, "kind string, rank int, reg double, alpha double, mse double")
 
 
 def inspect_users(who: DataFrame, seen: DataFrame, user_factors: DataFrame, item_factors: DataFrame, names: DataFrame, n: int,

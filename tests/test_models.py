@@ -81,3 +81,55 @@ def test_tuning_on_a_holdout(spark):
     for rank in (2, 4):
         mse = {r["reg"]: r["mse"] for r in got if r["kind"] == "explicit" and r["rank"] == rank}
         assert mse[0.01] < mse[1.0] and mse[0.0001] < mse[1.0]
+
+
+def _repeated_ratings(spark):
+    rows = [(u, i, float((u * 3 + i) % 5 + 1)) for u in range(12) for i in range(9) if (u + i) % 3] + [(0, i % 9, 2.0) for i in range(40)]
+    return spark.createDataFrame(rows, "user_id int, item_id int, rating float")
+
+
+@pytest.mark.parametrize("limit", [0, 8_000_000])
+def test_error_over_lists_is_that_over_rows(spark, limit):
+    """A user of many rows has several lists; rows without a rating or with an unknown item or user don't count."""
+    from tastebud.operators import models as M
+
+    df = _repeated_ratings(spark)
+    model = M.fit_als(df, rank=3, max_iter=3, reg=0.1)
+    scored = df.union(spark.createDataFrame([(1, 99, 5.0), (99, 1, 5.0), (1, 1, None)], df.schema))
+    lists = M.rating_lists(scored, block_size=8)
+    assert lists.count() > 13 and max(r[0] for r in lists.select(F.size("items")).collect()) < 46
+    want = M.training_mse(model, scored).first()[0]
+    assert M.training_mse_lists(model, lists, limit=limit) == pytest.approx(want, rel=1e-5)
+    assert M.training_mse_lists(model, lists.where("user_id = 99"), limit=limit) is None
+
+
+def test_rows_of_ratings_meet_no_factors(spark):
+    """Only factors of users are exchanged with the lists, not factors with every rated row."""
+    from tastebud.operators import models as M
+
+    df = _repeated_ratings(spark)
+    model, seen = M.fit_als(df, rank=3, max_iter=2, reg=0.1), []
+    lists = M.rating_lists(df)
+    whole = type(lists).mapInArrow
+
+    def watch(self, *args, **kw):
+        seen.append(self)
+        return whole(self, *args, **kw)
+
+    type(lists).mapInArrow, undo = watch, whole
+    try:
+        M.training_mse_lists(model, lists)
+    finally:
+        type(lists).mapInArrow = undo
+    assert [d.count() for d in seen] == [12] and set(seen[0].columns) == {"features", "items", "ratings"}
+
+
+def test_item_blocks_keep_the_start(spark):
+    """Fewer item blocks give the same model: the random start is dealt by user blocks."""
+    from tastebud.operators import models as M
+
+    df = _repeated_ratings(spark)
+    a, b = (M.fit_als(df, rank=3, max_iter=3, reg=0.1, item_blocks=n) for n in (10, 2))
+    for side in ("userFactors", "itemFactors"):
+        x, y = ({r["id"]: r["features"] for r in getattr(m, side).collect()} for m in (a, b))
+        assert x.keys() == y.keys() and all(x[k] == pytest.approx(y[k], abs=1e-3) for k in x)
