@@ -177,3 +177,33 @@ def test_drawn_items_travel_once(spark):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "rangepartitioning" not in plan and plan.count("hashpartitioning(user_id") <= 3
+
+
+def test_distance_neighbors_store_no_pair(spark, monkeypatch):
+    """R8 equals the dense definition, with one row per item instead of a table of pairs; blocks of 4 deal frequent members."""
+    from tastebud.operators import dense_topn as DT
+
+    rnd = random.Random(11)
+    rows = [(u, i * i, rnd.randint(1, 5)) for u in range(24) for i in range(40) if rnd.random() < (0.7 if i < 12 else 0.08)]
+    universe = sorted({i for _, i, _ in rows} | {3, 5, 2000, 2001})
+    h, norm, dot = _histories(rows), defaultdict(float), defaultdict(float)
+    for own in h.values():
+        for i, a in own.items():
+            norm[i] += a * a
+            for j, b in own.items():
+                dot[i, j] += a * b
+
+    def far(i):
+        d = {j: max(1 - dot[i, j] / (math.sqrt(norm[i]) * math.sqrt(norm[j])), 0) if (i, j) in dot else 1.0 for j in universe if j != i}
+        return [(j, round(d[j], 9)) for j in sorted((j for j in d if d[j]), key=lambda j: (-d[j], j))[:6]]
+
+    every = _df(spark, rows + [(0, i, 1) for i in universe if not any(r[1] == i for r in rows)])
+    wrote, real = [], DT.stored
+    monkeypatch.setattr(DT, "stored", lambda df, name: wrote.append(name) or real(df, name))
+    for block in (4, 2048):
+        monkeypatch.setattr(DT.P, "DEFAULT_BLOCK_SIZE", block)
+        got = defaultdict(list)
+        for r in DT.item_cf_distance_neighbors(_df(spark, rows), every, 6).collect():
+            got[r.i].append((r.j, round(r.w, 9)))
+        assert {i: sorted(x) for i, x in got.items()} == {i: sorted(far(i)) for i in universe}
+    assert "pairs" not in wrote
