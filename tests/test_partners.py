@@ -207,3 +207,38 @@ def test_distance_neighbors_store_no_pair(spark, monkeypatch):
             got[r.i].append((r.j, round(r.w, 9)))
         assert {i: sorted(x) for i, x in got.items()} == {i: sorted(far(i)) for i in universe}
     assert "pairs" not in wrote
+
+
+@pytest.mark.parametrize("rows_at_once,cells", [(8_000_000, 4_000_000), (40, 50)])
+def test_binary_scores_exchange_no_sum(spark, monkeypatch, rows_at_once, cells):
+    """R9's grid and best cells against plain sums, in one piece and in slices of few users and cells; no join by item or user."""
+    rows = _rows(seed=3, share=0.25) + [(None, 3, 1), (None, 4, 1), (2, None, 1)]
+    df = _df(spark, rows)
+    raters = defaultdict(set)
+    for u, i, _ in rows:
+        if i is not None and u is not None:
+            raters[i].add(u)
+    own = defaultdict(set)
+    for u, i, _ in rows:
+        if i is not None:
+            own[u].add(i)
+    counts = {i: sum(r[1] == i for r in rows) for i in raters}
+    weight = {(i, j): len(raters[i] & raters[j]) / (counts[i] + counts[j] - len(raters[i] & raters[j]))
+              for i in raters for j in raters if i != j and raters[i] & raters[j]}
+    want = {(u, j): s for u, h in own.items() for j in raters if (u is None or j not in h)
+            if (s := sum(weight.get((i, j), 0) for i in h))}
+
+    def refuse(*args, **kw):
+        raise AssertionError("join of users with similarities")
+
+    sim = S.jaccard_columns(df)
+    assert {(r.i, r.j): pytest.approx(r.w) for r in sim.collect()} == weight
+    monkeypatch.setattr(R, "SLICE_ROWS", rows_at_once)
+    monkeypatch.setattr(R, "SUM_CELLS", cells)
+    monkeypatch.setattr(R.P, "salted_join", refuse)
+    got = R.binary_scores(df, sim).collect()
+    assert len(got) == len(want) and {(r.user_id, r.item_id): pytest.approx(r.score) for r in got} == want
+    top = R.binary_top_n(df, sim, 4).collect()
+    for u in own:
+        best = sorted((j for v, j in want if v == u), key=lambda j: (-round(want[u, j], 9), j))[:4]
+        assert [r.item_id for r in sorted(top, key=lambda r: r["rank"]) if r.user_id == u] == best
